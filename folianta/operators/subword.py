@@ -23,7 +23,7 @@ from folianta.operators.segment import (
     longest_match_split,
     merge_split,
 )
-from folianta.storage import materialize
+from folianta.storage import materialize, spread
 
 UNKNOWN = "[UNK]"
 REMEMBERED_WORDS = 200_000
@@ -36,7 +36,7 @@ SYMBOL_CHARS = ID_DIGITS + 1
 INNER_BASE = 0x200000
 MERGED_BASE = 0x400000
 PAIRS_PER_ROUND = 512
-MERGES_PER_TABLE = 96
+MERGES_PER_TABLE = 16
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -162,23 +162,22 @@ def _symbol_table(counts: DataFrame, inner_base: int) -> DataFrame:
     return counts.select(F.array_join(symbols, "").alias("symbols"), "n")
 
 
-def _top_pairs(words: DataFrame, min_count: int) -> list[tuple[str, int]]:
-    size = SYMBOL_CHARS
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.length("symbols") - 2 * size + 1, F.lit(size)),
-        lambda at: F.substring("symbols", at, F.lit(2 * size)),
-    )
+def _top_pairs(words: DataFrame, min_count: int) -> list[tuple[str, str]]:
+    ids = F.split(F.substring("symbols", F.lit(2), F.length("symbols")), ":")
+    steps = F.size("ids") - 1
+    pairs = F.arrays_zip(F.slice("ids", F.lit(1), steps), F.slice("ids", F.lit(2), steps))
     rows = (
-        words.filter(F.length("symbols") > size)
-        .select(F.explode(pairs).alias("pair"), "n")
-        .groupBy("pair")
+        words.filter(F.length("symbols") > SYMBOL_CHARS)
+        .select(ids.alias("ids"), "n")
+        .select(F.inline(pairs).alias("left", "right"), "n")
+        .groupBy("left", "right")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= min_count)
-        .orderBy(F.desc("n"), "pair")
+        .orderBy(F.desc("n"), "left", "right")
         .limit(PAIRS_PER_ROUND)
         .collect()
     )
-    return [(row["pair"], row["n"]) for row in rows]
+    return [(f":{row['left']}", f":{row['right']}") for row in rows]
 
 
 def _apply_merges(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
@@ -202,8 +201,9 @@ def train_merges(
     The pair with the highest weighted count is merged, ties going to the smaller ids, until
     the vocabulary is full or no pair is frequent enough. One job may settle several merges:
     the top pairs are taken in order as long as the sequential rule would pick them too.
-    That holds while they share no symbol with an earlier pick of the round, because then
-    neither their counts change nor can a new pair rank before them.
+    That holds while no pick starts with a symbol that an earlier one ends with, or the other
+    way round: then merging the earlier ones leaves its count alone, and a pair they create
+    is at most as frequent as the pair it came from, which ranks later.
     """
     inner_base = INNER_BASE if prefix else 0
     counts = materialize(counts, "words")
@@ -221,16 +221,16 @@ def train_merges(
     id_of = {text: symbol for symbol, text in text_of.items()}
     merges: list[tuple[str, str]] = []
 
-    base = _symbol_table(counts, inner_base).persist()
+    base = spread(_symbol_table(counts, inner_base)).persist()
     pending: list[tuple[str, str]] = []
     while len(tokens) < vocab_size:
         picked: list[tuple[str, str]] = []
-        used: set[str] = set()
-        for pair, _ in _top_pairs(_apply_merges(base, pending), max(min_frequency, 1)):
-            left, right = pair[:SYMBOL_CHARS], pair[SYMBOL_CHARS:]
+        lefts: set[str] = set()
+        rights: set[str] = set()
+        for left, right in _top_pairs(_apply_merges(base, pending), max(min_frequency, 1)):
             text = text_of[left] + text_of[right].removeprefix(prefix)
             alone = left == right or text in id_of
-            if left in used or right in used or (picked and alone):
+            if left in rights or right in lefts or (picked and alone):
                 break
             merged = id_of.get(text)
             if merged is None:
@@ -238,8 +238,9 @@ def train_merges(
                 text_of[merged], id_of[text] = text, merged
                 tokens.append(text)
             merges.append((text_of[left], text_of[right]))
-            picked.append((pair, merged))
-            used |= {left, right}
+            picked.append((left + right, merged))
+            lefts.add(left)
+            rights.add(right)
             if alone or len(tokens) >= vocab_size:
                 break
         if not picked:
@@ -248,7 +249,7 @@ def train_merges(
         if len(pending) >= MERGES_PER_TABLE:
             table = materialize(_apply_merges(base, pending), "merged-words")
             base.unpersist()
-            base, pending = table.persist(), []
+            base, pending = spread(table).persist(), []
     base.unpersist()
     return SubwordModel("wordpiece" if prefix else "bpe", tokens, merges, prefix=prefix)
 
@@ -375,7 +376,7 @@ def train_unigram(
     Each round counts expected pieces over the distinct words as one job. What reaches the
     driver is the piece table, which never exceeds ``seed_size`` plus the alphabet.
     """
-    counts = materialize(counts, "words").persist()
+    counts = spread(materialize(counts, "words")).persist()
     target = vocab_size - len(special_tokens)
     scores = _normalized(_seed_pieces(counts, longest_piece, seed_size))
     likelihoods: list[float] = []

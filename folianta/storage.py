@@ -49,3 +49,13 @@ def bounded_table(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFram
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the cluster has cores.
+
+    For scans of few large row groups or small tables that feed expensive per-row work. A
+    table that is split enough already is returned as it is, without a shuffle.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
