@@ -93,40 +93,60 @@ def xml_escape(value: Column) -> Column:
     return value
 
 
-def xml_text(value: Column) -> Column:
-    # XML 1.0 has no control characters
-    return xml_escape(tx.collapse_spaces(tx.drop_controls(value)))
-
-
 def element(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
 
 
-def record_xml(docs: DataFrame) -> Column:
-    """A harvest record; short German documents are deleted ones without metadata."""
+def record_rows(docs: DataFrame) -> DataFrame:
+    """Harvest records; short German documents are deleted ones without metadata."""
     deleted = (F.col("lang") == "de") & (F.col("n_chars") < 800)
-    header = F.concat(
-        F.when(deleted, '<header status="deleted">').otherwise("<header>"),
-        element("identifier", F.concat(F.lit("oai:doc:"), F.col("doc_id").cast("string"))),
-        element("datestamp", F.lit("2024-01-01T00:00:00Z")),
-        element("setSpec", F.col("lang")),
-        F.lit("</header>"),
+    none = F.array().cast("array<string>")
+
+    def printable(value: Column) -> Column:
+        return tx.collapse_spaces(tx.drop_controls(value))  # XML 1.0 has no control characters
+
+    filled = {
+        "title": F.array(printable(tx.first_line(F.col("text")))),
+        "subject": words(8),
+        "description": F.array(printable(F.col("text"))),
+        "publisher": F.array(F.lit("")),
+        "identifier": F.array(F.concat(F.lit("doc/"), F.col("doc_id").cast("string"))),
+    }
+    dc = F.struct(
+        *[filled.get(name, none).alias(f"dc:{name}") for name in fixed.DUBLIN_CORE_FIELDS]
+    )
+    return docs.select(
+        F.struct(
+            F.when(deleted, "deleted").alias("_status"),
+            F.concat(F.lit("oai:doc:"), F.col("doc_id").cast("string")).alias("identifier"),
+            F.lit("2024-01-01T00:00:00Z").alias("datestamp"),
+            F.array("lang").alias("setSpec"),
+        ).alias("header"),
+        F.when(~deleted, F.struct(dc.alias("oai_dc:dc"))).alias("metadata"),
+    )
+
+
+def version_rows(events: DataFrame) -> DataFrame:
+    """Every event as a version of its user's record; an error is a deletion."""
+    return events.select(
+        F.struct(
+            F.when(F.col("event_type") == "error", "deleted").alias("_status"),
+            F.col("user_id").cast("string").alias("identifier"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("datestamp"),
+        ).alias("header")
     )
-    subjects = F.array_join(F.transform(words(8), lambda w: element("dc:subject", w)), "")
-    dc = F.concat(
-        F.lit(
-            '<metadata><oai_dc:dc xmlns:oai_dc="http://www.openarchives.org/OAI/2.0/oai_dc/"'
-            ' xmlns:dc="http://purl.org/dc/elements/1.1/">'
-        ),
-        element("dc:title", xml_text(tx.first_line(F.col("text")))),
-        subjects,
-        element("dc:description", xml_text(F.col("text"))),
-        F.lit("<dc:publisher></dc:publisher>"),
-        element("dc:identifier", F.concat(F.lit("doc/"), F.col("doc_id").cast("string"))),
-        F.lit("</oai_dc:dc></metadata>"),
+
+
+def land_records(rows: DataFrame, path: str) -> None:
+    """Add record files, each a well-formed document of its own, to ``path``."""
+    root = (
+        'ListRecords xmlns:oai_dc="http://www.openarchives.org/OAI/2.0/oai_dc/"'
+        ' xmlns:dc="http://purl.org/dc/elements/1.1/"'
     )
-    body = F.when(deleted, F.lit("")).otherwise(dc)
-    return F.concat(F.lit("<record>"), header, body, F.lit("</record>"))
+    writer = rows.write.format("xml").option("rootTag", root).option("rowTag", "record")
+    # prefixed names such as dc:title are not plain XML names
+    writer = writer.option("attributePrefix", "_").option("validateName", "false")
+    writer.mode("append").save(path)
 
 
 ENVELOPE = '<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/">{}</OAI-PMH>'
@@ -136,8 +156,9 @@ def responses(docs: DataFrame, page_rows: int = 100) -> DataFrame:
     """Response bodies of ``page_rows`` records, plus an error response per language."""
     opening, closing = ENVELOPE.split("{}")
     page = F.floor(F.col("doc_id") / page_rows)
+    record = element("record", element("header", element("setSpec", F.col("lang"))))
     pages = (
-        docs.select(page.alias("page"), record_xml(docs).alias("record"), "doc_id")
+        docs.select(page.alias("page"), record.alias("record"), "doc_id")
         .groupBy("page")
         .agg(F.array_sort(F.collect_list(F.struct("doc_id", "record"))).alias("records"))
     )

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianta.plans import text_queries
+from folianta.plans import corpus_queries, text_queries
 
-AREAS = [text_queries]
+AREAS = [text_queries, corpus_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folianta.fixed_values import ITEM_LINK_NEEDLE, LINK_DENY_LIST, META_PREFIXES
 from folianta.functions.text import SPACES, strip_prefix
@@ -17,7 +18,7 @@ TAG = r"""(?is)<{tag}\b(?:"[^"]*"|'[^']*'|[^'">])*>"""
 ATTRIBUTE = r"""(?is)[\s"']{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _unescape_all(values: pd.Series) -> pd.Series:
     return values.map(
         lambda texts: [html.unescape(text) for text in texts], na_action="ignore"
