@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folianta import fixed_values as fixed
 from folianta.functions import text as tx
@@ -36,8 +37,8 @@ def batch_predict(
                 answers += predict(texts[start : start + batch_rows])
             yield frame.assign(**{output: answers})
 
-    schema = prompts.schema.add(output, "string")
-    return prompts.mapInPandas(run, schema)
+    answered = T.StructType([*prompts.schema.fields, T.StructField(output, T.StringType())])
+    return prompts.mapInPandas(run, answered)
 
 
 def judge(
@@ -72,33 +73,39 @@ def confusion(judged: DataFrame) -> DataFrame:
     )
 
 
-def class_report(cells: DataFrame) -> DataFrame:
-    """Precision, recall, F1 and support of every label among references or predictions."""
+def _label_sums(cells: DataFrame) -> DataFrame:
+    """``(label, support, predicted, hits, exact)`` of every label on either side."""
     hit = F.when(F.col("ref") == F.col("pred"), F.col("n")).otherwise(F.lit(0))
     zero = F.lit(0).cast("long")
+    names = ("support", "predicted", "hits", "exact")
+
+    def side(label: str, *values: Column) -> Column:
+        named = [value.cast("long").alias(name) for name, value in zip(names, values)]
+        return F.struct(F.col(label).alias("label"), *named)
+
     sides = F.array(
-        F.struct(
-            F.col("ref").alias("label"), F.col("n").alias("support"),
-            zero.alias("predicted"), hit.cast("long").alias("hits"),
-        ),
-        F.struct(
-            F.col("pred").alias("label"), zero.alias("support"),
-            F.col("n").alias("predicted"), zero.alias("hits"),
-        ),
+        side("ref", F.col("n"), zero, hit, F.col("n_exact")),
+        side("pred", zero, F.col("n"), zero, zero),
     )
-    summed = (
+    return (
         cells.select(F.explode(sides).alias("side"))
         .groupBy("side.label")
-        .agg(*[F.sum(f"side.{name}").alias(name) for name in ("support", "predicted", "hits")])
+        .agg(*[F.sum(f"side.{name}").alias(name) for name in names])
     )
+
+
+def _scores() -> list[Column]:
     hits, support, predicted = F.col("hits"), F.col("support"), F.col("predicted")
-    return summed.select(
-        "label",
+    return [
         ratio(hits, predicted).alias("precision"),
         ratio(hits, support).alias("recall"),
         ratio(2 * hits, support + predicted).alias("f1_score"),
-        "support",
-    )
+    ]
+
+
+def class_report(cells: DataFrame) -> DataFrame:
+    """Precision, recall, F1 and support of every label among references or predictions."""
+    return _label_sums(cells).select("label", *_scores(), "support")
 
 
 def _domain(df: DataFrame, classes: Sequence[str]) -> DataFrame:
@@ -139,15 +146,14 @@ def domain_report(cells: DataFrame, classes: Sequence[str] = fixed.CLASS_DOMAIN)
 
 def global_scores(cells: DataFrame) -> DataFrame:
     """One row: ``n, accuracy, exact_match, macro_f1``; all 0 without rows."""
-    same = F.when(F.col("ref") == F.col("pred"), F.col("n")).otherwise(F.lit(0))
-    total = F.coalesce(F.sum("n"), F.lit(0))
-    overall = cells.agg(
+    sums = _label_sums(cells).select("*", *_scores())
+    total = F.coalesce(F.sum("support"), F.lit(0))
+    return sums.agg(
         total.alias("n"),
-        ratio(F.sum(same), total).alias("accuracy"),
-        ratio(F.sum("n_exact"), total).alias("exact_match"),
+        ratio(F.sum("hits"), total).alias("accuracy"),
+        ratio(F.sum("exact"), total).alias("exact_match"),
+        F.coalesce(F.avg("f1_score"), F.lit(0.0)).alias("macro_f1"),
     )
-    macro = class_report(cells).agg(F.coalesce(F.avg("f1_score"), F.lit(0.0)).alias("macro_f1"))
-    return overall.crossJoin(macro)  # one row each
 
 
 def report_averages(cells: DataFrame) -> DataFrame:

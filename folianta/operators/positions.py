@@ -34,8 +34,8 @@ def neighbours_within_document(
     )
     return hits.select(key, F.explode(pairs).alias("pair")).select(
         key,
-        F.col("pair")["0"].alias("pos_a"),
-        F.col("pair")["1"].alias("pos_b"),
+        F.col("pair.a").alias("pos_a"),
+        F.col("pair.b").alias("pos_b"),
     )
 
 

@@ -68,10 +68,10 @@ def expected_runs(spark: SparkSession, seeds: Sequence[int]) -> DataFrame:
         rows += [(method, rank, None, None, "all") for method in fixed.ADAPTER_METHODS]
     rows += [(method, None, rank, gap, "all") for method, rank, gap in fixed.GRID_SUBSPACE]
     schema = (
-        "method string, lora_r int, galore_rank int, update_proj_gap int, target_modules string"
+        "method string, lora_r int, galore_rank int, update_proj_gap int,"
+        " target_modules string, seed bigint"
     )
-    grid = spark.createDataFrame(rows, schema)
-    return grid.crossJoin(spark.createDataFrame([(seed,) for seed in seeds], "seed bigint"))
+    return spark.createDataFrame([(*row, seed) for row in rows for seed in seeds], schema)
 
 
 def missing_runs(expected: DataFrame, completed: DataFrame) -> DataFrame:

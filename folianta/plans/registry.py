@@ -6,9 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianta.plans import corpus_queries, text_queries
-
-AREAS = [text_queries, corpus_queries]
+from folianta.plans import (
+    corpus_queries,
+    evaluation_queries,
+    record_queries,
+    run_queries,
+    text_queries,
+    vector_queries,
+)
+
+AREAS = [
+    text_queries,
+    corpus_queries,
+    record_queries,
+    evaluation_queries,
+    run_queries,
+    vector_queries,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -69,14 +69,11 @@ def class_rows(evals: DataFrame) -> DataFrame:
 def read_loss_history(spark: SparkSession, path: str) -> DataFrame:
     """Step entries of all histories below ``path``, with the file each came from.
 
-    A history file is one JSON array; it becomes one row per element.
+    A history file is one JSON array; it becomes one row per element. Partition folders
+    such as ``run=...`` become columns.
     """
-    return (
-        spark.read.schema(HISTORY_SCHEMA)
-        .option("multiLine", True)
-        .json(path)
-        .withColumn("run_file", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    )
+    entries = spark.read.schema(HISTORY_SCHEMA).option("multiLine", True).json(path)
+    return entries.withColumn("run_file", F.col("_metadata.file_path"))
 
 
 def summary_schema(keys: Sequence[str], metrics: Sequence[str]) -> T.StructType:
