@@ -57,5 +57,4 @@ def prepare_corpus(
         )
     chosen = filter_by_subject(records, pattern=pattern)
     corpus = materialize(corpus_records(chosen, keep=[key]), "corpus")
-    frequent = split.drop_rare_classes(corpus, min_rows=min_rows)
-    return split.three_way_split(frequent, key, seed=seed)
+    return split.three_way_split(corpus, key, min_rows=min_rows, seed=seed)

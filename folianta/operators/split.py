@@ -1,14 +1,16 @@
 """Exact, reproducible stratified splits without sorting any class in one task.
 
-Rows are ordered within a class by ``md5(key:seed)``. A class of any size is cut at the
-right row in three steps: a histogram of hash prefixes, a running sum over at most 65,536
-prefixes to find the one that holds the cut, and a ranking of that prefix's rows alone. The
-result is one threshold per class, so membership is a comparison made where the row is read
-and no text is shuffled.
+Rows are ordered within a class by ``md5(key:seed)`` and cut at the class's quotas. A class
+of any size is cut at the right row in three steps: a histogram of hash prefixes, a running
+sum over at most 65,536 prefixes to find the one that holds the cut, and a ranking of that
+prefix's rows alone. The result is a threshold per class and cut, so membership is a
+comparison made where the row is read and no text is shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,87 +40,91 @@ def drop_rare_classes(
     return df.join(kept, label, "left_semi")
 
 
-def apportion(counts: DataFrame, label: str, n: str, held_out_share: float) -> DataFrame:
-    """Largest-remainder quotas: adds ``quota``, the rows of a class that are *not* held out.
+def apportion(
+    counts: DataFrame, label: str, n: str, held_out_share: float, into: str
+) -> DataFrame:
+    """Largest-remainder quotas: adds ``into``, the rows of a class that are *not* held out.
 
     The held-out side gets ``ceil(share * total)`` rows. Ties between remainders go to the
-    class that sorts first. ``counts`` has one row per class, so its single-partition
-    windows stay small.
+    class that sorts first. A class whose ``n`` is null takes no part. ``counts`` has one
+    row per class, so its single-partition windows stay small.
     """
     everything = Window.partitionBy()
-    sized = (
-        counts.withColumn("total", F.sum(n).over(everything))
-        .withColumn(
-            "target",
-            F.col("total") - F.ceil(F.lit(held_out_share) * F.col("total")).cast("long"),
-        )
-        .withColumn("exact", F.col(n).cast("double") * F.col("target") / F.col("total"))
-        .withColumn("whole", F.floor("exact").cast("long"))
-        .withColumn("missing", F.col("target") - F.sum("whole").over(everything))
+    sized = counts.select(
+        "*",
+        F.sum(n).over(everything).alias("_total"),
+        F.min(n).over(everything).alias("_smallest"),
+        F.count(n).over(everything).alias("_classes"),
     )
-    by_remainder = Window.orderBy(F.desc(F.col("exact") - F.col("whole")), F.col(label))
-    return (
-        sized.withColumn("turn", F.row_number().over(by_remainder))
-        .withColumn("quota", F.col("whole") + (F.col("turn") <= F.col("missing")).cast("long"))
-        .select(label, n, "quota")
+    held = F.ceil(F.lit(held_out_share) * F.col("_total")).cast("long")
+    sized = sized.withColumn("_target", F.col("_total") - held)
+    sized = sized.withColumn("_exact", F.col(n).cast("double") * F.col("_target") / F.col("_total"))
+    sized = sized.withColumn("_whole", F.floor("_exact").cast("long"))
+    by_remainder = Window.orderBy(F.desc_nulls_last(F.col("_exact") - F.col("_whole")), label)
+    missing = F.col("_target") - F.sum("_whole").over(everything)
+    quota = F.col("_whole") + (F.row_number().over(by_remainder) <= missing).cast("long")
+
+    smaller_side = F.least("_target", F.col("_total") - F.col("_target"))
+    checked = (
+        F.when(
+            F.col("_smallest") < 2,
+            F.raise_error(F.lit("a class has a single row; a stratified split needs two or more")),
+        )
+        .when(
+            smaller_side < F.col("_classes"),
+            F.raise_error(F.lit("a side of the split would have fewer rows than there are classes")),
+        )
+        .otherwise(quota)
     )
+    return sized.select(*counts.columns, checked.cast("long").alias(into))
 
 
-def check_splittable(counts: DataFrame, label: str, n: str, held_out_share: float) -> None:
-    """Refuse a split that could leave a class or a side without rows."""
-    facts = counts.agg(
-        F.min(n).alias("smallest"), F.count("*").alias("classes"), F.sum(n).alias("rows")
-    ).first()
-    if not facts["classes"]:
-        raise ValueError("nothing to split: no class is left")
-    if facts["smallest"] < 2:
-        raise ValueError("a class has a single row; a stratified split needs two or more")
-    held = -int(-held_out_share * facts["rows"] // 1)
-    if min(held, facts["rows"] - held) < facts["classes"]:
-        raise ValueError("a side of the split would have fewer rows than there are classes")
-
-
-def quota_thresholds(
-    rows: DataFrame, key: str, label: str, quotas: DataFrame, seed: str | int
+def class_bounds(
+    rows: DataFrame, key: str, label: str, quotas: DataFrame, cuts: Sequence[str], seed: str | int
 ) -> DataFrame:
-    """Per class, the last ``(hash, key)`` that is still inside its quota.
+    """``quotas`` plus, for every cut, the last ``(hash, key)`` that is still before it.
 
-    ``rows`` must hold each key once. A class with quota 0 gets no threshold.
+    A cut is a column with a number of rows. ``rows`` must hold each key once. A cut at 0
+    has no last row and stays null.
     """
-    hashed = rows.select(label, key, shuffle_key(F.col(key), seed).alias("hash"))
-    prefix = F.substring("hash", 1, PREFIX_DIGITS)
-    histogram = hashed.groupBy(label, prefix.alias("prefix")).agg(F.count("*").alias("n"))
+    wanted = quotas.select(
+        label,
+        F.explode(
+            F.array(*[F.struct(F.lit(cut).alias("cut"), F.col(cut).alias("at")) for cut in cuts])
+        ).alias("c"),
+    ).select(label, "c.cut", "c.at")
+    hashed = rows.select(
+        label,
+        F.struct(shuffle_key(F.col(key), seed).alias("hash"), F.col(key).alias("key")).alias("place"),
+    ).withColumn("prefix", F.substring("place.hash", 1, PREFIX_DIGITS))
+
+    histogram = hashed.groupBy(label, "prefix").agg(F.count("*").alias("n"))
     upto = Window.partitionBy(label).orderBy("prefix")
-    cut = (
+    holds_cut = (F.col("seen") >= F.col("at")) & (F.col("seen") - F.col("n") < F.col("at"))
+    found = (
         histogram.withColumn("seen", F.sum("n").over(upto))
-        .join(quotas.select(label, "quota"), label)
-        .filter((F.col("seen") >= F.col("quota")) & (F.col("seen") - F.col("n") < F.col("quota")))
-        .select(label, "prefix", (F.col("quota") - F.col("seen") + F.col("n")).alias("take"))
+        .join(bounded_table(wanted), label)
+        .filter(holds_cut)
+        .select(label, "cut", "prefix", (F.col("at") - F.col("seen") + F.col("n")).alias("take"))
     )
-    in_prefix = Window.partitionBy(label).orderBy("hash", key)
-    return (
-        hashed.withColumn("prefix", prefix)
-        .join(bounded_table(cut), [label, "prefix"])
+    in_prefix = Window.partitionBy(label, "cut").orderBy("place")
+    last = (
+        hashed.join(bounded_table(found), [label, "prefix"])
         .withColumn("rank", F.row_number().over(in_prefix))
         .filter(F.col("rank") == F.col("take"))
-        .select(label, F.col("hash").alias("last_hash"), F.col(key).alias("last_key"))
     )
+    by_cut = [F.max(F.when(F.col("cut") == cut, F.col("place"))).alias(f"_last_{cut}") for cut in cuts]
+    return quotas.join(last.groupBy(label).agg(*by_cut), label, "left")
 
 
-def _inside(key: str, seed: str | int, last_hash: str, last_key: str) -> Column:
-    digest = shuffle_key(F.col(key), seed)
-    before = digest < F.col(last_hash)
-    at_cut = (digest == F.col(last_hash)) & (F.col(key) <= F.col(last_key))
-    return F.coalesce(before | at_cut, F.lit(False))
+def _before(key: str, seed: str | int, cut: str) -> Column:
+    place = F.struct(shuffle_key(F.col(key), seed).alias("hash"), F.col(key).alias("key"))
+    return F.coalesce(place <= F.col(f"_last_{cut}"), F.lit(False))
 
 
-def _with_threshold(df: DataFrame, thresholds: DataFrame, label: str, suffix: str) -> DataFrame:
-    renamed = thresholds.select(
-        label,
-        F.col("last_hash").alias(f"last_hash_{suffix}"),
-        F.col("last_key").alias(f"last_key_{suffix}"),
-    )
-    return df.join(bounded_table(renamed), label, "left")
+def _class_sizes(df: DataFrame, label: str, min_rows: int) -> DataFrame:
+    sizes = class_frequency(df, label)
+    return bounded_table(sizes.filter(F.col("n") >= min_rows) if min_rows > 1 else sizes)
 
 
 def stratified_split(
@@ -131,13 +137,11 @@ def stratified_split(
     column: str = "split",
 ) -> DataFrame:
     """Adds ``column``: which side a row falls on. Sizes and per-class shares are exact."""
-    counts = bounded_table(class_frequency(df, label))
-    check_splittable(counts, label, "n", held_out_share)
-    quotas = bounded_table(apportion(counts, label, "n", held_out_share))
-    thresholds = quota_thresholds(df, key, label, quotas, seed)
-    marked = _with_threshold(df, thresholds, label, "a")
-    side = F.when(_inside(key, seed, "last_hash_a", "last_key_a"), sides[0]).otherwise(sides[1])
-    return marked.withColumn(column, side).drop("last_hash_a", "last_key_a")
+    quotas = apportion(_class_sizes(df, label, 1), label, "n", held_out_share, "_first")
+    quotas = bounded_table(quotas.select(label, "_first"))
+    bounds = bounded_table(class_bounds(df, key, label, quotas, ["_first"], seed))
+    side = F.when(_before(key, seed, "_first"), sides[0]).otherwise(sides[1])
+    return df.join(bounds, label).withColumn(column, side).select(*df.columns, column)
 
 
 def three_way_split(
@@ -146,47 +150,35 @@ def three_way_split(
     label: str = "type",
     held_out_share: float = fixed.HELDOUT_SHARE,
     test_share: float = fixed.TEST_SHARE,
+    min_rows: int = 1,
     min_held_out: int = fixed.MIN_HELDOUT_ROWS,
     seed: str | int = 0,
     column: str = "split",
 ) -> DataFrame:
     """Adds ``column`` with ``train``, ``val`` or ``test``.
 
-    Classes with fewer than ``min_held_out`` held-out rows lose those rows, as a second
-    stratified cut is not possible there. The sizes of the second cut follow from the first
-    one's quotas, so no extra counting pass is made.
+    Classes with fewer than ``min_rows`` rows are dropped. Classes with fewer than
+    ``min_held_out`` held-out rows lose those rows, as a second stratified cut is not
+    possible there. Both cuts are made in one shuffled order of the class: the train rows
+    come first, then the validation rows.
     """
-    counts = bounded_table(class_frequency(df, label))
-    check_splittable(counts, label, "n", held_out_share)
-    first = bounded_table(apportion(counts, label, "n", held_out_share))
-    outer = bounded_table(quota_thresholds(df, key, label, first, seed))
-
-    held = first.select(label, (F.col("n") - F.col("quota")).alias("held")).filter(
-        F.col("held") >= min_held_out
-    )
-    held = bounded_table(held)
-    check_splittable(held, label, "held", test_share)
-    second = bounded_table(apportion(held, label, "held", test_share))
-
-    marked = _with_threshold(df, outer, label, "a").withColumn(
-        "_train", _inside(key, seed, "last_hash_a", "last_key_a")
-    )
-    rest = marked.filter(~F.col("_train")).join(second.select(label), label, "left_semi")
-    inner = quota_thresholds(rest, key, label, second, f"{seed}:2")
-
-    marked = _with_threshold(marked, inner, label, "b").join(
-        second.select(label, F.lit(True).alias("_kept")), label, "left"
+    sizes = _class_sizes(df, label, min_rows)
+    quotas = apportion(sizes, label, "n", held_out_share, "_train")
+    held = F.col("n") - F.col("_train")
+    quotas = quotas.withColumn("_held", F.when(held >= min_held_out, held))
+    quotas = apportion(quotas, label, "_held", test_share, "_val")
+    quotas = bounded_table(
+        quotas.select(label, "_train", (F.col("_train") + F.col("_val")).alias("_train_val"))
     )
+    cuts = ["_train", "_train_val"]
+    bounds = bounded_table(class_bounds(df, key, label, quotas, cuts, seed))
     part = (
-        F.when(F.col("_train"), "train")
-        .when(_inside(key, f"{seed}:2", "last_hash_b", "last_key_b"), "val")
-        .otherwise("test")
-    )
-    return (
-        marked.filter(F.col("_train") | F.col("_kept"))
-        .withColumn(column, part)
-        .drop("last_hash_a", "last_key_a", "last_hash_b", "last_key_b", "_train", "_kept")
+        F.when(_before(key, seed, "_train"), "train")
+        .when(_before(key, seed, "_train_val"), "val")
+        .when(F.col("_train_val").isNotNull(), "test")
     )
+    split = df.join(bounds, label).withColumn(column, part)
+    return split.filter(F.col(column).isNotNull()).select(*df.columns, column)
 
 
 def split_integrity(whole: DataFrame, parts: DataFrame, key: str, column: str = "split") -> DataFrame:

@@ -89,9 +89,8 @@ def split_ctes(rows: str, seed: str) -> str:
     counts2 AS (SELECT type, count(*) AS n FROM held GROUP BY type
                 HAVING count(*) >= {fixed.MIN_HELDOUT_ROWS}),
     q2 AS ({quota('counts2', '0.50::DOUBLE')}),
-    r2 AS (SELECT doc_id, type, quota, row_number() OVER (
-               PARTITION BY type ORDER BY md5(concat(doc_id, ':{seed}:2')), doc_id) AS rn
-           FROM held JOIN q2 USING (type)),
+    r2 AS (SELECT doc_id, r1.type, q2.quota, row_number() OVER (PARTITION BY r1.type ORDER BY rn) AS rn
+           FROM r1 JOIN q2 USING (type) WHERE rn > r1.quota),
     parted AS (
         SELECT doc_id, type, 'train' AS split FROM r1 WHERE rn <= quota
         UNION ALL

@@ -33,7 +33,9 @@ def _frequent(spark, sf_dir):
 
 
 def _parted(spark, sf_dir):
-    return split.three_way_split(_frequent(spark, sf_dir), "doc_id", seed=SEED)
+    return split.three_way_split(
+        _typed(spark, sf_dir), "doc_id", min_rows=fixed.MIN_CLASS_ROWS, seed=SEED
+    )
 
 
 def _prepared(spark, sf_dir, observation=None):

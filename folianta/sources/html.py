@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folianta.fixed_values import ITEM_LINK_NEEDLE, LINK_DENY_LIST, META_PREFIXES
-from folianta.functions.text import SPACES, strip_prefix
+from folianta.functions.text import SPACES, bind, strip_prefix
 
 # a tag runs to the first '>' outside quotes
-TAG = r"""(?is)<{tag}\b(?:"[^"]*"|'[^']*'|[^'">])*>"""
-ATTRIBUTE = r"""(?is)[\s"']{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+TAG = r"""(?is)<{tag}\b[^'">]*(?:"[^"]*"[^'">]*|'[^']*'[^'">]*)*>"""
+# an attribute's name and value, the quotes still on
+ATTRIBUTE = r"""([^\s"'=<>/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -38,10 +39,32 @@ def tags(page: Column, tag: str) -> Column:
     return F.regexp_extract_all(page, F.lit(TAG.format(tag=tag)), F.lit(0))
 
 
-def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute, quoted either way or bare; ``''`` if absent."""
-    pattern = ATTRIBUTE.format(name=name)
-    return F.concat(*[F.regexp_extract(tag, pattern, group) for group in (1, 2, 3)])
+def attributes(tag: Column, *names: str) -> Column:
+    """``struct`` of the named attributes, unquoted; ``''`` where one is absent."""
+    def unquoted(raw: Column) -> Column:
+        quoted = raw.startswith('"') | raw.startswith("'")
+        return F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
+
+    def picked(found: Column) -> Column:
+        values = [
+            F.get(found["values"], (F.array_position(found["names"], name) - 1).cast("int"))
+            for name in names
+        ]
+        return F.struct(
+            *[
+                bind(F.coalesce(value, F.lit("")), unquoted).alias(name)
+                for name, value in zip(names, values)
+            ]
+        )
+
+    # scanning whole attributes keeps text inside a quoted value from passing for one
+    listed = F.struct(
+        F.transform(
+            F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), lambda name: F.lower(name)
+        ).alias("names"),
+        F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2)).alias("values"),
+    )
+    return bind(listed, picked)
 
 
 def meta_values(
@@ -52,20 +75,20 @@ def meta_values(
     Names must start with one of ``prefixes``, which is then removed; blank contents are
     dropped. Everything happens inside the row, so nothing is shuffled.
     """
-    def wanted(tag: Column) -> Column:
-        name = attribute(tag, "name")
+    def wanted(meta: Column) -> Column:
         starts = F.lit(False)
         for prefix in prefixes:
-            starts = starts | name.startswith(prefix)
+            starts = starts | meta["name"].startswith(prefix)
         return starts
 
     edges = f"^{SPACES}|{SPACES}$"
-    found = pages.select(key, F.filter(tags(F.col(page), "meta"), wanted).alias("tags"))
-    # the page itself is gone here: only the kept tags travel to Python
-    found = found.filter(F.size("tags") > 0).select(
+    metas = F.transform(tags(F.col(page), "meta"), lambda t: attributes(t, "name", "content"))
+    found = pages.select(key, F.filter(metas, wanted).alias("metas"))
+    # the page itself is gone here: only the kept contents travel to Python
+    found = found.select(
         key,
-        F.transform("tags", lambda t: strip_prefix(attribute(t, "name"), prefixes)).alias("names"),
-        unescape(F.transform("tags", lambda t: attribute(t, "content"))).alias("contents"),
+        F.transform("metas", lambda m: strip_prefix(m["name"], prefixes)).alias("names"),
+        unescape(F.transform("metas", lambda m: m["content"])).alias("contents"),
     )
     pairs = F.filter(
         F.transform(
@@ -108,7 +131,9 @@ def page_links(
             ok = ok & ~href.contains(word)
         return ok
 
-    hrefs = F.transform(tags(F.col(page), "a"), lambda tag: attribute(tag, "href"))
+    hrefs = F.transform(
+        tags(F.col(page), "a"), lambda tag: attributes(tag, "href")["href"]
+    )
     per_page = F.array_distinct(F.filter(hrefs, lambda href: (href != "") & wanted(href)))
     kept = [key] if key else []
     links = pages.select(*kept, F.explode(per_page).alias("href"))
