@@ -7,6 +7,8 @@ from collections.abc import Mapping
 
 UNKNOWN_PENALTY = 10.0
 LONGEST_WORD = 100
+LINEAR_CHARS = 64
+SMALLEST_CHANCE = 1e-250
 
 
 def merge_split(word: str, ranks: Mapping[tuple[str, str], int]) -> list[str]:
@@ -47,12 +49,18 @@ def longest_match_split(
     return pieces
 
 
-def best_split(word: str, scores: Mapping[str, float], longest: int) -> tuple[list[str], float]:
+def unknown_score(scores: Mapping[str, float]) -> float:
+    """What a character without a piece of its own scores: far below all pieces."""
+    return min(scores.values(), default=0.0) - UNKNOWN_PENALTY
+
+
+def best_split(
+    word: str, scores: Mapping[str, float], longest: int, floor: float
+) -> tuple[list[str], float]:
     """The segmentation with the highest total score and that score.
 
-    A character without a piece of its own counts as a piece that scores far below all others.
+    A character without a piece of its own scores ``floor``.
     """
-    floor = min(scores.values(), default=0.0) - UNKNOWN_PENALTY
     reached: list[tuple[float, int]] = [(0.0, 0)]
     for end in range(1, len(word) + 1):
         options = []
@@ -78,26 +86,58 @@ def expected_pieces(
     """Expected piece counts over all segmentations of ``word``, and its log-likelihood."""
     size = len(word)
     edges = [
-        (start, end, scores[word[start:end]])
+        (start, end, score)
         for start in range(size)
         for end in range(start + 1, min(size, start + longest) + 1)
-        if word[start:end] in scores
+        if (score := scores.get(word[start:end])) is not None
+    ]
+    weighed = _weigh_linear(edges, size) if size <= LINEAR_CHARS else None
+    weighed = weighed or _weigh_logs(edges, size)
+    if weighed is None:
+        return {}, 0.0
+    weights, likelihood = weighed
+    counts: dict[str, float] = {}
+    for (start, end, _), weight in zip(edges, weights):
+        piece = word[start:end]
+        counts[piece] = counts.get(piece, 0.0) + weight
+    return counts, likelihood
+
+
+def _weigh_linear(edges: list[tuple[int, int, float]], size: int):
+    """Posterior weight of every edge by plain products; ``None`` if they become too small."""
+    forward = [1.0] + [0.0] * size
+    backward = [0.0] * size + [1.0]
+    chances = [math.exp(score) for _, _, score in edges]
+    for (start, end, _), chance in zip(edges, chances):
+        forward[end] += forward[start] * chance
+    whole = forward[size]
+    if whole < SMALLEST_CHANCE:
+        return None
+    for (start, end, _), chance in zip(reversed(edges), reversed(chances)):
+        backward[start] += backward[end] * chance
+    weights = [
+        forward[start] * chance * backward[end] / whole
+        for (start, end, _), chance in zip(edges, chances)
     ]
+    return weights, math.log(whole)
+
+
+def _weigh_logs(edges: list[tuple[int, int, float]], size: int):
+    """The same in logarithms, for words of any length."""
     forward = [0.0] + [-math.inf] * size
+    backward = [-math.inf] * size + [0.0]
     for start, end, score in edges:
         forward[end] = _log_add(forward[end], forward[start] + score)
-    if forward[size] == -math.inf:
-        return {}, 0.0
-    backward = [-math.inf] * size + [0.0]
+    whole = forward[size]
+    if whole == -math.inf:
+        return None
     for start, end, score in reversed(edges):
         backward[start] = _log_add(backward[start], backward[end] + score)
-    counts: dict[str, float] = {}
-    for start, end, score in edges:
-        weight = forward[start] + score + backward[end] - forward[size]
-        if weight > -700:
-            piece = word[start:end]
-            counts[piece] = counts.get(piece, 0.0) + math.exp(weight)
-    return counts, forward[size]
+    weights = [
+        math.exp(max(forward[start] + score + backward[end] - whole, -745.0))
+        for start, end, score in edges
+    ]
+    return weights, whole
 
 
 def _log_add(a: float, b: float) -> float:

@@ -22,6 +22,7 @@ from folianta.operators.segment import (
     expected_pieces,
     longest_match_split,
     merge_split,
+    unknown_score,
 )
 from folianta.storage import materialize, spread
 
@@ -103,11 +104,11 @@ class SubwordModel:
             ]
         if self.kind == "wordpiece":
             return lambda word: longest_match_split(word, ids, self.prefix, UNKNOWN)
-        longest = max(map(len, self.scores), default=1)
+        longest, floor = max(map(len, self.scores), default=1), unknown_score(self.scores)
 
         def cut(word: str) -> list[str]:
             pieces: list[str] = []
-            for piece in best_split(word, self.scores, longest)[0]:
+            for piece in best_split(word, self.scores, longest, floor)[0]:
                 if piece in self.scores:
                     pieces.append(piece)
                 elif not pieces or pieces[-1] != UNKNOWN:  # neighbouring unknowns are one
@@ -299,12 +300,10 @@ def _normalized(counts: dict[str, float]) -> dict[str, float]:
     return {piece: math.log(n) - total for piece, n in counts.items() if n > 0}
 
 
-def _count_pieces(
-    counts: DataFrame,
-    scores: dict[str, float],
-    count: Callable[[str, dict[str, float], int], tuple[dict[str, float], float]],
+def _expected_counts(
+    counts: DataFrame, scores: dict[str, float]
 ) -> tuple[dict[str, float], float]:
-    """Weighted piece counts over all words, and the corpus log-likelihood.
+    """Expected piece counts over all words, and the corpus log-likelihood.
 
     Every partition sums its own words first; what is shuffled is one row per piece and
     partition.
@@ -318,7 +317,7 @@ def _count_pieces(
         likelihood = 0.0
         for frame in frames:
             for word, n in zip(frame["word"], frame["n"]):
-                found, score = count(word, known, longest)
+                found, score = expected_pieces(word, known, longest)
                 likelihood += n * score
                 for piece, weight in found.items():
                     sums[piece] = sums.get(piece, 0.0) + n * weight
@@ -336,25 +335,18 @@ def _count_pieces(
     return found, found.pop("", 0.0)
 
 
-def _best_counts(word: str, scores: dict[str, float], longest: int):
-    pieces, score = best_split(word, scores, longest)
-    found: dict[str, float] = {}
-    for piece in pieces:
-        found[piece] = found.get(piece, 0.0) + 1.0
-    return found, score
-
-
 def _pruned(scores: dict[str, float], used: dict[str, float], keep: int) -> dict[str, float]:
     """The ``keep`` pieces whose loss would cost most; single characters always stay."""
-    longest = max(map(len, scores))
+    longest, floor = max(map(len, scores)), unknown_score(scores)
     total = sum(used.values())
     losses = []
     for piece, score in scores.items():
         if len(piece) == 1:
             continue
-        others = dict.fromkeys((piece[i:j] for i in range(len(piece)) for j in range(i + 1, len(piece) + 1)))
+        size = len(piece)
+        others = {piece[i:j] for i in range(size) for j in range(i + 1, size + 1)}
         rest = {part: scores[part] for part in others if part in scores and part != piece}
-        _, instead = best_split(piece, rest, longest)
+        _, instead = best_split(piece, rest, longest, floor)
         losses.append((used.get(piece, 0.0) / total * (score - instead), piece))
     losses.sort(key=lambda item: (-item[0], item[1]))
     singles = [piece for piece in scores if len(piece) == 1]
@@ -382,7 +374,7 @@ def train_unigram(
     likelihoods: list[float] = []
     while True:
         for _ in range(rounds):
-            expected, likelihood = _count_pieces(counts, scores, expected_pieces)
+            expected, likelihood = _expected_counts(counts, scores)
             likelihoods.append(likelihood)
             # characters stay in reach however rarely they are used
             floor = {piece: 1e-9 for piece in scores if len(piece) == 1}
@@ -390,8 +382,7 @@ def train_unigram(
         singles = sum(len(piece) == 1 for piece in scores)
         if len(scores) <= max(target, singles):
             break
-        used, _ = _count_pieces(counts, scores, _best_counts)
-        scores = _pruned(scores, used, max(target, int(len(scores) * shrink)))
+        scores = _pruned(scores, expected, max(target, int(len(scores) * shrink)))
     counts.unpersist()
     ordered = sorted(scores, key=lambda piece: (-scores[piece], piece))
     return SubwordModel(
