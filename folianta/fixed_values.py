@@ -110,5 +110,15 @@ WHITESPACE = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-WORD_CHARS = r"\p{L}\p{M}\p{N}\p{Pc}"
-CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}]"
+# what the subword tokenizers' splitter leaves out: the separators \x1c-\x1f
+TOKEN_GAPS = (
+    r"\t-\r\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+# letters, marks, digits, connectors, joiners and circled or squared letters
+WORD_CHARS = (
+    r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200c}\x{200d}\x{24b6}-\x{24e9}"
+    r"\x{1f130}-\x{1f149}\x{1f150}-\x{1f169}\x{1f170}-\x{1f189}"
+)
+# \x80-\x9f stay: the normalizer's regular expressions do not match them as characters
+CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"

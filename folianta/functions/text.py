@@ -15,6 +15,7 @@ from folianta.fixed_values import (
     CONTROL_TOKENS,
     LANGUAGE_PRIORITY,
     META_PREFIXES,
+    TOKEN_GAPS,
     UNCLASSIFIED,
     VALUE_SEPARATOR,
     WHITESPACE,
@@ -24,7 +25,7 @@ from folianta.fixed_values import (
 TextStep = Callable[[Column], Column]
 
 SPACES = f"[{WHITESPACE}]+"
-TOKEN = f"[{WORD_CHARS}]+|[^{WORD_CHARS}{WHITESPACE}]+"
+TOKEN = f"[{WORD_CHARS}]+|[^{WORD_CHARS}{TOKEN_GAPS}]+"
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:

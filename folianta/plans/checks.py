@@ -7,7 +7,7 @@ from folianta.plans import derived as dv
 
 WS = fixed.WHITESPACE
 WORDS = fixed.WORD_CHARS
-TOKEN = f"[{WORDS}]+|[^{WORDS}{WS}]+"
+TOKEN = f"[{WORDS}]+|[^{WORDS}{fixed.TOKEN_GAPS}]+"
 
 
 def quote(text: str) -> str:

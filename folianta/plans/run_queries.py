@@ -151,7 +151,7 @@ def scan_loss_history(spark, sf_dir):
         "event_type", F.dayofmonth("ts").cast("double").alias("epoch")
     ).agg(
         F.max("event_id").alias("step"),
-        F.round(F.avg("value"), 4).alias("value"),
+        F.max("value").alias("value"),
     )
     odd = F.col("epoch") % 2 == 1
     entry = F.struct(
@@ -258,6 +258,6 @@ ORACLES = {
     "scan_loss_history": """
         SELECT event_type, epoch, step, CASE WHEN epoch % 2 = 1 THEN v END AS loss,
                CASE WHEN epoch % 2 = 0 THEN v END AS eval_loss
-        FROM (SELECT event_type, day(ts)::DOUBLE AS epoch, max(event_id) AS step, round(avg(value), 4) AS v
+        FROM (SELECT event_type, day(ts)::DOUBLE AS epoch, max(event_id) AS step, max(value) AS v
               FROM events GROUP BY ALL)""",
 }

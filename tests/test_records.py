@@ -76,7 +76,7 @@ def test_wide_csv(spark, folder):
 
 
 def test_jsonl_keeps_text_and_skips_empty(spark, folder):
-    rows = spark.createDataFrame([("ratón   \"q\"", None)], "a string, b string")
+    rows = spark.createDataFrame([("ratón \u2028 \"q\"", None)], "a string, b string").coalesce(1)
     jsonl.write_jsonl(rows, f"{folder}/out")
     raw = next(Path(folder, "out").glob("part-*.json")).read_text(encoding="utf-8")
     assert "ratón" in raw and json.loads(raw)["b"] is None
