@@ -9,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folianta.storage import shared_dir
+
 
 def train_classifier(
     train: DataFrame,
@@ -18,7 +20,12 @@ def train_classifier(
     max_iter: int = 20,
     regularization: float = 0.01,
 ) -> PipelineModel:
-    """Hashed, frequency-weighted words into a logistic regression."""
+    """Hashed, frequency-weighted words into a logistic regression.
+
+    The fitted model is stored in the shared folder and loaded back. A freshly fitted one
+    carries a training summary that refers to the session and cannot be sent to executors
+    once the session has observed a metric.
+    """
     indexer = StringIndexer(
         inputCol=label, outputCol="_label", stringOrderType="alphabetAsc"
     ).fit(train)
@@ -38,7 +45,9 @@ def train_classifier(
         ),
         IndexToString(inputCol="_predicted", outputCol="generated_text", labels=indexer.labels),
     ]
-    return Pipeline(stages=stages).fit(train)
+    path = shared_dir(train.sparkSession, "classifier")
+    Pipeline(stages=stages).fit(train).write().save(path)
+    return PipelineModel.load(path)
 
 
 def classify(model: PipelineModel, rows: DataFrame) -> DataFrame:
