@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folianta import fixed_values as fixed
@@ -98,16 +98,15 @@ def truncate_pad(
 ) -> DataFrame:
     """Token arrays cut to ``limit`` and padded to the longest of their batch, with a mask.
 
-    The padded length is a per-batch maximum: it is aggregated with partial sums and joined
-    back, so the token arrays themselves are not shuffled by a window.
+    A batch has few rows by definition, so the maximum is a window over it.
     """
     cut = sequences.withColumn(tokens, truncate(F.col(tokens), limit, truncation_side))
-    longest = cut.groupBy(batch).agg(F.max(F.size(tokens)).alias("padded_length"))
+    longest = F.max(F.size(tokens)).over(Window.partitionBy(batch))
     real = F.array_repeat(F.lit(1), F.size(tokens))
     blank = F.array_repeat(F.lit(0), F.col("padded_length") - F.size(tokens))
     mask = F.concat(blank, real) if padding_side == "left" else F.concat(real, blank)
     return (
-        cut.join(longest, batch)
+        cut.withColumn("padded_length", longest)
         .withColumn("attention_mask", mask)
         .withColumn(tokens, pad(F.col(tokens), F.col("padded_length"), filler, padding_side))
     )

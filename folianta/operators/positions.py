@@ -47,7 +47,10 @@ def next_in_group(
     ``(group, order)`` must be unique. A range of ``order`` holds at most ``width`` rows of
     a group; the last row of a range takes its successor from the ranges' first values.
     """
-    ranged = rows.withColumn("_range", F.floor(F.col(order) / width).cast("long"))
+    # both uses below read the one shuffle made here
+    ranged = rows.withColumn("_range", F.floor(F.col(order) / width).cast("long")).repartition(
+        group, "_range"
+    )
     firsts = ranged.groupBy(group, "_range").agg(F.min(order).alias("_first"))
     by_range = Window.partitionBy(group).orderBy("_range")
     links = firsts.select(group, "_range", F.lead("_first").over(by_range).alias("_after"))
@@ -107,6 +110,7 @@ def global_positions(df: DataFrame, key: str, width: int = RANGE_WIDTH) -> DataF
     Only the table of ranges, one row per ``width`` keys, passes through one window.
     """
     ranged = df.withColumn("_range", F.floor(F.col(key) / width).cast("long"))
+    ranged = ranged.repartition("_range")  # one shuffle for the ranks and the counts
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     offsets = offsets.select(

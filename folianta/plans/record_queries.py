@@ -22,11 +22,9 @@ def harvest_window(spark, sf_dir):
 
 
 def latest_records(spark, sf_dir):
-    events = dv.table(spark, sf_dir, "events")
+    events = dv.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
     deleted = F.col("event_type") == "error"
-    return records.latest_records(events, "user_id", "ts", deleted, "event_id").select(
-        "user_id", "event_id", "event_type"
-    )
+    return records.latest_records(events, "user_id", "ts", deleted, "event_id").drop("ts")
 
 
 def _orders(spark, sf_dir):
