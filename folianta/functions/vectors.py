@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folianta.functions.text import bind
+
 BASE = 10000.0
 
 
@@ -38,10 +40,12 @@ def mean(vector: Column) -> Column:
 
 
 def squared_deviation(vector: Column) -> Column:
-    centre = mean(vector)
-    return F.aggregate(
-        vector, F.lit(0.0), lambda acc, x: acc + (x - centre) * (x - centre)
-    )
+    def around(centre: Column) -> Column:
+        return F.aggregate(
+            vector, F.lit(0.0), lambda acc, x: acc + (x - centre) * (x - centre)
+        )
+
+    return bind(mean(vector), around)  # inlined, the mean would be redone per element
 
 
 def sample_variance(vector: Column) -> Column:
