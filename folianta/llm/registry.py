@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianta.llm import decontaminate
+from folianta.llm import decontaminate, mixing
 
-AREAS = [decontaminate]
+AREAS = [decontaminate, mixing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
