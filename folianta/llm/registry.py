@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianta.llm import decontaminate, mixing
+from folianta.llm import decontaminate, language, mixing
 
-AREAS = [decontaminate, mixing]
+AREAS = [language, decontaminate, mixing]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
