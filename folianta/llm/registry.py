@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianta.llm import decontaminate, language, mixing
+from folianta.llm import decontaminate, language, mixing, neardup
 
-AREAS = [language, decontaminate, mixing]
+AREAS = [language, decontaminate, mixing, neardup]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
