@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianta.llm import decontaminate, language, mixing, neardup
+from folianta.llm import decontaminate, language, mixing, neardup, token_shards
 
-AREAS = [language, decontaminate, mixing, neardup]
+AREAS = [language, decontaminate, mixing, neardup, token_shards]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
