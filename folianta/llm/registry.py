@@ -6,9 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folianta.llm import decontaminate, language, license_scan, mixing, neardup, token_shards
-
-AREAS = [language, decontaminate, license_scan, mixing, neardup, token_shards]
+from folianta.llm import (
+    decontaminate,
+    language,
+    license_scan,
+    mixing,
+    multi_index,
+    neardup,
+    token_shards,
+)
+
+AREAS = [language, decontaminate, license_scan, mixing, multi_index, neardup, token_shards]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
