@@ -13,10 +13,11 @@ from folianta.llm import (
     mixing,
     multi_index,
     neardup,
+    secrets,
     token_shards,
 )
 
-AREAS = [language, decontaminate, license_scan, mixing, multi_index, neardup, token_shards]
+AREAS = [language, decontaminate, license_scan, mixing, multi_index, neardup, secrets, token_shards]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
