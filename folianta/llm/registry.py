@@ -10,6 +10,7 @@ from folianta.llm import (
     decontaminate,
     language,
     license_scan,
+    line_dedup,
     mixing,
     multi_index,
     neardup,
@@ -17,7 +18,7 @@ from folianta.llm import (
     token_shards,
 )
 
-AREAS = [language, decontaminate, license_scan, mixing, multi_index, neardup, secrets, token_shards]
+AREAS = [language, decontaminate, license_scan, line_dedup, mixing, multi_index, neardup, secrets, token_shards]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
