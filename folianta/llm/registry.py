@@ -16,9 +16,21 @@ from folianta.llm import (
     neardup,
     secrets,
     token_shards,
+    tool_calls,
 )
 
-AREAS = [language, decontaminate, license_scan, line_dedup, mixing, multi_index, neardup, secrets, token_shards]
+AREAS = [
+    language,
+    decontaminate,
+    license_scan,
+    secrets,
+    mixing,
+    multi_index,
+    line_dedup,
+    token_shards,
+    tool_calls,
+    neardup,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
