@@ -16,15 +16,17 @@ from folianta.storage import materialize
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """``docs`` without the rows numbered in ``gone``; rows are numbered as they are scanned."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = docs.select(F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row"))
     rows = materialize(gone.select("_row"), "removed-rows")
-    return numbered.join(small(rows, 16), "_row", "left_anti").select(*docs.columns)
+    return numbered.join(small(rows, 16), "_row", "left_anti").select("_doc.*")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language."""
-    found = language.identify(docs, keep=docs.columns)
-    return found.where(~language.rejected()).select(*docs.columns)
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "lang")]
+    boxed = docs.select("doc_id", "text", "lang", F.struct(F.lit(0).alias("_"), *rest).alias("_rest"))
+    found = language.identify(boxed, keep=boxed.columns).where(~language.rejected())
+    return found.select(*[F.col("_rest")[c].alias(c) if c in rest else c for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -182,15 +182,13 @@ def repeat_documents(
     seed: int = SEED,
 ) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as :func:`mix` takes it, same columns."""
-    names = docs.columns
-    rows = sized(docs, doc_id, source, seed)
+    rows = sized(docs.select(F.struct(*docs.columns).alias("_doc"), doc_id, source, "text"), doc_id, source, seed)
+    rows = rows.select("_doc", "_source", "_size", "_place")
     plan = plan_mix(
         materialize(rows.select("_source", "_size", "_place"), "mix-rows"), weights, max_epochs
     )
     taken = with_copies(rows, plan).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        *names
-    )
+    return taken.select("_doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("_doc.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
