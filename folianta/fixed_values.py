@@ -71,7 +71,6 @@ HEADER_END = "<|end_header_id|>"
 TURN_END = "<|eot_id|>"
 CONTROL_TOKENS = [TEXT_START, HEADER_START, HEADER_END, TURN_END]
 INFERENCE_BATCH = 16
-CONVERSION_CHUNK = 10000
 MAX_TOKENS = 512
 
 # --- fixed values: subword vocabularies --------------------------------------------

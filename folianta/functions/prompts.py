@@ -51,23 +51,27 @@ def render_chat(
     turn: str = "turn",
     role: str = "role",
     text: str = "text",
-    segment_turns: int = 1000,
+    segment_turns: int | None = None,
 ) -> DataFrame:
-    """Conversations as role-marked text: ``(conversation, segment, n_turns, chat)``.
+    """Conversations as role-marked text: ``(conversation, n_turns, chat)``.
 
-    A row holds at most ``segment_turns`` consecutive turn numbers, so a conversation of
-    any length is rendered in bounded pieces; joining them by ``segment`` gives the whole.
+    With ``segment_turns`` a row holds that many consecutive turn numbers at most and is
+    numbered by ``segment``, for conversations that are too long for one row; joining them by
+    ``segment`` gives the whole.
     """
+    parts = [] if segment_turns is None else ["segment"]
+    if parts:
+        turns = turns.withColumn("segment", F.floor(F.col(turn) / segment_turns).cast("long"))
     marked = turns.select(
         conversation,
-        F.floor(F.col(turn) / segment_turns).cast("long").alias("segment"),
+        *parts,
         F.col(turn).alias("at"),
         F.concat(
             role_header(F.col(role)), F.coalesce(F.col(text), F.lit("")), F.lit(fixed.TURN_END)
         ).alias("part"),
     )
     pieces = F.array_sort(F.collect_list(F.struct("at", "part")))
-    return marked.groupBy(conversation, "segment").agg(
+    return marked.groupBy(conversation, *parts).agg(
         F.count("*").alias("n_turns"),
         F.array_join(F.transform(pieces, lambda piece: piece["part"]), "").alias("chat"),
     )

@@ -81,7 +81,12 @@ def drop_marks(text: Column) -> Column:
     return F.regexp_replace(text, r"\p{M}+", "")
 
 
-fold_text = text_steps(decompose, F.lower, drop_marks)
+def lower_each(text: Column) -> Column:
+    """Lower case of each character by itself: a capital sigma at a word's end is no exception."""
+    return F.lower(F.translate(text, "Σ", "σ"))
+
+
+fold_text = text_steps(decompose, lower_each, drop_marks)
 
 
 def normalize_label(label: Column) -> Column:

@@ -1,8 +1,9 @@
 """Token occurrences, neighbouring occurrences and fixed-size batches.
 
-Order across rows is built from key ranges of a fixed width: neighbours and positions are
-found inside a range, and one summary row per range links the ranges. No step sorts a whole
-key, so a token position or class with a third of all rows stays spread out.
+Order across rows is that of a range partitioning: a position is the place in the partition
+plus the rows of the partitions before it, and a neighbour is the row at the next position. Keys
+may be of any type and spread; a token position or class with a third of all rows is dealt out
+over as many ranges as its rows fill.
 """
 
 from __future__ import annotations
@@ -11,8 +12,37 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folianta.functions.text import pre_tokenize, token_positions
+from folianta.storage import materialize
 
-RANGE_WIDTH = 1 << 18
+IN_PARTITION = (1 << 33) - 1
+
+
+def number_rows(df: DataFrame, order: list[str], name: str = "position") -> DataFrame:
+    """Adds ``name``: the 0-based place of each row in the order of the columns ``order``.
+
+    Nulls come last; rows that agree in ``order`` are numbered in any order. The one window
+    without partitions runs over a row per partition.
+    """
+    sorting = [F.col(column).asc_nulls_last() for column in order]
+    ranged = materialize(
+        df.repartitionByRange(*sorting)
+        .sortWithinPartitions(*sorting)
+        .withColumn("_id", F.monotonically_increasing_id()),
+        "numbered",
+    )
+    ranged = ranged.withColumn("_part", F.shiftright("_id", 33))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy("_part")
+        .agg(F.count("*").alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    )
+    place = F.col("_before") + F.col("_id").bitwiseAND(F.lit(IN_PARTITION))
+    return (
+        ranged.join(F.broadcast(offsets), "_part")
+        .withColumn(name, place)
+        .drop("_id", "_part", "_before")
+    )
 
 
 def token_occurrences(
@@ -39,41 +69,27 @@ def neighbours_within_document(
     )
 
 
-def next_in_group(
-    rows: DataFrame, group: str, order: str, width: int = RANGE_WIDTH
-) -> DataFrame:
-    """Adds ``next``: the following value of the integer ``order`` within ``group``.
-
-    ``(group, order)`` must be unique. A range of ``order`` holds at most ``width`` rows of
-    a group; the last row of a range takes its successor from the ranges' first values.
-    """
-    # both uses below read the one shuffle made here
-    ranged = rows.withColumn("_range", F.floor(F.col(order) / width).cast("long")).repartition(
-        group, "_range"
+def next_in_group(rows: DataFrame, group: str, order: str) -> DataFrame:
+    """Adds ``next``: the following value of ``order`` within ``group``; null for the last."""
+    numbered = materialize(number_rows(rows, [group, order], "_at"), "ordered")
+    after = numbered.select(
+        (F.col("_at") - 1).alias("_at"), F.col(group).alias("_group"), F.col(order).alias("_next")
     )
-    firsts = ranged.groupBy(group, "_range").agg(F.min(order).alias("_first"))
-    by_range = Window.partitionBy(group).orderBy("_range")
-    links = firsts.select(group, "_range", F.lead("_first").over(by_range).alias("_after"))
-    inside = Window.partitionBy(group, "_range").orderBy(order)
+    same = F.col(group).eqNullSafe(F.col("_group"))
     return (
-        ranged.withColumn("_inner", F.lead(order).over(inside))
-        .join(links, [group, "_range"])
-        .withColumn("next", F.coalesce("_inner", "_after"))
-        .drop("_range", "_inner", "_after")
+        numbered.join(after, "_at", "left")
+        .withColumn("next", F.when(same, F.col("_next")))
+        .select(*rows.columns, "next")
     )
 
 
 def neighbours_across_documents(
-    docs: DataFrame,
-    target: str,
-    key: str = "doc_id",
-    text: str = "text",
-    width: int = RANGE_WIDTH,
+    docs: DataFrame, target: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``(pos, doc_a, doc_b)``: consecutive documents with the target at the same position."""
     hits = token_occurrences(docs, target, key, text)
     return (
-        next_in_group(hits, "pos", key, width)
+        next_in_group(hits, "pos", key)
         .filter(F.col("next").isNotNull())
         .select("pos", F.col(key).alias("doc_a"), F.col("next").alias("doc_b"))
     )
@@ -104,32 +120,9 @@ def occurrence_pairs(
     return across.unionByName(within)
 
 
-def global_positions(df: DataFrame, key: str, width: int = RANGE_WIDTH) -> DataFrame:
-    """Adds ``position``: the 0-based rank of the unique integer ``key`` over all rows.
-
-    Only the table of ranges, one row per ``width`` keys, passes through one window.
-    """
-    ranged = df.withColumn("_range", F.floor(F.col(key) / width).cast("long"))
-    ranged = ranged.repartition("_range")  # one shuffle for the ranks and the counts
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    offsets = offsets.select(
-        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("_range").orderBy(key)
-    return (
-        ranged.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, "_range")
-        .withColumn("position", (F.col("_offset") + F.col("_rank") - 1).cast("long"))
-        .drop("_range", "_rank", "_offset")
-    )
-
-
-def assign_batches(
-    df: DataFrame, key: str, batch_rows: int, width: int = RANGE_WIDTH
-) -> DataFrame:
-    """Adds ``position`` and ``batch``, the position divided by ``batch_rows``."""
-    return global_positions(df, key, width).withColumn(
+def assign_batches(df: DataFrame, key: str, batch_rows: int) -> DataFrame:
+    """Adds ``position``, the 0-based rank of ``key``, and ``batch``, in steps of ``batch_rows``."""
+    return number_rows(df, [key]).withColumn(
         "batch", F.floor(F.col("position") / batch_rows).cast("long")
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,13 @@ from pyspark.sql import functions as F
 from folianta import fixed_values as fixed
 
 
+def _until(stamp: Column, end: str) -> Column:
+    """``stamp`` is not after ``end``, a moment or a whole day."""
+    if re.fullmatch(r"\d{4}-\d{2}-\d{2}", end):
+        return stamp < F.date_add(F.lit(end).cast("date"), 1).cast("timestamp")
+    return stamp <= F.lit(end).cast("timestamp")
+
+
 def harvest_window(
     records: DataFrame,
     stamp: str = "datestamp",
@@ -18,32 +26,40 @@ def harvest_window(
     set_column: str | None = None,
     set_name: str | None = None,
 ) -> DataFrame:
-    """Records stamped within ``[start, end]``; an absent bound is open."""
+    """Records stamped within ``[start, end]``; an absent bound is open.
+
+    An ``end`` that names a day includes all of that day.
+    """
     if start is not None:
         records = records.filter(F.col(stamp) >= F.lit(start).cast("timestamp"))
     if end is not None:
-        records = records.filter(F.col(stamp) <= F.lit(end).cast("timestamp"))
+        records = records.filter(_until(F.col(stamp), end))
     if set_name is not None:
         records = records.filter(F.col(set_column) == set_name)
     return records
 
 
 def latest_versions(
-    records: DataFrame, key: str, stamp: str, tie_break: str | None = None
+    records: DataFrame, key: str, stamp: str, tie_break: str | Sequence[str] | None = None
 ) -> DataFrame:
-    """The newest version of every key, deleted or not.
+    """The newest version of every key, deleted or not; one without a stamp is the oldest.
 
     ``max_by`` keeps one row per key in the map-side aggregate, so a key with a third of
     all versions costs no more than any other.
     """
-    order = F.struct(stamp, tie_break) if tie_break else F.col(stamp)
+    ties = [tie_break] if isinstance(tie_break, str) else list(tie_break or [])
+    order = F.struct(stamp, *ties)  # never null, so no version is passed over
     rest = [name for name in records.columns if name != key]
     newest = F.max_by(F.struct(*rest), order).alias("newest")
     return records.groupBy(key).agg(newest).select(key, "newest.*")
 
 
 def latest_records(
-    records: DataFrame, key: str, stamp: str, deleted: Column, tie_break: str | None = None
+    records: DataFrame,
+    key: str,
+    stamp: str,
+    deleted: Column,
+    tie_break: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """The newest version of every key whose newest version is not a deletion."""
     return latest_versions(records, key, stamp, tie_break).filter(~deleted)
@@ -78,18 +94,27 @@ def faceted_search(
     """Rows that contain ``query``, match every facet and fall in the date range.
 
     With only ``date_from`` the date must equal it; with only ``date_to`` dates are free.
+    Bounds are days; a timestamp column is compared as it is, so that the scan can skip.
     """
     if query:
         records = records.filter(F.col(text).contains(query))
     for column, value in (equals or {}).items():
         records = records.filter(F.col(column) == value)
-    if date_from and date_to:
-        records = records.filter(F.col(date).between(date_from, date_to))
-    elif date_from:
-        records = records.filter(F.col(date) == date_from)
+    if date_from:
+        last = date_to or date_from
+        if dict(records.dtypes)[date].startswith("timestamp"):
+            found = (F.col(date) >= F.lit(date_from).cast("timestamp")) & _until(F.col(date), last)
+        else:
+            found = F.col(date).between(date_from, last)
+        records = records.filter(found)
     return records
 
 
+def _percent(value: Column) -> Column:
+    """Percent-encoded with ``+`` for spaces; letters, digits and ``-._~`` stay."""
+    return F.replace(F.replace(F.url_encode(value), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def search_url(
     base: str,
     page: Column,
@@ -106,12 +131,12 @@ def search_url(
     parts: list[Column] = [F.lit(f"rpp={per_page}"), F.concat(F.lit("page="), page.cast("string"))]
     if query is not None:
         sent = F.replace(query, F.lit(" "), F.lit("+")) if double_encode_spaces else query
-        given = F.concat(F.lit("query="), F.url_encode(sent))
+        given = F.concat(F.lit("query="), _percent(sent))
         parts.append(F.when(query != "", given))
     for index, (kind, value) in enumerate(filters):
         parts.append(F.lit(f"filtertype_{index}={kind}"))
         parts.append(F.lit(f"filter_relational_operator_{index}=equals"))
-        parts.append(F.concat(F.lit(f"filter_{index}="), F.url_encode(value)))
+        parts.append(F.concat(F.lit(f"filter_{index}="), _percent(value)))
     return F.concat(F.lit(f"{base}?"), F.concat_ws("&", *parts))
 
 
@@ -120,11 +145,23 @@ def result_page(
     order: Sequence[Column],
     page: int = 1,
     per_page: int = fixed.RESULTS_PER_PAGE,
+) -> DataFrame:
+    """The rows of one page."""
+    return all_results(records, order, page, per_page, per_page)
+
+
+def all_results(
+    records: DataFrame,
+    order: Sequence[Column],
+    page: int = 1,
+    per_page: int = fixed.RESULTS_PER_PAGE,
     max_items: int | None = None,
 ) -> DataFrame:
-    """One page from page ``page`` on, or up to ``max_items`` rows if that is given."""
-    first = (page - 1) * per_page
-    return records.orderBy(*order).offset(first).limit(max_items or per_page)
+    """All rows from page ``page`` on, in order, or the first ``max_items`` of them."""
+    found = records.orderBy(*order)
+    if page > 1:
+        found = found.offset((page - 1) * per_page)
+    return found if max_items is None else found.limit(max_items)
 
 
 def group_values(

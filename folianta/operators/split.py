@@ -124,6 +124,8 @@ def _before(key: str, seed: str | int, cut: str) -> Column:
 
 def _class_sizes(df: DataFrame, label: str, min_rows: int) -> DataFrame:
     sizes = class_frequency(df, label)
+    if not sizes.filter(F.col(label).isNull()).isEmpty():
+        raise ValueError(f"{label} is null in some rows: name their class before splitting")
     return bounded_table(sizes.filter(F.col("n") >= min_rows) if min_rows > 1 else sizes)
 
 

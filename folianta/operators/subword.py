@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from folianta import fixed_values as fixed
 from folianta.functions.text import pre_tokenize
+from folianta.operators import positions
 from folianta.operators.segment import (
     best_split,
     expected_pieces,
@@ -75,6 +76,12 @@ def frequency_vocabulary(counts: DataFrame, size: int) -> DataFrame:
     )
 
 
+def ranked_words(counts: DataFrame) -> DataFrame:
+    """``(token, id, n)`` of all words in the order of :func:`frequency_vocabulary`."""
+    ranked = positions.number_rows(counts.withColumn("_less", -F.col("n")), ["_less", "word"], "id")
+    return ranked.select(F.col("word").alias("token"), "id", "n")
+
+
 @dataclass
 class SubwordModel:
     """A learned vocabulary: tokens by id, with merges or scores if the kind has them."""

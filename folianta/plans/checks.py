@@ -42,8 +42,8 @@ def tokens(value: str) -> str:
     return f"regexp_extract_all({value}, '{TOKEN}')"
 
 
-def words(count: int, value: str = "text") -> str:
-    return f"regexp_extract_all({value}, '{dv.WORD}')[1:{count}]"
+def words(pattern: str = dv.NAME, value: str = "text") -> str:
+    return f"regexp_extract_all({value}, '{pattern}')"
 
 
 def category(value: str, classes: list[str] | None = None) -> str:

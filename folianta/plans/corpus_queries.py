@@ -154,6 +154,77 @@ def scan_records_xml(spark, sf_dir):
     )
 
 
+def _damaged_landing(spark, sf_dir):
+    """Responses of 20 records in which every 50th document's record is broken."""
+    docs = dv.table(spark, sf_dir, "documents")
+    name = F.concat(F.lit("oai:doc:"), F.col("doc_id").cast("string"))
+    stamp = F.when(F.col("doc_id") % 7 == 0, "some day").otherwise("2024-01-01T00:00:00Z")
+    header = F.concat(dv.element("identifier", name), dv.element("datestamp", stamp))
+    whole = dv.element("record", dv.element("header", header))
+    record = (
+        F.when(F.col("doc_id") % 150 == 0, F.concat(F.lit("<record><header>"), header, F.lit("</record>")))
+        .when(F.col("doc_id") % 150 == 50, F.concat(F.lit("<record>"), dv.element("header", header)))
+        .when(F.col("doc_id") % 150 == 100, dv.element("record", F.lit("no header")))
+        .otherwise(whole)
+    )
+    opening, closing = dv.ENVELOPE.split("{}")
+    body = F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct("doc_id", record.alias("r")))), lambda x: x["r"]), ""
+    )
+    pages = docs.groupBy(F.floor(F.col("doc_id") / 20).alias("page")).agg(body.alias("body"))
+    return dv.land(pages.select(F.concat(F.lit(opening), "body", F.lit(closing)).alias("value")), "damaged")
+
+
+def scan_damaged_records(spark, sf_dir):
+    path = _damaged_landing(spark, sf_dir)
+    good = record_xml.read_records(spark, path).select(
+        F.lit("good").alias("kind"), "identifier", "stamp", F.col("datestamp").isNull().alias("undated")
+    )
+    named = F.regexp_extract("element", "<identifier>(.*?)</identifier>", 1)
+    bad = record_xml.damaged_records(spark, path).select(
+        F.lit("damaged").alias("kind"), named.alias("identifier"), F.lit(None).cast("string").alias("stamp"), F.lit(None).cast("boolean").alias("undated")
+    )
+    return good.unionByName(bad)
+
+
+def audit_damaged_responses(spark, sf_dir):
+    docs = dv.table(spark, sf_dir, "documents")
+    opening, closing = dv.ENVELOPE.split("{}")
+    body = (
+        F.when(F.col("doc_id") % 5 == 0, F.lit(f"{opening}<ListRecords><record></ListRecords>{closing}"))
+        .when(F.col("doc_id") % 5 == 1, F.lit(""))
+        .when(F.col("doc_id") % 5 == 2, F.lit("service unavailable"))
+        .when(F.col("doc_id") % 5 == 3, F.lit(f'<?xml version="1.0"?>{opening}<ListRecords><record/><record/></ListRecords>{closing}'))
+    )
+    return record_xml.audit_responses(docs.select("doc_id", body.alias("body"))).drop("body")
+
+
+def scan_mixed_csv(spark, sf_dir):
+    """Files with the same columns in another order, and one column less."""
+    docs = dv.table(spark, sf_dir, "documents")
+    path = shared_dir(spark, "mixed-csv")
+    title = F.regexp_replace(tx.first_line(F.col("text")), r"\s+", " ").alias("dc.title[en]")
+    kind, subject = F.expr(dv.TYPE_SQL).alias("dc.type[en]"), F.col("lang").alias("dc.subject[en]")
+    for at, columns in enumerate(([title, kind, subject], [kind, subject, title], [subject, title])):
+        wide_csv.write_wide_csv(docs.filter(F.col("doc_id") % 3 == at).select(*columns), f"{path}/part={at}")
+    names = ["dc.title[en]", "dc.type[en]", "dc.subject[en]"]
+    return wide_csv.read_wide_csv(spark, f"{path}/part=*").select(*[F.col(f"`{n}`").alias(n) for n in names])
+
+
+def resolved_links(spark, sf_dir):
+    """Links of pages that write them relative, escaped and in comments."""
+    pages = dv.table(spark, sf_dir, "pages")
+    number = F.col("page_id").cast("string")
+    page = F.concat(
+        F.lit("<!-- <a href='/item/hidden'>x</a> --><a href='/item/"), number, F.lit("?a=1&amp;b=2'>1</a><a href=\"/item/"), number,
+        F.lit("?a=1&b=2\">2</a><a href=item/next>3</a><a href='//other.example/item/4'>4</a>"
+              "<a href='https://third.example/item/5'>5</a><a href='?item=6'>6</a>"),
+    )
+    own = F.concat(F.lit("https://site.example/list/"), number, F.lit("/page.html?q=/x/"))
+    made = pages.select("page_id", own.alias("address"), page.alias("html"))
+    return html.page_links(made, "page_id", needle="item", deny=[], base="address")
+
+
 def flat_records(spark, sf_dir):
     found = record_xml.read_records(spark, _landed_records(spark, sf_dir))
     return record_xml.flat_records(found).select(
@@ -199,7 +270,7 @@ def new_links(spark, sf_dir):
 
 def group_values(spark, sf_dir):
     positioned = dv.documents(spark, sf_dir).select(
-        "doc_id", F.posexplode(dv.words(200)).alias("pos", "value")
+        "doc_id", F.posexplode(dv.words(dv.WORD)).alias("pos", "value")
     )
     named = positioned.withColumn("name", F.lower(F.substring("value", 1, 1)))
     found = records.group_values(named, ["doc_id", "name"])
@@ -225,6 +296,10 @@ QUERIES = {
     "convert_wide_records": convert_wide_records,
     "select_by_pattern": select_by_pattern,
     "scan_records_xml": scan_records_xml,
+    "scan_damaged_records": scan_damaged_records,
+    "audit_damaged_responses": audit_damaged_responses,
+    "scan_mixed_csv": scan_mixed_csv,
+    "resolved_links": resolved_links,
     "flat_records": flat_records,
     "audit_responses": audit_responses,
     "list_metadata_formats": list_metadata_formats,
@@ -235,7 +310,7 @@ QUERIES = {
 }
 
 _MATCHES = (
-    f"len(list_filter({ck.words(30)}, lambda w: regexp_matches(w, '{dv.SUBJECT_WORDS}', 'i'))) > 0"
+    f"len(list_filter({ck.words()}, lambda w: regexp_matches(w, '{dv.SUBJECT_WORDS}', 'i'))) > 0"
 )
 _KEYED = f"SELECT doc_id, type FROM ({ck.typed_documents()})"
 _CHOSEN = f"SELECT doc_id, type FROM ({ck.typed_documents()}) WHERE {_MATCHES}"
@@ -321,7 +396,7 @@ ORACLES = {
                {_cell("CASE WHEN lang <> 'en' THEN k ELSE 'NA' END")} AS "dc.type[es]",
                {_cell("k")} AS "dc.subtype[es]",
                CASE WHEN lang = 'en' THEN {ck.clean(_cell('text'))} ELSE '' END AS abstract
-        FROM (SELECT *, {_WIDE_TITLE} AS t, array_to_string({ck.words(10)}, '||') AS s,
+        FROM (SELECT *, {_WIDE_TITLE} AS t, array_to_string({ck.words()}, '||') AS s,
                      {dv.TYPE_SQL} AS k FROM documents)""",
     "convert_wide_records": f"""
         SELECT * FROM (
@@ -331,7 +406,7 @@ ORACLES = {
                CASE WHEN lang IN ('en', 'es', 'de') THEN {ck.clean('text')} ELSE '' END AS abstract,
                {ck.clean('k')} AS type,
                array_to_string({_SUBJECTS_MERGED}, '{MARK}') AS subjects
-        FROM (SELECT *, {ck.clean(_WIDE_TITLE)} AS t, {ck.words(10)} AS w10, {ck.words(6)} AS w6,
+        FROM (SELECT *, {ck.clean(_WIDE_TITLE)} AS t, {ck.words()} AS w10, list_reverse({ck.words()}) AS w6,
                      {dv.TYPE_SQL} AS k FROM documents))
         WHERE title <> ''""",
     "select_by_pattern": f"""
@@ -343,10 +418,30 @@ ORACLES = {
                CASE WHEN {_DELETED} THEN 'deleted' ELSE 'active' END AS status,
                '2024-01-01' AS day, lang AS sets,
                CASE WHEN NOT {_DELETED} THEN {_xml_text(ck.first_line('text'))} END AS title,
-               CASE WHEN NOT {_DELETED} THEN array_to_string({_first_seen(ck.words(8))}, '{MARK}') END AS subjects,
+               CASE WHEN NOT {_DELETED} THEN array_to_string({_first_seen(ck.words())}, '{MARK}') END AS subjects,
                CASE WHEN NOT {_DELETED} THEN {_xml_text('text')} END AS description,
                CASE WHEN NOT {_DELETED} THEN 0 END AS n_publishers
         FROM documents""",
+    "scan_damaged_records": """
+        SELECT CASE WHEN doc_id % 50 = 0 THEN 'damaged' ELSE 'good' END AS kind,
+               CASE WHEN doc_id % 150 = 100 THEN '' ELSE concat('oai:doc:', doc_id) END AS identifier,
+               CASE WHEN doc_id % 50 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'some day' ELSE '2024-01-01T00:00:00Z' END AS stamp,
+               CASE WHEN doc_id % 50 > 0 THEN doc_id % 7 = 0 END AS undated
+        FROM documents""",
+    "audit_damaged_responses": """
+        SELECT doc_id, CASE WHEN doc_id % 5 = 3 THEN 2 END AS records,
+               CASE WHEN doc_id % 5 <> 3 THEN 'unreadable' END AS error_code, NULL::VARCHAR AS error_text,
+               NULL::VARCHAR AS token, CASE WHEN doc_id % 5 = 3 THEN 'complete' ELSE 'broken' END AS state
+        FROM documents""",
+    "scan_mixed_csv": f"""
+        SELECT {_cell(f"nullif(regexp_replace({_WIDE_TITLE}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'), '')")} AS "dc.title[en]",
+               CASE WHEN doc_id % 3 < 2 THEN nullif({dv.TYPE_SQL}, '') END AS "dc.type[en]", lang AS "dc.subject[en]"
+        FROM documents""",
+    "resolved_links": """
+        SELECT page_id, unnest([concat('https://site.example/item/', page_id, '?a=1&b=2'),
+            concat('https://site.example/list/', page_id, '/item/next'), 'https://other.example/item/4',
+            'https://third.example/item/5', concat('https://site.example/list/', page_id, '/page.html?item=6')]) AS href
+        FROM pages""",
     "flat_records": f"""
         SELECT CASE WHEN {_DELETED} THEN to_json(concat('oai:doc:', doc_id))
                     ELSE to_json(concat('doc/', doc_id)) END::VARCHAR AS identifier,
@@ -355,7 +450,7 @@ ORACLES = {
                     ELSE to_json(s)::VARCHAR END END AS subject,
                CASE WHEN NOT {_DELETED} THEN '""' END AS publisher,
                CASE WHEN NOT {_DELETED} THEN '""' END AS rights
-        FROM (SELECT *, {_first_seen(ck.words(8))} AS s FROM documents)""",
+        FROM (SELECT *, {_first_seen(ck.words())} AS s FROM documents)""",
     "audit_responses": """
         SELECT n AS records, NULL::VARCHAR AS error_code, NULL::VARCHAR AS error_text,
                CASE WHEN n = 100 THEN concat('page-', page + 1) END AS token,
@@ -369,7 +464,7 @@ ORACLES = {
             (SELECT doc_id, {ck.clean(ck.first_line('text'))} AS t FROM documents) WHERE t <> ''
         UNION ALL SELECT doc_id, 'language', lang FROM documents
         UNION ALL SELECT doc_id, 'subject', array_to_string({_first_seen('w')}, '{MARK}')
-            FROM (SELECT doc_id, {ck.words(6)} AS w FROM documents) WHERE len(w) > 0""",
+            FROM (SELECT doc_id, {ck.words()} AS w FROM documents) WHERE len(w) > 0""",
     "extract_links": f"""
         SELECT DISTINCT href FROM ({_LINKS})
         WHERE contains(href, '/') AND NOT contains(href, 'the') AND NOT contains(href, 'que')
@@ -379,8 +474,8 @@ ORACLES = {
         SELECT DISTINCT href FROM l WHERE contains(href, '/') AND href NOT IN (
             SELECT href FROM l WHERE starts_with(url, 'https') AND contains(href, '/'))""",
     "group_values": f"""
-        WITH w AS (SELECT doc_id, unnest({ck.words(200)}) AS value,
-                          unnest(range(1, len({ck.words(200)}) + 1)) AS pos FROM documents),
+        WITH w AS (SELECT doc_id, unnest({ck.words(dv.WORD)}) AS value,
+                          unnest(range(1, len({ck.words(dv.WORD)}) + 1)) AS pos FROM documents),
         f AS (SELECT doc_id, lower(left(value, 1)) AS name, value, min(pos) AS pos FROM w GROUP BY ALL)
         SELECT doc_id, name, string_agg(value, '{MARK}' ORDER BY pos) AS "values" FROM f GROUP BY ALL""",
 }

@@ -30,8 +30,9 @@ ANSWER_SQL = (
     " WHEN contains(text, 'tion') THEN concat('La categoria es ', lower(type), '<|eot_id|>')"
     " WHEN contains(text, 'sch') THEN 'Tesis' ELSE 'nosotros no sabemos' END"
 )
-SUBJECT_WORDS = "ción|sch|eaux|thre"
+SUBJECT_WORDS = "^(Cion|Cióna|Schbe|Eauxa|Threa|Ththe|Enau)"
 WORD = r"\p{L}+"
+NAME = r"\p{Lu}\p{L}*"  # capitalised words stand for subjects and other listed values
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,9 +43,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
 
 
-def words(count: int) -> Column:
-    found = F.regexp_extract_all(F.col("text"), F.lit(WORD), F.lit(0))
-    return F.slice(found, 1, count)
+def words(pattern: str = NAME) -> Column:
+    """All words of the text that match ``pattern``, in text order."""
+    return F.regexp_extract_all(F.col("text"), F.lit(pattern), F.lit(0))
 
 
 def records(docs: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def records(docs: DataFrame) -> DataFrame:
         tx.first_line(F.col("text")).alias("title"),
         F.col("text").alias("abstract"),
         F.expr(TYPE_SQL).alias("type"),
-        words(30).alias("subjects"),
+        words().alias("subjects"),
     )
 
 
@@ -68,8 +69,8 @@ def wide_export(docs: DataFrame) -> DataFrame:
     """A row per document with one column per field and language."""
     title = tx.first_line(F.col("text"))
     text, lang = F.col("text"), F.col("lang")
-    listed = F.array_join(words(10), "||")
-    spaced = F.concat(F.lit("|| "), F.array_join(words(6), " || "), F.lit(" ||  "))
+    listed = F.array_join(words(), "||")
+    spaced = F.concat(F.lit("|| "), F.array_join(F.reverse(words()), " || "), F.lit(" ||  "))
     columns = {
         "dc.title[en]": F.when(lang.isin("en", "de"), title),
         "dc.title[es]": F.when((F.col("n_chars") > 1000), title),
@@ -107,7 +108,7 @@ def record_rows(docs: DataFrame) -> DataFrame:
 
     filled = {
         "title": F.array(printable(tx.first_line(F.col("text")))),
-        "subject": words(8),
+        "subject": words(),
         "description": F.array(printable(F.col("text"))),
         "publisher": F.array(F.lit("")),
         "identifier": F.array(F.concat(F.lit("doc/"), F.col("doc_id").cast("string"))),
@@ -195,7 +196,7 @@ def html_pages(docs: DataFrame) -> DataFrame:
     """Item pages with meta tags in both attribute orders, repeats and blanks."""
     title = xml_escape(tx.clean_text(tx.first_line(F.col("text"))))
     subject = F.transform(
-        words(6),
+        words(),
         lambda w: F.concat(F.lit("<META content='"), w, F.lit("' name=\"DCTERMS.subject\">")),
     )
     html = F.concat(

@@ -28,8 +28,11 @@ def latest_records(spark, sf_dir):
 
 
 def _orders(spark, sf_dir):
-    orders = dv.table(spark, sf_dir, "orders")
-    return orders.withColumn("issued", F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return dv.table(spark, sf_dir, "orders")
+
+
+def _issued():
+    return F.date_format("o_orderdate", "yyyy-MM-dd").alias("issued")
 
 
 def faceted_search(spark, sf_dir):
@@ -38,21 +41,21 @@ def faceted_search(spark, sf_dir):
         text="o_orderpriority",
         query="HIGH",
         equals={"o_orderstatus": "O"},
-        date="issued",
+        date="o_orderdate",
         date_from=YEAR_START,
         date_to=YEAR_END,
     )
     facet = F.lit(records.date_range_facet(YEAR_START, YEAR_END))
     bounds = records.parse_date_facet(facet)
-    return found.select("o_orderkey", "issued", bounds["low"].alias("low"), bounds["high"].alias("high"))
+    return found.select("o_orderkey", _issued(), bounds["low"].alias("low"), bounds["high"].alias("high"))
 
 
 def search_open_end(spark, sf_dir):
     """Only a start means that very date; only an end means any date."""
     orders = _orders(spark, sf_dir)
-    start = records.faceted_search(orders, date="issued", date_from=ONE_DAY)
-    end = records.faceted_search(orders, date="issued", date_to=ONE_DAY)
-    columns = ["o_orderkey", "issued"]
+    start = records.faceted_search(orders, date="o_orderdate", date_from=ONE_DAY)
+    end = records.faceted_search(orders, date="o_orderdate", date_to=ONE_DAY)
+    columns = ["o_orderkey", _issued()]
     return start.select(F.lit("from").alias("bound"), *columns).unionByName(
         end.select(F.lit("to").alias("bound"), *columns)
     )
@@ -65,11 +68,31 @@ def paged_results(spark, sf_dir):
     return ranked.select("o_orderkey", "o_totalprice")
 
 
+def paged_results_all(spark, sf_dir):
+    """Everything from the third page on, without an end."""
+    order = [F.desc("o_totalprice"), F.col("o_orderkey")]
+    return records.all_results(dv.table(spark, sf_dir, "orders"), order, page=3).select("o_orderkey")
+
+
+def undated_versions(spark, sf_dir):
+    """Newest versions where every purchase has lost its stamp."""
+    events = dv.table(spark, sf_dir, "events").select(
+        "user_id", F.expr("CASE WHEN event_type <> 'purchase' AND user_id % 3 > 0 THEN ts END").alias("ts"), "event_id", "event_type"
+    )
+    return records.latest_versions(events, "user_id", "ts", "event_id").drop("ts")
+
+
 def assign_batches(spark, sf_dir):
     docs = dv.table(spark, sf_dir, "documents").select("doc_id")
     return positions.assign_batches(docs, "doc_id", 16)
 
 
+def assign_batches_hashed(spark, sf_dir):
+    """Batches in the order of a text key that is spread over its whole range."""
+    hashed = dv.table(spark, sf_dir, "documents").select(F.md5(F.col("doc_id").cast("string")).alias("key"))
+    return positions.assign_batches(hashed, "key", 16)
+
+
 def incremental_ingest(spark, sf_dir):
     events = dv.table(spark, sf_dir, "events")
     landing, log, checkpoint = (
@@ -92,7 +115,10 @@ QUERIES = {
     "faceted_search": faceted_search,
     "search_open_end": search_open_end,
     "paged_results": paged_results,
+    "paged_results_all": paged_results_all,
+    "undated_versions": undated_versions,
     "assign_batches": assign_batches,
+    "assign_batches_hashed": assign_batches_hashed,
     "incremental_ingest": incremental_ingest,
 }
 
@@ -103,7 +129,7 @@ _ISSUED = "strftime(o_orderdate, '%Y-%m-%d')"
 ORACLES = {
     "harvest_window": f"""
         SELECT event_id, user_id, value FROM events
-        WHERE ts BETWEEN TIMESTAMP '{START}' AND TIMESTAMP '{END}' AND event_type = 'click'""",
+        WHERE ts >= TIMESTAMP '{START}' AND ts < TIMESTAMP '{END}' + INTERVAL 1 DAY AND event_type = 'click'""",
     "latest_records": f"""
         SELECT user_id, event_id, event_type FROM ({_LATEST})
         WHERE rn = 1 AND event_type <> 'error'""",
@@ -117,9 +143,19 @@ ORACLES = {
     "paged_results": """
         SELECT o_orderkey, o_totalprice FROM orders
         ORDER BY o_totalprice DESC, o_orderkey LIMIT 100 OFFSET 200""",
+    "paged_results_all": """
+        SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey OFFSET 200""",
+    "undated_versions": """
+        SELECT user_id, event_id, event_type FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY CASE
+                WHEN event_type <> 'purchase' AND user_id % 3 > 0 THEN ts END DESC NULLS LAST, event_id DESC) AS rn
+            FROM events) WHERE rn = 1""",
     "assign_batches": """
         SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position,
                (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch FROM documents""",
+    "assign_batches_hashed": """
+        SELECT md5(doc_id::VARCHAR) AS key, row_number() OVER (ORDER BY key) - 1 AS position,
+               (row_number() OVER (ORDER BY key) - 1) // 16 AS batch FROM documents""",
     "incremental_ingest": f"""
         SELECT user_id::VARCHAR AS identifier, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS stamp,
                false AS deleted

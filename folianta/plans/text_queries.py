@@ -26,12 +26,12 @@ def _cell():
 
 
 def _scalar_or_list():
-    picked = F.filter(dv.words(30), lambda w: w.startswith("th"))
+    picked = F.filter(dv.words(dv.WORD), lambda w: w.startswith("th"))
     return ["doc_id", tx.scalar_or_list(F.array_distinct(picked)).alias("field")]
 
 
 def _merge_subjects():
-    merged = tx.merge_lists(dv.words(10), F.array("lang", "source"), dv.words(20))
+    merged = tx.merge_lists(dv.words(), F.array("lang", "source"), dv.words(dv.WORD))
     return ["doc_id", F.array_join(merged, MARK).alias("subjects")]
 
 
@@ -57,7 +57,7 @@ def render_prompt(spark, sf_dir):
 
 
 def render_chat(spark, sf_dir):
-    return prompts.render_chat(dv.table(spark, sf_dir, "conversations"), segment_turns=4)
+    return prompts.render_chat(dv.table(spark, sf_dir, "conversations"))
 
 
 def truncate_pad(spark, sf_dir):
@@ -213,14 +213,14 @@ ORACLES = {
                concat({_prompt('title', "''")}, {dv.TYPE_SQL}, '{fixed.TURN_END}') AS example
         FROM (SELECT *, {_TITLE} AS title FROM documents)""",
     "render_chat": f"""
-        SELECT conv_id, turn // 4 AS segment, count(*) AS n_turns,
+        SELECT conv_id, count(*) AS n_turns,
                string_agg(concat({_header('role')}, text, '{fixed.TURN_END}'), '' ORDER BY turn) AS chat
         FROM conversations GROUP BY ALL""",
     "scalar_or_list": f"""
         SELECT doc_id, CASE len(v) WHEN 0 THEN '""' WHEN 1 THEN to_json(v[1])::VARCHAR
                        ELSE to_json(v)::VARCHAR END AS field
         FROM (SELECT doc_id, {_distinct_in_order('w')} AS v
-              FROM (SELECT doc_id, list_filter({ck.words(30)}, lambda w: starts_with(w, 'th')) AS w
+              FROM (SELECT doc_id, list_filter({ck.words(dv.WORD)}, lambda w: starts_with(w, 'th')) AS w
                     FROM documents))""",
     "first_line": f"SELECT doc_id, {_TITLE} AS line FROM documents",
     "search_url": f"""
@@ -229,7 +229,7 @@ ORACLES = {
     "pre_tokenize": f"SELECT doc_id, array_to_string({ck.tokens('text')}, ' ') AS tokens FROM documents",
     "merge_subjects": f"""
         SELECT doc_id, array_to_string({_distinct_in_order('w')}, '{MARK}') AS subjects
-        FROM (SELECT doc_id, {ck.words(10)} || [lang, source] || {ck.words(20)} AS w FROM documents)""",
+        FROM (SELECT doc_id, {ck.words()} || [lang, source] || {ck.words(dv.WORD)} AS w FROM documents)""",
     "truncate_pad": f"""
         WITH t AS (SELECT doc_id, {ck.tokens('text')} AS tokens,
                           (row_number() OVER (ORDER BY doc_id) - 1) // 16 AS batch FROM documents),

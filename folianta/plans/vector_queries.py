@@ -13,7 +13,7 @@ from folianta.storage import bounded_table
 
 DIGITS = 6
 TARGET = "the"
-VOCABULARY = 500  # words that own a vector
+VOCABULARY = 500  # tokens of the vocabulary that is listed
 SUBWORDS = 200
 WIDTH, HIDDEN = 64, 16
 RANK = 4
@@ -88,9 +88,9 @@ def positional_encoding(spark, sf_dir):
 
 
 def _token_vectors(spark, sf_dir):
-    vocabulary = subword.frequency_vocabulary(_counts(spark, sf_dir), VOCABULARY)
-    owned = bounded_table(vocabulary, VOCABULARY)
-    return _embeddings(spark, sf_dir).join(owned, F.col("vec_id") == F.col("id"))
+    vectors = _embeddings(spark, sf_dir)
+    vocabulary = subword.ranked_words(_counts(spark, sf_dir))
+    return vectors.join(vocabulary, F.col("vec_id") == F.col("id"))
 
 
 def token_vectors(spark, sf_dir):
@@ -250,8 +250,8 @@ def _encoding(position: str, width: int) -> str:
 
 _TOKENS = f"SELECT doc_id, unnest({ck.tokens('text')}) AS word FROM documents"
 _WORDS = f"SELECT word, count(*) AS n FROM ({_TOKENS}) GROUP BY word"
-_VOCAB = f"""SELECT word AS token, row_number() OVER (ORDER BY n DESC, word) - 1 AS id, n
-             FROM ({_WORDS}) ORDER BY n DESC, word LIMIT {VOCABULARY}"""
+_RANKED = f"SELECT word AS token, row_number() OVER (ORDER BY n DESC, word) - 1 AS id, n FROM ({_WORDS})"
+_VOCAB = f"{_RANKED} ORDER BY n DESC, word LIMIT {VOCABULARY}"
 _HITS = f"""SELECT doc_id, pos FROM (SELECT doc_id, unnest({ck.tokens('text')}) AS word,
             unnest(range(len({ck.tokens('text')}))) AS pos FROM documents) WHERE word = '{TARGET}'"""
 _V = "SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings"
@@ -270,7 +270,7 @@ ORACLES = {
         FROM (SELECT doc_id, {ck.tokens('text')} AS t FROM documents)
         UNION ALL SELECT -1, sum(n)::BIGINT, count(*) FROM ({_WORDS})""",
     "vocab_by_id": _VOCAB,
-    "token_vectors": f"SELECT token, id, {_text('v', 2)} AS vector FROM ({_VOCAB}) JOIN ({_V}) ON vec_id = id",
+    "token_vectors": f"SELECT token, id, {_text('v', 2)} AS vector FROM ({_RANKED}) JOIN ({_V}) ON vec_id = id",
     "token_occurrences": _HITS,
     "occurrence_pairs": f"""
         WITH h AS ({_HITS})
@@ -284,7 +284,7 @@ ORACLES = {
                {_text(_encoding('vec_id', 7))} AS odd_width FROM embeddings""",
     "input_embedding": f"""
         WITH h AS ({_HITS}),
-        base AS (SELECT v FROM ({_VOCAB}) JOIN ({_V}) ON vec_id = id WHERE token = '{TARGET}')
+        base AS (SELECT v FROM ({_RANKED}) JOIN ({_V}) ON vec_id = id WHERE token = '{TARGET}')
         SELECT doc_id, pos, {_text(f"list_transform(list_zip(v, {_encoding('pos', WIDTH)}), lambda z: z[1] * sqrt({WIDTH}) + z[2])")} AS vector
         FROM h, base""",
     "cosine_pairs": f"SELECT vec_id, round(list_cosine_similarity(a, b), {DIGITS}) AS cosine FROM ({_PAIRS})",

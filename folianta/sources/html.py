@@ -35,6 +35,27 @@ def unescape(values: Column) -> Column:
     return F.coalesce(_unescape_all(F.when(escaped, values)), values)
 
 
+def without_comments(page: Column) -> Column:
+    return F.regexp_replace(page, r"(?s)<!--.*?-->", "")
+
+
+def absolute(href: Column, base: Column) -> Column:
+    """``href`` as seen from the page at ``base``; dot segments stay as they are."""
+    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    page = F.regexp_extract(base, r"^([^?#]*)", 1)
+    folder = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*/(?:.*/)?)", 1)
+    folder = F.when(folder != "", folder).otherwise(F.concat(site, F.lit("/")))
+    return (
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(href.startswith("//"), F.concat(scheme, href))
+        .when(href.startswith("/"), F.concat(site, href))
+        .when(href.startswith("?"), F.concat(page, href))
+        .when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), href))
+        .otherwise(F.concat(folder, href))
+    )
+
+
 def tags(page: Column, tag: str) -> Column:
     return F.regexp_extract_all(page, F.lit(TAG.format(tag=tag)), F.lit(0))
 
@@ -82,7 +103,7 @@ def meta_values(
         return starts
 
     edges = f"^{SPACES}|{SPACES}$"
-    metas = F.transform(tags(F.col(page), "meta"), lambda t: attributes(t, "name", "content"))
+    metas = F.transform(tags(without_comments(F.col(page)), "meta"), lambda t: attributes(t, "name", "content"))
     found = pages.select(key, F.filter(metas, wanted).alias("metas"))
     # the page itself is gone here: only the kept contents travel to Python
     found = found.select(
@@ -120,10 +141,13 @@ def page_links(
     page: str = "html",
     needle: str = ITEM_LINK_NEEDLE,
     deny: Sequence[str] = LINK_DENY_LIST,
+    base: str | None = None,
 ) -> DataFrame:
     """Distinct ``href`` values that contain ``needle`` and none of ``deny``.
 
     With ``key`` they are distinct per page, inside the row; without it, over all pages.
+    Character references are resolved and comments skipped. With ``base``, the column of the
+    page's own address, links are made absolute first.
     """
     def wanted(href: Column) -> Column:
         ok = href.contains(needle)
@@ -132,9 +156,13 @@ def page_links(
         return ok
 
     hrefs = F.transform(
-        tags(F.col(page), "a"), lambda tag: attributes(tag, "href")["href"]
+        tags(without_comments(F.col(page)), "a"), lambda tag: attributes(tag, "href")["href"]
     )
-    per_page = F.array_distinct(F.filter(hrefs, lambda href: (href != "") & wanted(href)))
     kept = [key] if key else []
-    links = pages.select(*kept, F.explode(per_page).alias("href"))
+    address = [F.col(base).alias("_base")] if base else []
+    found = pages.select(*kept, *address, unescape(hrefs).alias("_hrefs"))
+    hrefs = F.filter("_hrefs", lambda href: href != "")
+    if base:
+        hrefs = F.transform(hrefs, lambda href: absolute(href, F.col("_base")))
+    links = found.select(*kept, F.explode(F.array_distinct(F.filter(hrefs, wanted))).alias("href"))
     return links if key else links.distinct()

@@ -22,7 +22,7 @@ def write_jsonl(df: DataFrame, path: str, skip_empty: bool = False) -> None:
 
 
 def write_splits(df: DataFrame, path: str, column: str = "split") -> None:
-    df.write.partitionBy(column).json(path)
+    df.write.partitionBy(column).option("ignoreNullFields", "false").json(path)
 
 
 def load_splits(

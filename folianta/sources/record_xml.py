@@ -33,18 +33,24 @@ RECORD_SCHEMA = T.StructType(
         T.StructField("metadata", T.StructType([T.StructField("oai_dc:dc", DC_STRUCT)])),
     ]
 )
+DAMAGED = "_damaged"
 XML_OPTIONS = {
     "rowTag": "record",
     "ignoreSurroundingSpaces": "false",
     "attributePrefix": "_",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": DAMAGED,
 }
+RECORD_END = "</record>"
+RECORD_START = r"(?=<record[\s>/])"
 
 
 def shape_records(raw: DataFrame) -> DataFrame:
     """Raw record elements as ``(identifier, status, datestamp, sets, dc)``.
 
     Every Dublin Core field is an array of its distinct non-empty values in document order;
-    ``dc`` is null where a record carries no metadata.
+    ``dc`` is null where a record carries no metadata. A stamp that is no time gives a null
+    ``datestamp``; ``stamp`` keeps its text.
     """
     metadata = F.col("metadata")["oai_dc:dc"]
 
@@ -56,22 +62,56 @@ def shape_records(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.coalesce(F.col("header.identifier"), F.lit("")).alias("identifier"),
         F.coalesce(F.col("header._status"), F.lit(ACTIVE)).alias("status"),
-        F.to_timestamp("header.datestamp").alias("datestamp"),
+        F.try_to_timestamp("header.datestamp").alias("datestamp"),
+        F.col("header.datestamp").alias("stamp"),
         F.coalesce("header.setSpec", F.array().cast("array<string>")).alias("sets"),
         F.when(metadata.isNotNull(), fields).alias("dc"),
     )
 
 
+def _elements(lines: DataFrame) -> DataFrame:
+    """``(element, record)`` of every record element that begins in a piece of text.
+
+    ``lines`` end where a record does. An element is parsed by itself: of
+    several that begin in one piece only the last was closed, so the others are damaged, and no
+    element takes its neighbours with it. ``record`` has the text of a damaged one in DAMAGED.
+    """
+    # what stands before the first element is never one, so it must not be nothing
+    found = F.split(F.concat(F.lit(" "), "value"), RECORD_START)
+    found = F.slice(found, F.lit(2), F.greatest(F.size(found) - 1, F.lit(0)))
+    rest = [name for name in lines.columns if name != "value"]
+    each = lines.select(*rest, F.size(found).alias("n"), F.posexplode(found).alias("at", "element"))
+    schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField(DAMAGED, T.StringType())])
+    closed = F.when(F.col("at") == F.col("n") - 1, F.concat("element", F.lit(RECORD_END)))
+    parsed = F.from_xml(F.coalesce(closed, F.lit("<record>")), schema, XML_OPTIONS)
+    return each.select(*rest, "element", parsed.alias("record"))
+
+
+def _whole(elements: DataFrame) -> DataFrame:
+    good = elements.filter(F.col(f"record.{DAMAGED}").isNull() & F.col("record.header").isNotNull())
+    return shape_records(good.select("record.header", "record.metadata"))
+
+
 def read_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """One row per ``record`` element below ``path``."""
-    reader = spark.read.format("xml").options(**XML_OPTIONS).schema(RECORD_SCHEMA)
-    return shape_records(reader.load(path))
+    """One row per well-formed ``record`` element with a header below ``path``.
+
+    What is left out is what :func:`damaged_records` gives.
+    """
+    return _whole(_elements(spark.read.text(path, lineSep=RECORD_END)))
+
+
+def damaged_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(file, element)``: record elements that are not well-formed or lack a header."""
+    lines = spark.read.text(path, lineSep=RECORD_END).select("value", "_metadata.file_path")
+    parts = _elements(lines)
+    bad = F.col(f"record.{DAMAGED}").isNotNull() | F.col("record.header").isNull()
+    return parts.filter(bad).select(F.col("file_path").alias("file"), "element")
 
 
 def stream_records(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same rows as a stream over files that keep arriving."""
-    reader = spark.readStream.format("xml").options(**XML_OPTIONS).schema(RECORD_SCHEMA)
-    return shape_records(reader.option("maxFilesPerTrigger", files_per_batch).load(path))
+    """The rows of :func:`read_records` as a stream over files that keep arriving."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return _whole(_elements(reader.text(path, lineSep=RECORD_END)))
 
 
 def flat_records(records: DataFrame) -> DataFrame:
@@ -99,36 +139,56 @@ def _anywhere(tag: str) -> str:
     return f"//*[local-name()='{tag}']"
 
 
+def _wrapped(body: str) -> Column:
+    """The body without its declaration inside one root element, which makes it a document."""
+    bare = F.regexp_replace(F.col(body), r"^\s*<\?xml[^>]*\?>", "")
+    return F.concat(F.lit("<body>"), bare, F.lit("</body>"))
+
+
+def _readable(body: str) -> Column:
+    """Whether the body is well-formed."""
+    schema, options = f"{DAMAGED} string, text string", XML_OPTIONS | {"rowTag": "body"}
+    parsed = F.from_xml(_wrapped(body), schema, options)
+    return F.coalesce(F.col(body) != "", F.lit(False)) & parsed[DAMAGED].isNull()
+
+
 def audit_responses(responses: DataFrame, body: str = "body") -> DataFrame:
     """Adds record count, error code and text, resumption token and the resulting state.
 
-    ``state`` is ``broken`` for an error response, ``more`` if a token follows and
-    ``complete`` otherwise.
+    ``state`` is ``broken`` for an error response and for one that is empty, not well-formed or
+    without an element (error code ``unreadable``), ``more`` if a token follows and ``complete``
+    otherwise.
     """
-    def first(path: str) -> Column:
-        return F.xpath_string(F.col(body), F.lit(path))
-
     error, token = _anywhere("error"), _anywhere("resumptionToken")
+
+    def asked(function, path: str) -> Column:
+        return F.when(F.col("_readable"), function(_wrapped(body), F.lit(path)))
+
+    unreadable = ~F.col("_readable")
     return (
-        responses.withColumn(
-            "records", F.xpath_int(F.col(body), F.lit(f"count({_anywhere('record')})")).cast("long")
+        responses.withColumn("_readable", _readable(body))
+        .withColumn("_readable", F.coalesce(asked(F.xpath_boolean, "/body/*"), F.lit(False)))
+        .withColumn("records", asked(F.xpath_int, f"count({_anywhere('record')})").cast("long"))
+        .withColumn("_error", F.coalesce(asked(F.xpath_boolean, error), F.lit(False)))
+        .withColumn(
+            "error_code",
+            F.when(unreadable, F.lit("unreadable")).when(F.col("_error"), asked(F.xpath_string, f"{error}/@code")),
         )
-        .withColumn("has_error", F.xpath_boolean(F.col(body), F.lit(error)))
-        .withColumn("error_code", F.when(F.col("has_error"), first(f"{error}/@code")))
-        .withColumn("error_text", F.when(F.col("has_error"), first(error)))
-        .withColumn("token", F.nullif(first(token), F.lit("")))
+        .withColumn("error_text", F.when(F.col("_error"), asked(F.xpath_string, error)))
+        .withColumn("token", F.nullif(asked(F.xpath_string, token), F.lit("")))
         .withColumn(
             "state",
-            F.when(F.col("has_error"), "broken")
+            F.when(unreadable | F.col("_error"), "broken")
             .when(F.col("token").isNotNull(), "more")
             .otherwise("complete"),
         )
-        .drop("has_error")
+        .drop("_readable", "_error")
     )
 
 
 def metadata_formats(responses: DataFrame, body: str = "body") -> DataFrame:
     """``(prefix)``: every metadata prefix that any response offers, per response."""
-    found = F.xpath(F.col(body), F.lit(f"{_anywhere('metadataPrefix')}/text()"))
+    found = F.xpath(_wrapped(body), F.lit(f"{_anywhere('metadataPrefix')}/text()"))
+    found = F.when(_readable(body), found)
     rest = [name for name in responses.columns if name != body]
     return responses.select(*rest, F.explode(found).alias("prefix"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +29,6 @@ def columns_like(names: Sequence[str], patterns: Sequence[str]) -> list[str]:
     return [name for name in names if any(pattern in name for pattern in patterns)]
 
 
-def union_of_columns(*groups: Sequence[str]) -> list[str]:
-    return list(dict.fromkeys(name for group in groups for name in group))
-
-
 def select_like(df: DataFrame, patterns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{name}`") for name in columns_like(df.columns, patterns)])
 
@@ -44,16 +42,35 @@ def read_wide_csv(
     ),
     missing: Sequence[str] = fixed.MISSING_CELLS,
 ) -> DataFrame:
-    """The columns whose header matches, all strings, with missing-value tokens as null."""
-    header = spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(path).columns
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    raw = spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    """The columns whose header matches, all strings, with missing-value tokens as null.
 
+    Files are read under their own headers and united by column name, a column that a file
+    lacks being null. Quoted line ends make a file one task, so large exports should be landed
+    as many files.
+    """
     def cell(name: str):
         value = F.col(f"`{name}`")
         return F.when(~value.isin(*missing), value).alias(name)
 
-    return raw.select(*[cell(name) for name in columns_like(header, patterns)])
+    tables = []
+    for header, files in _headers(spark, path).items():
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        raw = spark.read.options(**CSV_OPTIONS).schema(schema).csv(files)
+        tables.append(raw.select(*[cell(name) for name in columns_like(header, patterns)]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def _headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Each header below ``path`` with its files, in the order of the first file."""
+    lines = spark.read.text(path).select(
+        "value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")
+    )
+    first = lines.filter("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "at").alias("line"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file_path").collect():  # one line a file
+        header = tuple(next(csv.reader([row["line"].removeprefix("\ufeff")])))
+        found.setdefault(header, []).append(row["file_path"])
+    return found
 
 
 def write_wide_csv(df: DataFrame, path: str) -> None:

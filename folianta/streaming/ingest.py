@@ -33,8 +33,11 @@ def ingest_available(
             ["identifier", "datestamp"]
         )
 
+    stored: set[int] = set()
+
     def store(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
+        stored.add(number)
 
     query = (
         records.writeStream.foreachBatch(store)
@@ -43,7 +46,7 @@ def ingest_available(
         .start()
     )
     query.awaitTermination()
-    return len(query.recentProgress)
+    return len(stored)
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
@@ -51,11 +54,16 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
 
 
 def current_records(spark: SparkSession, log: str) -> DataFrame:
-    """The newest version of every record in the log, without deleted ones."""
+    """The newest version of every record in the log, without deleted ones.
+
+    Of versions with one stamp the one that was ingested last counts; within a batch a
+    deletion does, and then the larger content, so that a rerun picks the same one.
+    """
+    rows = read_log(spark, log).withColumn("_content", F.to_json(F.struct("sets", "dc")))
     return latest_records(
-        read_log(spark, log).drop("batch"),
+        rows,
         "identifier",
         "datestamp",
         F.col("status") == DELETED,
-        tie_break="status",
-    )
+        tie_break=["batch", "status", "_content"],
+    ).drop("batch", "_content")

@@ -34,6 +34,66 @@ def test_record_scan_and_export(spark, folder):
     assert flat["deleted"]["identifier"] == '"oai:2"' and flat["deleted"]["title"] is None
 
 
+def test_damaged_records_take_nothing_with_them(spark, folder):
+    def record(name, stamp="2024-01-02"):
+        return f"<record><header><identifier>{name}</identifier><datestamp>{stamp}</datestamp></header></record>"
+
+    broken = "<record><header><identifier>x2</identifier></record>", "<record><header><identifier>x4</identifier>"
+    text = record("x1") + broken[0] + record("x3", "soon") + broken[1] + record("x5") + "<record>cut off"
+    Path(folder, "page.xml").write_text(f"<OAI-PMH><ListRecords>{text}", encoding="utf-8")
+    rows = {r["identifier"]: r for r in record_xml.read_records(spark, folder).collect()}
+    assert set(rows) == {"x1", "x3", "x5"}
+    assert rows["x3"]["datestamp"] is None and rows["x3"]["stamp"] == "soon" and rows["x1"]["datestamp"]
+    damaged = [r["element"] for r in record_xml.damaged_records(spark, folder).collect()]
+    assert len(damaged) == 3 and all(any(name in d for d in damaged) for name in ("x2", "x4", "cut off"))
+
+
+def test_unreadable_responses_are_broken(spark):
+    bodies = ["<a><b></a>", "", None, "plain text", "<a/><b/>", '<?xml version="1.0"?><a>&nbsp;</a>']
+    frame = spark.createDataFrame([(b,) for b in bodies], "body string")
+    got = [r["state"] for r in record_xml.audit_responses(frame).collect()]
+    assert got == ["broken"] * 4 + ["complete", "broken"]
+
+
+def test_csv_files_keep_their_own_headers(spark, folder):
+    Path(folder, "a.csv").write_text("dc.title[es],dc.type[es]\nA,Tesis\n", encoding="utf-8")
+    Path(folder, "b.csv").write_text("dc.type[es],x,dc.title[es]\nLibro,1,B\n", encoding="utf-8")
+    Path(folder, "c.csv").write_text("dc.title[es]\nC\n", encoding="utf-8")
+    rows = {(r["title"], r["type"]) for r in wide_csv.convert_records(wide_csv.read_wide_csv(spark, folder)).collect()}
+    assert rows == {("A", "Tesis"), ("B", "Libro"), ("C", "")}
+
+
+def test_links_of_a_page(spark):
+    page = (
+        "<!-- <a href='/handle/0'> --><a href='/handle/1?a=1&amp;b=2'><a href=\"/handle/1?a=1&b=2\">"
+        "<a href='handle/3'><a href='//o.example/handle/4'><a href='http://p.example/handle/5'><a href='?x=/handle/6'>"
+    )
+    pages = spark.createDataFrame([("https://s.example/x/y.html#z", page)], "url string, html string")
+    got = [r["href"] for r in html.page_links(pages, "url", base="url", deny=[]).collect()]
+    assert got == [
+        "https://s.example/handle/1?a=1&b=2", "https://s.example/x/handle/3", "https://o.example/handle/4",
+        "http://p.example/handle/5", "https://s.example/x/y.html?x=/handle/6",
+    ]
+
+
+def test_versions_without_stamp_stay(spark):
+    rows = spark.createDataFrame([("a", None, 1), ("a", None, 2), ("b", "2024-01-01", 1), ("b", None, 9)], "k string, t string, n int")
+    got = {r["k"]: r["n"] for r in records.latest_versions(rows, "k", "t", "n").collect()}
+    assert got == {"a": 2, "b": 1}
+
+
+def test_window_holds_its_last_day(spark):
+    rows = spark.createDataFrame([("2024-01-12 15:00:00",), ("2024-01-13 00:00:00",)], "t string").withColumn("t", F.to_timestamp("t"))
+    assert records.harvest_window(rows, "t", end="2024-01-12").count() == 1
+    assert records.harvest_window(rows, "t", end="2024-01-12 14:00:00").count() == 0
+
+
+def test_all_results(spark):
+    rows = spark.range(1000)
+    assert records.all_results(rows, [F.col("id")], page=3).count() == 800
+    assert records.all_results(rows, [F.col("id")], max_items=0).count() == 0
+
+
 def test_audit(spark):
     bodies = [
         RECORDS,
@@ -135,19 +195,22 @@ def test_search_and_paging(spark):
     window = records.harvest_window(rows.withColumn("t", F.to_timestamp("day")), "t", end="2024-01-03")
     assert window.count() == 3
     url = rows.limit(1).select(records.search_url("u", F.lit(1), F.lit("a b"), [("type", F.lit("é"))]))
+    assert rows.limit(1).select(records.search_url("u", F.lit(1), F.lit("a*~b"))).first()[0].endswith("query=a%2A~b")
     assert url.first()[0] == (
         "u?rpp=100&page=1&query=a+b&filtertype_0=type&filter_relational_operator_0=equals&filter_0=%C3%A9"
     )
 
 
-@pytest.mark.parametrize("width", [3, 7, 1000])
-def test_positions_and_neighbours_across_ranges(spark, width):
-    ids = [0, 1, 2, 5, 9, 10, 11, 30, 31, 64]
-    rows = spark.createDataFrame([(i,) for i in ids], "k bigint").repartition(4)
-    got = positions.assign_batches(rows, "k", 4, width).orderBy("k").collect()
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_positions_and_neighbours_of_any_key(spark, kind):
+    ids = [0, 1, 2, 5, 9, 10, 11, 30, 31, 1 << 60]
+    if kind == "string":
+        ids = sorted(f"{i * 0x9E3779B97F4A7C15 % (1 << 64):016x}" for i in ids)
+    rows = spark.createDataFrame([(i,) for i in ids], f"k {kind}").repartition(4)
+    got = positions.assign_batches(rows, "k", 4).orderBy("k").collect()
     assert [(r["k"], r["position"], r["batch"]) for r in got] == [(k, at, at // 4) for at, k in enumerate(ids)]
     grouped = rows.select("k", F.lit("hot").alias("g"))
-    nexts = {r["k"]: r["next"] for r in positions.next_in_group(grouped, "g", "k", width).collect()}
+    nexts = {r["k"]: r["next"] for r in positions.next_in_group(grouped, "g", "k").collect()}
     assert nexts == dict(zip(ids, [*ids[1:], None]))
 
 

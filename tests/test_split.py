@@ -46,6 +46,12 @@ def test_three_way_sizes_are_exact(spark, sizes, seed):
     assert got == +expected
 
 
+def test_null_classes_are_refused(spark):
+    rows = spark.createDataFrame([(i, None if i % 5 == 0 else "a") for i in range(100)], "k bigint, type string")
+    with pytest.raises(ValueError, match="null"):
+        split.stratified_split(rows, "k")
+
+
 def test_published_sizes():
     total = 19974
     held = math.ceil(0.30 * total)

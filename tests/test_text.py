@@ -11,7 +11,7 @@ from folianta.functions import prompts
 from folianta.functions import text as tx
 
 TEXTS = [
-    "El gato NEGRO persigue al ratón blanco.", "", "  a\t\n b  c  ", "école \x07bell",
+    "Una CASA amarilla mira el camión nuevo. ΟΔΟΣ", "", "  a\t\n b  c  ", "école \x07bell",
     "ÅNGSTRÖM ﬁ ² ½ _x-y!!", "日本語 テスト", "a\x1fb", "ẛ̣ İstanbul", "x\x85y", None,
 ]
 QUIET = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
