@@ -33,6 +33,15 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return moved.where("a > b").distinct()
 
 
+def _contracted(links: DataFrame) -> bool:
+    """Whether every node hangs on one other that hangs on none."""
+    ends = links.select(F.col("a").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionAll(
+        links.select(F.col("b").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
+    )
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+    return not nodes.agg(F.max((F.col("hangs") + F.col("holds") > 1))).first()[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` for every node in a link of ``links`` (columns ``a, b``).
 
@@ -45,16 +54,8 @@ def components(links: DataFrame) -> DataFrame:
         "links",
     )
 
-    def state(table: DataFrame):
-        return table.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-
-    before = state(kept)
-    while before[0]:
+    while not _contracted(kept):
         kept = materialize(_star(_star(kept, True), False), "links")
-        after = state(kept)
-        if after == before:
-            break
-        before = after
     return kept.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         kept.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     )

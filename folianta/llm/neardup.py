@@ -13,10 +13,11 @@ all samples of a band meet, and are linked if their exact weighted Jaccard simil
 same order) count as one text throughout.
 
 Scale: texts are read where they lie and only those in a candidate pair are moved. A band that
-thousands share is not compared pair by pair: all its texts are compared with a few of them,
-components are formed, and as long as that yields new links, every text outside the component
-of another chosen text of the band is compared with that one. Work grows with the number of
-texts in the band, and a group of copies is one row from the start.
+thousands share is not compared pair by pair: every text of a band is compared with up to
+``PICKS`` of them, those that meet most other texts in all their bands, which among changed
+copies of one original are the least changed ones. So work grows with the number of texts in
+a band, and two similar texts are missed only if no chain of picked texts of their common bands
+connects them. A group of exact copies is one row from the start.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ BANDS, BAND_ROWS = 10, 3
 FREQUENCY_BINS = 1 << 19
 IDF_SHARE = 0.25
 CHUNK = 4096  # bins in one row of counts, and shingles sampled at a time
-LANES = 64
+PICKS = 6
 
 _U64 = np.uint64
 _SAMPLES = mix(np.arange(1, 2 * BANDS * BAND_ROWS + 1, dtype=_U64) * _U64(0xD1342543DE82EF95))
@@ -99,25 +100,24 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _sum_counts(key: tuple, table: pa.Table) -> pa.Table:
-    total = np.zeros(CHUNK, dtype=np.int64)
-    for packed in table.column("counts"):
-        total += np.frombuffer(packed.as_buffer(), dtype=np.int64)
-    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()])})
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each chunk added up; holds one sum per chunk, however many tasks sent counts."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for chunk, packed in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
+            counts = np.frombuffer(packed.as_buffer(), dtype=np.int64)
+            sums[chunk] = sums[chunk] + counts if chunk in sums else counts
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
+        ["chunk", "counts"],
+    )
 
 
 def shingle_weights(packed: DataFrame, rows: int) -> np.ndarray:
-    """Weight of one occurrence of a shingle, by bin, from ``chunk, counts`` of all tasks.
-
-    Counts are added in two steps, so that no group grows with the number of tasks.
-    """
-    lanes = packed.withColumn("lane", F.pmod(F.xxhash64("counts"), F.lit(LANES)))
-    sums = (
-        lanes.groupBy("chunk", "lane").applyInArrow(_sum_counts, "chunk int, counts binary")
-        .groupBy("chunk").applyInArrow(_sum_counts, "chunk int, counts binary")
-    )
+    """Weight of one occurrence of a shingle, by bin, from ``chunk, counts`` of all tasks."""
+    sums = packed.repartition("chunk").mapInArrow(_sum_counts, "chunk int, counts binary")
     seen = np.zeros((FREQUENCY_BINS // CHUNK, CHUNK), dtype=np.int64)
-    for row in sums.collect():
+    for row in sums.collect():  # one row a chunk
         seen[row["chunk"]] = np.frombuffer(row["counts"], dtype=np.int64)
     scale = np.log(1 + max(rows, 1))
     rare = np.log((1 + rows) / (1 + np.minimum(seen.ravel(), rows))) / scale
@@ -205,16 +205,40 @@ def _verify(shared, similarity: float):
     return run
 
 
-def _candidates(members: DataFrame, chosen: list[Column]) -> DataFrame:
-    """Members of a band with each of its chosen texts, as (a, b), each pair once."""
-    picked = members.groupBy("key").agg(F.array_distinct(F.array(*chosen)).alias("chosen"))
+def _members(sampled: DataFrame) -> DataFrame:
+    """``key, _row, total, fame`` of texts in bands that others share.
+
+    ``fame`` counts the texts that a text meets in all its bands.
+    """
+    rows = sampled.select("_row", "total", F.explode("keys").alias("key"))
+    shared = materialize(rows.groupBy("key").agg(F.count("*").alias("met")).where("met > 1"), "shared-bands")
+    rows = materialize(rows.join(small(shared, 32), "key"), "band-rows")
+    fame = rows.groupBy("_row").agg(F.sum("met").alias("fame"))
+    return materialize(rows.join(fame, "_row").select("key", "_row", "total", "fame"), "band-members")
+
+
+def _candidates(members: DataFrame) -> DataFrame:
+    """Members of each band with its picked texts, as (a, b), each pair once.
+
+    Picked are the text of most fame and, of the others, dealt to lanes by hash, those of most
+    fame in each lane. Pairs whose total weights alone rule out the similarity are left out.
+    """
+    entry = F.struct(F.col("_row").alias("b"), F.col("total").alias("other"))
+    rank = F.struct("fame", -F.col("_row"))
+    lane = F.pmod(F.xxhash64("_row", "key"), F.lit(PICKS - 1))
+    lanes = [F.max_by(entry, F.when(lane == i, rank)) for i in range(PICKS - 1)]
+    picks = members.groupBy("key").agg(
+        F.array_distinct(F.array_compact(F.array(F.max_by(entry, rank), *lanes))).alias("picks")
+    )
+    fits = F.filter(
+        "picks",
+        lambda x: (x["b"] != F.col("_row"))
+        & (F.least("total", x["other"]) >= SIMILARITY * F.greatest("total", x["other"])),
+    )
     return (
-        members.join(picked, "key")
-        .select("_row", "total", "root", F.explode("chosen").alias("to"))
-        .select(F.col("_row").alias("a"), "total", "root", "to.*")
-        .where("a <> b AND root <> other_root")
-        .where(F.least("total", "other_total") >= SIMILARITY * F.greatest("total", "other_total"))
-        .select("a", "b")
+        members.join(small(materialize(picks, "picked-texts"), 160), "key")
+        .select(F.col("_row").alias("a"), F.explode(fits).alias("x"))
+        .select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b"))
         .distinct()
     )
 
@@ -239,61 +263,48 @@ def classes(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     digests = profile.where("_row IS NOT NULL").select(
         "_row", F.when(F.col("missing"), F.col("_row")).otherwise(F.col("high")).alias("high"), "low", "missing"
     )
-    same = digests.groupBy("high", "low", "missing").agg(F.min("_row").alias("rep"))
-    copies = materialize(digests.join(same, ["high", "low", "missing"]).select("_row", "rep"), "exact-copies")
+    same = materialize(
+        digests.groupBy("high", "low", "missing")
+        .agg(F.min("_row").alias("rep"), F.count("*").alias("n"))
+        .where("n > 1")
+        .drop("n"),
+        "copied-texts",
+    )
+    copies = materialize(
+        digests.join(small(same, 64), ["high", "low", "missing"], "left").select(
+            "_row", F.coalesce("rep", "_row").alias("rep")
+        ),
+        "exact-copies",
+    )
     weight = spark.sparkContext.broadcast(
         shingle_weights(profile.where("chunk IS NOT NULL").select("chunk", "counts"), copies.count())
     )
     sampled = materialize(
         texts.mapInArrow(_bands(weight), "_row bigint, total double, keys array<bigint>"), "bands"
     )
-    first = copies.where("_row = rep").select("_row")
-    members = sampled.join(first, "_row", "left_semi").select("_row", "total", F.explode("keys").alias("key"))
-    shared = members.groupBy("key").agg(F.count("*").alias("met")).where("met > 1").select("key")
-    members = materialize(members.join(shared, "key"), "band-members")
-
-    def pick(order: Column, least: bool) -> Column:
-        entry = F.struct(F.col("_row").alias("b"), F.col("total").alias("other_total"), F.col("root").alias("other_root"))
-        return F.min_by(entry, order) if least else F.max_by(entry, order)
-
-    links = roots = None
-    turn = 0
-    while True:
-        if roots is None:
-            known = members.withColumn("root", F.col("_row"))
-            chosen = [pick(F.col("_row"), True), pick(F.col("_row"), False), pick(F.xxhash64("_row", "key"), True)]
-        else:
-            known = members.join(roots, "_row", "left").withColumn("root", F.coalesce("root", "_row"))
-            chosen = [pick(F.xxhash64("_row", F.lit(turn)), True), pick(F.xxhash64("_row", F.lit(turn)), False)]
-        pairs = materialize(_candidates(known, chosen), "candidates")
-        involved = materialize(
-            pairs.select(F.col("a").alias("_row")).unionAll(pairs.select("b")).distinct(), "involved"
-        )
-        wanted = materialize(texts.join(small(involved, 16), "_row", "left_semi"), "candidate-texts")
-        near = materialize(
-            pairs.join(wanted.select(F.col("_row").alias("a"), F.col("text").alias("mine")), "a")
-            .join(wanted.select(F.col("_row").alias("b"), F.col("text").alias("theirs")), "b")
-            .mapInArrow(_verify(weight, SIMILARITY), "a bigint, b bigint"),
-            "near-links",
-        )
-        if turn and near.isEmpty():
-            break
-        links = near if links is None else links.unionAll(near)
-        roots = components(links).withColumnRenamed("node", "_row")
-        turn += 1
-    placed = copies.join(roots.withColumnRenamed("_row", "rep"), "rep", "left").select(
+    repeated = copies.where("_row <> rep").select("_row")
+    members = _members(sampled.join(small(repeated, 16), "_row", "left_anti"))
+    pairs = materialize(_candidates(members), "candidates")
+    involved = materialize(
+        pairs.select(F.col("a").alias("_row")).unionAll(pairs.select("b")).distinct(), "involved"
+    )
+    wanted = materialize(texts.join(small(involved, 16), "_row", "left_semi"), "candidate-texts")
+    links = (
+        pairs.join(wanted.select(F.col("_row").alias("a"), F.col("text").alias("mine")), "a")
+        .join(wanted.select(F.col("_row").alias("b"), F.col("text").alias("theirs")), "b")
+        .mapInArrow(_verify(weight, SIMILARITY), "a bigint, b bigint")
+    )
+    roots = components(links).withColumnRenamed("node", "_row")
+    placed = copies.join(small(roots.withColumnRenamed("_row", "rep"), 32), "rep", "left").select(
         "_row", F.coalesce("root", "rep").alias("root")
     )
     named = source.select("_row", "doc_id")
-    return (
-        named.join(placed, "_row")
-        .join(
-            named.select(F.col("_row").alias("root"), F.col("doc_id").alias("class_id")).join(
-                placed.where("_row = root").select("root"), "root", "left_semi"
-            ),
-            "root",
-        )
-        .select("_row", "doc_id", "root", "class_id")
+    members = materialize(named.join(placed, "_row"), "near-classes")
+    firsts = members.where("_row <> root").select("root").distinct()
+    firsts = named.join(small(materialize(firsts, "shared-roots"), 16), F.col("_row") == F.col("root"), "left_semi")
+    firsts = materialize(firsts.select(F.col("_row").alias("root"), F.col("doc_id").alias("class_id")), "class-ids")
+    return members.join(small(firsts, 48), "root", "left").select(
+        "_row", "doc_id", "root", F.when(F.col("_row") == F.col("root"), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
     )
 
 
