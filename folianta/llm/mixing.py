@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folianta.llm.tables import number_rows, small
+from folianta.llm.tables import small
+from folianta.operators.positions import number_rows
 from folianta.storage import materialize
 
 WEIGHTS = [5, 2, 1]
@@ -79,7 +80,7 @@ def plan_mix(
     ``last`` are taken once more.
     """
     sizes = rows.groupBy("_source").agg(F.sum("_size").alias("source_size"))
-    ranked = number_rows(sizes, ["_source"])
+    ranked = number_rows(sizes, ["_source"], "_at")
     weight = F.element_at(
         F.array(*[F.lit(w).cast("bigint") for w in weights]), (F.col("_at") % len(weights) + 1).cast("int")
     )

@@ -1,14 +1,11 @@
-"""Plans that several operators share: global row numbers and size-checked broadcasts."""
+"""Size-checked broadcasts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folianta.storage import materialize
-
 BROADCAST_BYTES = 32 << 20
-IN_PARTITION = (1 << 33) - 1
 
 
 def small(df: DataFrame, row_bytes: int) -> DataFrame:
@@ -18,31 +15,3 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     join that uses it stays a shuffle join.
     """
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
-
-
-def number_rows(df: DataFrame, order: list[str], name: str = "_at") -> DataFrame:
-    """``df`` with the position of each row in the order of columns ``order``, from 0.
-
-    Rows are dealt out by range and sorted where they land; a position is the place in the
-    partition plus the rows of earlier partitions, of which there are as many as partitions.
-    No task sees more than one range. Rows equal in ``order`` are numbered in any order.
-    """
-    ranged = materialize(
-        df.repartitionByRange(*[F.col(c).asc_nulls_last() for c in order])
-        .sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in order])
-        .withColumn("_id", F.monotonically_increasing_id()),
-        "numbered",
-    )
-    part = F.shiftright("_id", 33)
-    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(ahead), F.lit(0)).alias("_ahead"))
-    )
-    return (
-        ranged.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_ahead") + F.col("_id").bitwiseAND(F.lit(IN_PARTITION)))
-        .drop("_part", "_ahead", "_id")
-    )
