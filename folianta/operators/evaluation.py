@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folianta import fixed_values as fixed
 from folianta.functions import text as tx
@@ -21,24 +20,27 @@ def ratio(part: Column, whole: Column) -> Column:
 def batch_predict(
     prompts: DataFrame,
     prompt: str,
-    predict: Callable[[list[str]], list[str]],
+    load: Callable[[], Callable[[list[str]], list[str]]],
     batch_rows: int = fixed.INFERENCE_BATCH,
     output: str = "generated_text",
 ) -> DataFrame:
-    """Adds ``output``: what ``predict`` makes of each prompt, ``batch_rows`` at a time.
+    """Adds ``output``: what a predictor makes of each prompt, ``batch_rows`` at a time.
 
-    The prompts need no order or shuffle; batches are cut inside the partitions.
+    ``load`` makes the predictor on the worker, once a task, so a model need not travel with
+    every task. Only the prompts cross into Python; they need no order or shuffle, and batches
+    are cut inside the partitions.
     """
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            texts = frame[prompt].tolist()
+    @F.pandas_udf("string")
+    def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        predict = load()
+        for batch in batches:
+            texts = batch.tolist()
             answers: list[str] = []
             for start in range(0, len(texts), batch_rows):
                 answers += predict(texts[start : start + batch_rows])
-            yield frame.assign(**{output: answers})
+            yield pd.Series(answers, dtype=object)
 
-    answered = T.StructType([*prompts.schema.fields, T.StructField(output, T.StringType())])
-    return prompts.mapInPandas(run, answered)
+    return prompts.withColumn(output, answer(F.col(prompt)))
 
 
 def judge(
@@ -157,7 +159,10 @@ def global_scores(cells: DataFrame) -> DataFrame:
 
 
 def report_averages(cells: DataFrame) -> DataFrame:
-    """The report's summary rows: macro and support-weighted averages."""
+    """The report's summary rows: accuracy, macro and support-weighted averages.
+
+    The accuracy stands in the column of the F-scores, as reports print it.
+    """
     report = class_report(cells)
     scores = ["precision", "recall", "f1_score"]
     weight = F.sum("support")
@@ -168,7 +173,14 @@ def report_averages(cells: DataFrame) -> DataFrame:
         *[ratio(F.sum(F.col(name) * F.col("support")), weight).alias(name) for name in scores],
         weight.alias("support"),
     )
-    return macro.unionByName(weighted)
+    total = F.coalesce(F.sum("support"), F.lit(0))
+    accuracy = _label_sums(cells).agg(
+        F.lit("accuracy").alias("average"),
+        *[F.lit(None).cast("double").alias(name) for name in scores[:2]],
+        ratio(F.sum("hits"), total).alias("f1_score"),
+        total.alias("support"),
+    )
+    return accuracy.unionByName(macro).unionByName(weighted)
 
 
 def throughput(

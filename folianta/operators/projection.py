@@ -139,16 +139,22 @@ def truncated_svd(
     """Singular values, and the singular vectors of one side as a table.
 
     ``side='left'`` adds ``output``, a row's entries of the left vectors, to ``rows``;
-    ``'right'`` gives ``(component, output)``.
+    ``'right'`` gives ``(component, output)``. Null vectors take no part; without vectors
+    there are no values and no rows.
     """
-    if method == "exact":
+    rows = rows.filter(F.col(vector).isNotNull())
+    width = rows.select(F.size(vector)).first()
+    if width is None:
+        values, right = np.zeros(0), np.zeros((0, 0))
+    elif method == "exact":
         values, right = exact_right_vectors(rows, vector, rank)
     elif method == "randomized":
         values, right = randomized_right_vectors(rows, vector, rank, seed=seed)
     else:
         raise ValueError(f"unknown method {method!r}")
-    largest = np.abs(right).argmax(axis=0)
-    right = right * np.where(right[largest, np.arange(right.shape[1])] < 0, -1.0, 1.0)
+    if right.size:
+        largest = np.abs(right).argmax(axis=0)
+        right = right * np.where(right[largest, np.arange(right.shape[1])] < 0, -1.0, 1.0)
     if side == "right":
         table = [(at, [float(x) for x in column]) for at, column in enumerate(right.T)]
         spark = rows.sparkSession

@@ -110,6 +110,14 @@ def final_losses(
     return history.groupBy(run).agg(*[last(name) for name in losses])
 
 
+def rounded_metric(value: Column, digits: int) -> Column:
+    """A metric for a report: numbers, also written ones, rounded to ``digits`` places; other
+    text passes through."""
+    number = value.try_cast("double")
+    shown = F.round(number, digits).cast("string")
+    return F.when(number.isNotNull(), shown).otherwise(value.cast("string"))
+
+
 def share_percent(part: Column, whole: Column) -> Column:
     return F.when(whole != 0, 100 * part / whole)
 

@@ -2,43 +2,61 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Mapping
 
 UNKNOWN_PENALTY = 10.0
 LONGEST_WORD = 100
-LINEAR_CHARS = 64
-SMALLEST_CHANCE = 1e-250
 
 
 def merge_split(word: str, ranks: Mapping[tuple[str, str], int]) -> list[str]:
-    """Characters merged pair by pair, the earliest learned pair first."""
-    pieces = list(word)
-    while len(pieces) > 1:
-        best = min(zip(pieces, pieces[1:]), key=lambda pair: ranks.get(pair, math.inf))
-        if best not in ranks:
-            break
-        merged, at = [], 0
-        while at < len(pieces):
-            if tuple(pieces[at : at + 2]) == best:
-                merged.append(best[0] + best[1])
-                at += 2
-            else:
-                merged.append(pieces[at])
-                at += 1
-        pieces = merged
-    return pieces
+    """Characters merged pair by pair, the earliest learned pair first, from left to right.
+
+    Neighbouring pairs wait in a heap by rank and place, so a word of n characters takes
+    O(n log n) steps however many merges apply.
+    """
+    pieces: list[str | None] = list(word)
+    before, after = list(range(-1, len(word) - 1)), list(range(1, len(word) + 1))
+    heap = [
+        (ranks[pair], at, pair) for at, pair in enumerate(zip(word, word[1:])) if pair in ranks
+    ]
+    heapq.heapify(heap)
+    while heap:
+        _, at, pair = heapq.heappop(heap)
+        right = after[at]
+        if pieces[at] != pair[0] or right >= len(word) or pieces[right] != pair[1]:
+            continue  # one of the two was merged meanwhile
+        pieces[at], pieces[right] = pair[0] + pair[1], None
+        after[at] = after[right]
+        if after[at] < len(word):
+            before[after[at]] = at
+        for left in (before[at], at):
+            if left >= 0 and after[left] < len(word):
+                beside = (pieces[left], pieces[after[left]])
+                if beside in ranks:
+                    heapq.heappush(heap, (ranks[beside], left, beside))
+    return [piece for piece in pieces if piece is not None]
 
 
 def longest_match_split(
-    word: str, vocabulary: Mapping[str, int], prefix: str, unknown: str
+    word: str,
+    vocabulary: Mapping[str, int],
+    prefix: str,
+    unknown: str,
+    longest_word: int | None = LONGEST_WORD,
+    longest_piece: int | None = None,
 ) -> list[str]:
-    """The longest known piece from the left, again and again; none makes the word unknown."""
-    if len(word) > LONGEST_WORD:
+    """The longest known piece from the left, again and again; none makes the word unknown.
+
+    So does a length above ``longest_word``, if given. ``longest_piece`` bounds the search.
+    """
+    if longest_word is not None and len(word) > longest_word:
         return [unknown]
+    reach = longest_piece or len(word)
     pieces, start = [], 0
     while start < len(word):
-        for end in range(len(word), start, -1):
+        for end in range(min(len(word), start + reach), start, -1):
             piece = (prefix if start else "") + word[start:end]
             if piece in vocabulary:
                 break
@@ -91,59 +109,34 @@ def expected_pieces(
         for end in range(start + 1, min(size, start + longest) + 1)
         if (score := scores.get(word[start:end])) is not None
     ]
-    weighed = _weigh_linear(edges, size) if size <= LINEAR_CHARS else None
-    weighed = weighed or _weigh_logs(edges, size)
-    if weighed is None:
+    ahead: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]
+    behind: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]
+    for start, end, score in edges:
+        ahead[end].append((start, score))
+        behind[size - start].append((size - end, score))
+    to, back = _ways(ahead), _ways(behind)
+    whole = to[size]
+    if whole == -math.inf:
         return {}, 0.0
-    weights, likelihood = weighed
     counts: dict[str, float] = {}
-    for (start, end, _), weight in zip(edges, weights):
+    for start, end, score in edges:
         piece = word[start:end]
+        weight = math.exp(to[start] + score + back[size - end] - whole)
         counts[piece] = counts.get(piece, 0.0) + weight
-    return counts, likelihood
-
-
-def _weigh_linear(edges: list[tuple[int, int, float]], size: int):
-    """Posterior weight of every edge by plain products; ``None`` if they become too small."""
-    forward = [1.0] + [0.0] * size
-    backward = [0.0] * size + [1.0]
-    chances = [math.exp(score) for _, _, score in edges]
-    for (start, end, _), chance in zip(edges, chances):
-        forward[end] += forward[start] * chance
-    whole = forward[size]
-    if whole < SMALLEST_CHANCE:
-        return None
-    for (start, end, _), chance in zip(reversed(edges), reversed(chances)):
-        backward[start] += backward[end] * chance
-    weights = [
-        forward[start] * chance * backward[end] / whole
-        for (start, end, _), chance in zip(edges, chances)
-    ]
-    return weights, math.log(whole)
+    return counts, whole
 
 
-def _weigh_logs(edges: list[tuple[int, int, float]], size: int):
-    """The same in logarithms, for words of any length."""
-    forward = [0.0] + [-math.inf] * size
-    backward = [-math.inf] * size + [0.0]
-    for start, end, score in edges:
-        forward[end] = _log_add(forward[end], forward[start] + score)
-    whole = forward[size]
-    if whole == -math.inf:
-        return None
-    for start, end, score in reversed(edges):
-        backward[start] = _log_add(backward[start], backward[end] + score)
-    weights = [
-        math.exp(max(forward[start] + score + backward[end] - whole, -745.0))
-        for start, end, score in edges
-    ]
-    return weights, whole
-
+def _ways(steps: list[list[tuple[int, float]]]) -> list[float]:
+    """Log of the summed chance of all ways from place 0 to each place.
 
-def _log_add(a: float, b: float) -> float:
-    if a == -math.inf:
-        return b
-    if b == -math.inf:
-        return a
-    high, low = (a, b) if a > b else (b, a)
-    return high + math.log1p(math.exp(low - high))
+    ``steps[place]`` lists (earlier place, log chance). Sums are taken relative to their largest
+    term, so words may be of any length.
+    """
+    found = [0.0]
+    for incoming in steps[1:]:
+        terms = [found[start] + score for start, score in incoming]
+        most = max(terms, default=-math.inf)
+        if len(terms) > 1 and most > -math.inf:
+            most += math.log(sum([math.exp(term - most) for term in terms]))
+        found.append(most)
+    return found

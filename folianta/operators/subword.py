@@ -19,6 +19,7 @@ from folianta import fixed_values as fixed
 from folianta.functions.text import pre_tokenize
 from folianta.operators import positions
 from folianta.operators.segment import (
+    LONGEST_WORD,
     best_split,
     expected_pieces,
     longest_match_split,
@@ -92,6 +93,32 @@ class SubwordModel:
     scores: dict[str, float] = field(default_factory=dict)
     likelihoods: list[float] = field(default_factory=list)
     prefix: str = ""
+    longest_word: int | None = LONGEST_WORD  # a longer one is unknown to the longest-match kind
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the model below ``path``: tokens with ids and scores, merges in order, facts."""
+        self.vocabulary(spark).write.parquet(f"{path}/tokens")
+        merges = [(at, left, right) for at, (left, right) in enumerate(self.merges)]
+        spark.createDataFrame(merges, "rank int, left string, right string").write.parquet(f"{path}/merges")
+        facts = [(self.kind, self.prefix, self.longest_word, self.likelihoods)]
+        schema = "kind string, prefix string, longest_word int, likelihoods array<double>"
+        spark.createDataFrame(facts, schema).write.parquet(f"{path}/facts")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> SubwordModel:
+        """The model that :meth:`save` wrote; a vocabulary is of bounded size."""
+        tokens = spark.read.parquet(f"{path}/tokens").orderBy("id").collect()
+        merges = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
+        facts = spark.read.parquet(f"{path}/facts").first()
+        return cls(
+            facts["kind"],
+            [row["token"] for row in tokens],
+            [(row["left"], row["right"]) for row in merges],
+            {row["token"]: row["score"] for row in tokens if row["score"] is not None},
+            list(facts["likelihoods"]),
+            facts["prefix"],
+            facts["longest_word"],
+        )
 
     def vocabulary(self, spark: SparkSession) -> DataFrame:
         """``(token, id, score)``; scores are null unless the kind has them."""
@@ -110,7 +137,10 @@ class SubwordModel:
                 piece if piece in ids else UNKNOWN for piece in merge_split(word, ranks)
             ]
         if self.kind == "wordpiece":
-            return lambda word: longest_match_split(word, ids, self.prefix, UNKNOWN)
+            reach = max(map(len, ids), default=1)
+            return lambda word: longest_match_split(
+                word, ids, self.prefix, UNKNOWN, self.longest_word, reach
+            )
         longest, floor = max(map(len, self.scores), default=1), unknown_score(self.scores)
 
         def cut(word: str) -> list[str]:
@@ -365,7 +395,7 @@ def train_unigram(
     counts: DataFrame,
     vocab_size: int,
     special_tokens: Sequence[str] = fixed.SPECIAL_TOKENS,
-    seed_size: int = 10_000,
+    seed_size: int | None = None,
     longest_piece: int = 16,
     rounds: int = 2,
     shrink: float = 0.75,
@@ -373,8 +403,13 @@ def train_unigram(
     """A piece vocabulary by expectation maximization with pruning (Kudo, 2018).
 
     Each round counts expected pieces over the distinct words as one job. What reaches the
-    driver is the piece table, which never exceeds ``seed_size`` plus the alphabet.
+    driver is the piece table, which never exceeds ``seed_size`` plus the alphabet. The default
+    is ten seeds for a token, at least 10,000.
     """
+    if seed_size is None:
+        seed_size = max(10 * vocab_size, 10_000)
+    if seed_size < vocab_size:
+        raise ValueError(f"{seed_size} seeds cannot fill a vocabulary of {vocab_size} tokens")
     counts = spread(materialize(counts, "words")).persist()
     target = vocab_size - len(special_tokens)
     scores = _normalized(_seed_pieces(counts, longest_piece, seed_size))

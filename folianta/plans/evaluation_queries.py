@@ -89,7 +89,7 @@ def rule_predictor(texts: list[str]) -> list[str]:
 def batch_predict(spark, sf_dir):
     prompt = prompts.render_prompt(F.lit(""), F.col("text")).alias("prompt")
     asked = dv.documents(spark, sf_dir).select("doc_id", prompt)
-    return evaluation.batch_predict(asked, "prompt", rule_predictor).drop("prompt")
+    return evaluation.batch_predict(asked, "prompt", lambda: rule_predictor).drop("prompt")
 
 
 
@@ -168,6 +168,7 @@ ORACLES = {
     "report_averages": f"""{_REPORT}
         SELECT 'macro avg' AS average, {', '.join(f'round(avg({n}), {DIGITS}) AS {n}' for n in SCORES)},
                sum(support)::BIGINT AS support FROM report
+        UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(hits) / sum(support), {DIGITS}), sum(support)::BIGINT FROM report
         UNION ALL SELECT 'weighted avg',
                {', '.join(f'round(sum({n} * support) / sum(support), {DIGITS})' for n in SCORES)},
                sum(support)::BIGINT FROM report""",

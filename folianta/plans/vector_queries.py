@@ -9,7 +9,7 @@ from folianta.functions import vectors as vec
 from folianta.operators import positions, projection, subword
 from folianta.plans import checks as ck
 from folianta.plans import derived as dv
-from folianta.storage import bounded_table
+from folianta.storage import bounded_table, shared_dir
 
 DIGITS = 6
 TARGET = "the"
@@ -47,16 +47,26 @@ def vocab_by_id(spark, sf_dir):
     return subword.frequency_vocabulary(_counts(spark, sf_dir), VOCABULARY).orderBy("id")
 
 
+_stored: dict[tuple, str] = {}  # folders of models trained in this session
+
+
 def _trained(train, size=SUBWORDS, **options):
+    """Trains on first use and stores the model; later uses in the session load it."""
+
     def learn(spark, sf_dir):
-        return train(_counts(spark, sf_dir), size, **options)
+        key = (spark.sparkContext.applicationId, sf_dir, train.__name__)
+        if key not in _stored:
+            path = shared_dir(spark, train.__name__)
+            train(_counts(spark, sf_dir), size, **options).save(spark, path)
+            _stored[key] = path
+        return subword.SubwordModel.load(spark, _stored[key])
 
     return learn
 
 
 _bpe = _trained(subword.train_bpe)
 _wordpiece = _trained(subword.train_wordpiece, 300)  # marked characters double the alphabet
-_unigram = _trained(subword.train_unigram, 300, seed_size=1500)
+_unigram = _trained(subword.train_unigram, 300)
 
 
 def _vocabulary(learn):

@@ -43,6 +43,7 @@ def test_averages(spark):
     weighted = (2 * 0.8 + 2 * (2 / 3) + 1 * 0.0 + 1 * 1.0) / 6
     assert rows["weighted avg"]["f1_score"] == pytest.approx(weighted)
     assert rows["macro avg"]["support"] == 6
+    assert rows["accuracy"]["f1_score"] == pytest.approx(4 / 6) and rows["accuracy"]["precision"] is None
 
 
 def test_empty_input_scores_zero(spark):
@@ -56,7 +57,7 @@ def test_batches_are_bounded_and_complete(spark):
         return [str(len(texts))] * len(texts)
 
     prompts = spark.range(10).selectExpr("id", "'p' AS prompt").coalesce(1)
-    got = evaluation.batch_predict(prompts, "prompt", predict, batch_rows=4).collect()
+    got = evaluation.batch_predict(prompts, "prompt", lambda: predict, batch_rows=4).collect()
     assert sorted(r["generated_text"] for r in got) == ["2"] * 2 + ["4"] * 8
 
 

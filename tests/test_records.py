@@ -145,6 +145,12 @@ def test_jsonl_keeps_text_and_skips_empty(spark, folder):
     assert not Path(folder, "none").exists()
 
 
+def test_rounded_metrics_let_text_pass(spark):
+    rows = spark.createDataFrame([("0.123456",), ("N/A",), (None,), ("2",)], "v string")
+    got = [r[0] for r in rows.select(runs.rounded_metric(F.col("v"), 4)).collect()]
+    assert got == ["0.1235", "N/A", None, "2.0"]
+
+
 def test_run_logs(spark, folder):
     config = {"fase": "train", "method": "lora", "lora_r": 8, "target_modules": "all", "seed": 3688191069}
     Path(folder, "m.json").write_text(

@@ -112,13 +112,24 @@ def test_expected_pieces_by_enumeration():
 
 def test_expected_pieces_of_a_very_long_word():
     scores = {"a": -4.0, "aa": -5.0}
-    for size in (segment.LINEAR_CHARS, 5000):
+    for size in (64, 5000):
         counts, likelihood = segment.expected_pieces("a" * size, scores, 2)
         assert counts["a"] + 2 * counts["aa"] == pytest.approx(size)
         # per character the best splits weigh exp(-2.5); there are few others
         assert -2.5 * size < likelihood < -2.3 * size
 
 
+def test_long_words_and_stored_models(spark, folder):
+    words = {"a": 0, "##a": 1}
+    assert segment.longest_match_split("a" * 101, words, "##", "?") == ["?"]
+    assert segment.longest_match_split("a" * 101, words, "##", "?", None, 3) == ["a"] + ["##a"] * 100
+    model = subword.train_bpe(counted(spark, CORPUS), 30)
+    model.save(spark, f"{folder}/model")
+    assert subword.SubwordModel.load(spark, f"{folder}/model") == model
+    with pytest.raises(ValueError, match="seeds"):
+        subword.train_unigram(counted(spark, CORPUS), 100, seed_size=50)
+
+
 def test_word_and_pair_counts(spark):
     counts = counted(spark, CORPUS)
     words = {r["word"]: r["n"] for r in counts.collect()}
