@@ -122,6 +122,15 @@ def evaluate_classifier(spark, sf_dir):
     return _rounded(evaluation.domain_report(cells, classes=["0", "1"]), [*SCORES, "exact_match"])
 
 
+def classifier_facts(spark, sf_dir):
+    """Rows of each side and class, and whether the classifier beats the larger class."""
+    rows = _classified(spark, sf_dir)
+    right = F.sum((F.col("type") == F.col("generated_text")).cast("bigint")).alias("right")
+    sums = materialize(rows.groupBy("split", "type").agg(F.count("*").alias("n"), right), "classified")
+    sides = sums.groupBy("split").agg((F.sum("right") >= F.max("n")).alias("beats_majority"))
+    return sums.join(sides, "split").select("split", "type", "n", "beats_majority")
+
+
 QUERIES = {
     "eval_join": eval_join,
     "eval_global": eval_global,
@@ -132,6 +141,7 @@ QUERIES = {
     "report_averages": report_averages,
     "throughput": throughput,
     "batch_predict": batch_predict,
+    "classifier_facts": classifier_facts,
     "train_classifier": train_classifier,
     "evaluate_classifier": evaluate_classifier,
 }
@@ -179,6 +189,15 @@ ORACLES = {
         FROM (SELECT event_type, event_id // {fixed.INFERENCE_BATCH} AS batch, count(*) AS n,
                      max(json_extract(props, '$.k')::BIGINT) * count(*) AS padded, sum(value) AS seconds
               FROM events GROUP BY ALL) GROUP BY ALL""",
+    "classifier_facts": """
+        WITH c AS (SELECT quality AS type, count(*) AS n, (sum(count(*)) OVER ())::BIGINT AS total
+                   FROM documents JOIN labels USING (doc_id) GROUP BY quality),
+        t AS (SELECT *, total - ceil(0.30::DOUBLE * total)::BIGINT AS target FROM c),
+        e AS (SELECT *, n::DOUBLE * target / total AS exact FROM t),
+        q AS (SELECT type, n, floor(exact)::BIGINT + CASE WHEN row_number() OVER (ORDER BY exact - floor(exact) DESC, type)
+                     <= target - sum(floor(exact)) OVER () THEN 1 ELSE 0 END AS quota FROM e)
+        SELECT 'train' AS split, type::VARCHAR AS type, quota AS n, true AS beats_majority FROM q WHERE quota > 0
+        UNION ALL SELECT 'held_out', type::VARCHAR, n - quota, true FROM q WHERE n > quota""",
     "batch_predict": """
         SELECT doc_id, CASE WHEN contains(text, 'sch') THEN 'Tesis' WHEN contains(text, 'tion') THEN 'Articulo'
                             WHEN contains(text, 'eaux') THEN 'Libro' ELSE 'Otro' END AS generated_text

@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
+from folianta import fixed_values as fixed
 from folianta.functions import vectors as vec
 from folianta.operators import positions, projection, subword
 from folianta.plans import checks as ck
@@ -89,6 +90,51 @@ def _encoded(learn):
     return query
 
 
+def _joined(learn, mark=""):
+    """Pieces put together again; without an unknown piece they are the pre-tokens."""
+
+    def query(spark, sf_dir):
+        model = learn(spark, sf_dir)
+        model.longest_word = None
+        coded = dv.documents(spark, sf_dir).select("doc_id", model.encode(spark, F.col("text")).alias("c"))
+        # a word may itself begin like the mark, so its characters are left out on both sides
+        text = F.array_join("c.tokens", "")
+        for char in set(mark):
+            text = F.replace(text, F.lit(char), F.lit(""))
+        known = F.transform("c.ids", lambda i: F.element_at(F.lit(model.tokens), i + 1))
+        return coded.select(
+            "doc_id",
+            text.alias("text"),
+            (known == F.col("c.tokens")).alias("ids_name_tokens"),
+        )
+
+    return query
+
+
+def vocabulary_facts(spark, sf_dir):
+    """Size of each vocabulary, whether tokens differ, and how many characters it covers."""
+    chars = _counts(spark, sf_dir).select(F.explode(F.split("word", "")).alias("token")).distinct()
+    kinds = [("bpe", _bpe), ("unigram", _unigram), ("wordpiece", _wordpiece)]
+    names = ["n_tokens", "n_distinct", "n_chars"]
+    found = None
+    for kind, learn in kinds:
+        tokens = learn(spark, sf_dir).vocabulary(spark)
+        covered = chars.join(tokens, "token", "left_semi").agg(F.count("*").alias("n_chars"))
+        none = F.lit(0).cast("bigint")
+        sizes = tokens.agg(F.count("*").alias("n_tokens"), F.count_distinct("token").alias("n_distinct"))
+        for part in (sizes.select("*", none.alias("n_chars")), covered.select(none, none, "n_chars").toDF(*names)):
+            row = part.select(F.lit(kind).alias("kind"), *names)
+            found = row if found is None else found.unionAll(row)
+    return found.groupBy("kind").agg(*[F.sum(name).alias(name) for name in names])
+
+
+def first_merges(spark, sf_dir):
+    """The first pair merged: the most frequent pair of characters, ties by character."""
+    left, right = _bpe(spark, sf_dir).merges[0]
+    pairs = subword.pair_counts(_counts(spark, sf_dir))
+    return pairs.filter((F.col("left") == left) & (F.col("right") == right)).select("left", "right", "n")
+
+
 def positional_encoding(spark, sf_dir):
     """An encoding for the place of every vector in its table."""
     encoded = vec.positional_encoding(F.col("vec_id"), WIDTH)
@@ -214,6 +260,36 @@ def _svd(method):
     return query
 
 
+def _rebuilt(method):
+    """Whether the factors at full rank give every vector back."""
+
+    def query(spark, sf_dir):
+        rows = _embeddings(spark, sf_dir)
+        values, left = projection.truncated_svd(rows, "v", WIDTH, method, side="left")
+        _, right = projection.truncated_svd(rows, "v", WIDTH, method, side="right")
+        back = np.array([r["factors"] for r in right.orderBy("component").collect()])  # width-sized
+        product = projection.linear(left, F.col("factors"), values[:, None] * back)
+        far = F.zip_with("v", "p", lambda x, y: F.abs(x - y))
+        return left.withColumn("p", product).select("vec_id", (F.array_max(far) < 1e-6).alias("same"))
+
+    return query
+
+
+def pca_lengths(spark, sf_dir):
+    """Squared lengths of all components, which are those of the centred vectors."""
+    found = projection.pca_project(_embeddings(spark, sf_dir), "v", WIDTH)
+    return found.select("vec_id", F.round(vec.dot(F.col("components"), F.col("components")), 5).alias("squares"))
+
+
+def pca_distances(spark, sf_dir):
+    """Squared distances of neighbouring vectors, which a rotation keeps."""
+    rows = _embeddings(spark, sf_dir)
+    found = projection.apply_pca(projection.fit_pca(rows, "v", WIDTH), rows, "v")
+    after = found.select((F.col("vec_id") - 1).alias("vec_id"), F.col("components").alias("b"))
+    gap = F.zip_with("components", "b", lambda x, y: x - y)
+    return found.join(after, "vec_id").select("vec_id", F.round(vec.dot(gap, gap), 5).alias("squares"))
+
+
 QUERIES = {
     "word_counts": _counts,
     "pair_counts": lambda spark, sf_dir: subword.pair_counts(_counts(spark, sf_dir)),
@@ -225,6 +301,15 @@ QUERIES = {
     "wordpiece_encode": _encoded(_wordpiece),
     "unigram_vocab": _vocabulary(_unigram),
     "unigram_encode": _encoded(_unigram),
+    "bpe_joined": _joined(_bpe),
+    "wordpiece_joined": _joined(_wordpiece, fixed.CONTINUATION_PREFIX),
+    "unigram_joined": _joined(_unigram),
+    "vocabulary_facts": vocabulary_facts,
+    "first_merges": first_merges,
+    "svd_rebuilt": _rebuilt("exact"),
+    "randomized_svd_rebuilt": _rebuilt("randomized"),
+    "pca_lengths": pca_lengths,
+    "pca_distances": pca_distances,
     "token_vectors": token_vectors,
     "token_occurrences": token_occurrences,
     "occurrence_pairs": occurrence_pairs,
@@ -280,6 +365,29 @@ ORACLES = {
         FROM (SELECT doc_id, {ck.tokens('text')} AS t FROM documents)
         UNION ALL SELECT -1, sum(n)::BIGINT, count(*) FROM ({_WORDS})""",
     "vocab_by_id": _VOCAB,
+    **dict.fromkeys(
+        ("bpe_joined", "unigram_joined"),
+        f"SELECT doc_id, array_to_string({ck.tokens('text')}, '') AS text, true AS ids_name_tokens FROM documents",
+    ),
+    "wordpiece_joined": f"""
+        SELECT doc_id, replace(array_to_string({ck.tokens('text')}, ''), '#', '') AS text, true AS ids_name_tokens
+        FROM documents""",
+    "vocabulary_facts": f"""
+        WITH c AS (SELECT count(DISTINCT c) AS n FROM (SELECT unnest(string_split(word, '')) AS c FROM ({_WORDS})))
+        SELECT kind, size AS n_tokens, size AS n_distinct, n AS n_chars
+        FROM (VALUES ('bpe', {SUBWORDS}::BIGINT), ('unigram', 300), ('wordpiece', 300)) AS k(kind, size), c""",
+    "first_merges": f"""
+        SELECT word[i] AS "left", word[i + 1] AS "right", sum(n)::BIGINT AS n
+        FROM (SELECT word, n, unnest(range(1, length(word))) AS i FROM ({_WORDS}))
+        GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 1""",
+    **dict.fromkeys(("svd_rebuilt", "randomized_svd_rebuilt"), "SELECT vec_id, true AS same FROM embeddings"),
+    "pca_lengths": f"""
+        WITH m AS (SELECT i, avg(x) AS mean FROM (SELECT unnest(v) AS x, unnest(range(len(v))) AS i FROM ({_V})) GROUP BY i)
+        SELECT vec_id, round(sum((x - mean) * (x - mean)), 5) AS squares
+        FROM (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i FROM ({_V})) JOIN m USING (i) GROUP BY vec_id""",
+    "pca_distances": f"""
+        SELECT vec_id, round(list_sum(list_transform(list_zip(a, b), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 5) AS squares
+        FROM ({_PAIRS})""",
     "token_vectors": f"SELECT token, id, {_text('v', 2)} AS vector FROM ({_RANKED}) JOIN ({_V}) ON vec_id = id",
     "token_occurrences": _HITS,
     "occurrence_pairs": f"""
