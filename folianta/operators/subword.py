@@ -403,11 +403,11 @@ def train_unigram(
     """A piece vocabulary by expectation maximization with pruning (Kudo, 2018).
 
     Each round counts expected pieces over the distinct words as one job. What reaches the
-    driver is the piece table, which never exceeds ``seed_size`` plus the alphabet. The default
-    is ten seeds for a token, at least 10,000.
+    driver is the piece table, which never exceeds ``seed_size`` plus the alphabet; the default
+    is ten seeds for a token. Far above the target, more pieces go at a time.
     """
     if seed_size is None:
-        seed_size = max(10 * vocab_size, 10_000)
+        seed_size = 10 * vocab_size
     if seed_size < vocab_size:
         raise ValueError(f"{seed_size} seeds cannot fill a vocabulary of {vocab_size} tokens")
     counts = spread(materialize(counts, "words")).persist()
@@ -424,7 +424,8 @@ def train_unigram(
         singles = sum(len(piece) == 1 for piece in scores)
         if len(scores) <= max(target, singles):
             break
-        scores = _pruned(scores, expected, max(target, int(len(scores) * shrink)))
+        kept = shrink if len(scores) < 4 * target else shrink / 1.5
+        scores = _pruned(scores, expected, max(target, int(len(scores) * kept)))
     counts.unpersist()
     ordered = sorted(scores, key=lambda piece: (-scores[piece], piece))
     return SubwordModel(
