@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folianta.llm.words import blocks, grams, split_words
+from folianta.llm.words import blocks, bound_batches, grams, split_words
 from folianta.storage import materialize
 
 WINDOW = 13
@@ -203,6 +203,7 @@ def find_contamination(
     scan of files, whose row numbers do not change between reads.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     prints = materialize(item_prints(items, item_id, gram, window), "benchmark-prints")
     lengths = [r[0] for r in prints.where(F.col("need") < window).select("need").distinct().collect()]
     table = bit_table(spark, prints.select("hash"))

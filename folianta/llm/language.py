@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folianta.llm.words import blocks, mix, utf8
+from folianta.llm.words import blocks, bound_batches, mix, utf8
 
 BINS = 1 << 16
 WIDTHS = (1, 2, 3)
@@ -221,14 +221,15 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str]) -> Da
     scores go to the language that sorts first.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    text = "text" if "text" in keep else "_text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for batch in blocks(batches, "_text"):
+        for batch in blocks(batches, text):
             names = np.full(batch.num_rows, UNKNOWN, dtype=object)
             scores = np.zeros(batch.num_rows)
             if known:
-                codes, first = _codes(batch.column("_text"))
+                codes, first = _codes(batch.column(text))
                 sums = np.zeros((batch.num_rows, len(known.languages)))
                 grams = np.zeros(batch.num_rows)
                 filled = np.flatnonzero(np.diff(first))
@@ -249,7 +250,7 @@ def predict(docs: DataFrame, model: LanguageModel | None, keep: list[str]) -> Da
 
     source = docs.select(
         *keep,
-        F.col("text").alias("_text"),
+        *([] if text in keep else [F.col("text").alias(text)]),
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("_lettered"),
     )
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
@@ -267,6 +268,7 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", keep: list[str] | None = N
     Learns from the rows outside the held-out quarter; prediction sees the text alone. A null id
     counts as not held out. Repeated rows are predicted alike; other columns are ignored.
     """
+    bound_batches(docs.sparkSession)
     named = docs.withColumn("held_out", held_out(doc_id))
     model = fit(named.where("NOT held_out"))
     return predict(named, model, [*(keep or [doc_id]), "held_out"])

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folianta.llm.words import blocks, split_words
+from folianta.llm.words import blocks, bound_batches, split_words
 from folianta.storage import materialize
 
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
@@ -157,6 +157,7 @@ def scan_licenses(
     other columns are ignored. ``docs`` must be a plain scan of files.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     sets = [(label, sorted(set(word_list(text)))) for label, text in templates]
     sets = [(label, words) for label, words in sets if words]
     counts = word_counts(docs, sorted({w for _, words in sets for w in words}))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from folianta.llm.graph import components
 from folianta.llm.tables import small
-from folianta.llm.words import Words, blocks, grams, mix, powers, split_words
+from folianta.llm.words import Words, blocks, bound_batches, grams, mix, powers, split_words
 from folianta.storage import materialize
 
 SHINGLE = 5
@@ -252,6 +252,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     a plain scan of files, whose row numbers do not change between reads.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     source = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("doc_id"), "text")
     texts = source.select("_row", "text")
     profile = materialize(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folianta.llm.tables import small
-from folianta.llm.words import blocks, mix
+from folianta.llm.words import blocks, bound_batches, mix
 from folianta.storage import materialize, shared_dir
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -39,7 +39,7 @@ SHARD = 1024
 KEY = 20240517
 ROUNDS = 6
 HEADER = 4  # bytes before the ids of a sequence: how many of them are its own
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 TASK_BYTES = 32 << 20
 
 _encoders: dict[int, object] = {}
@@ -233,6 +233,7 @@ def token_shards(
     must be a plain scan of files, whose row numbers do not change between reads.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     ranks = spark.sparkContext.broadcast(Path(vocabulary).read_bytes())
     source = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("doc_id"), "text")
     kind = source.schema["doc_id"].dataType.simpleString()

@@ -7,16 +7,19 @@ byte. All helpers work inside a Spark task on one batch; a document is never cut
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 17
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 _U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -103,6 +106,19 @@ def split_words(texts: pa.Array) -> Words:
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let the session send at most BATCH_ROWS rows or about BATCH_BYTES to Python at once.
+
+    Texts are long rows: Spark's 10,000 of them would fill hundreds of megabytes in each task.
+    Smaller settings are left alone.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = int(re.sub(r"[^-0-9]", "", spark.conf.get(key)))
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], column: str, size: int = BLOCK_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -116,6 +132,7 @@ def blocks(
             end = max(begin + 1, int(np.searchsorted(totals, before + size, side="right")))
             yield batch.slice(begin, end - begin)
             begin = end
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def grams(hashes: np.ndarray, width: int) -> np.ndarray:
