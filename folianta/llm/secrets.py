@@ -6,9 +6,9 @@ with a rule version that the ledger lacks for them are scanned, each once howeve
 and versions carry it, and only for the rules it lacks; findings are then joined back to all
 paths. A changed pattern is a new version and is scanned for again, the rest is not.
 
-Scale: DataFrame functions only. A first read addresses the texts and leaves narrow rows, a
-second one reads the texts of the chosen rows; texts are shuffled only if the list of rows to
-scan is too long to broadcast. Copies are counted before they are shuffled.
+Scale: DataFrame functions only. A first read addresses the texts and leaves narrow rows; a
+second one joins the texts with the rows to scan, by row, so that texts move once at most and
+evenly, however many copies one has. Copies are counted before they are shuffled.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folianta.llm.tables import small
 from folianta.storage import materialize, shared_dir
 
 
@@ -143,7 +142,7 @@ def scan_versions(
         .where("size(missing) > 0"),
         "pending-blobs",
     )
-    chosen = source.select("_row", "text").join(small(pending, 512), "_row")
+    chosen = source.select("_row", "text").join(pending, "_row")
     found = materialize(find_spans(chosen, rules), "new-findings")
     pending.join(found, "blob", "left").select(
         "blob", F.col("missing").alias("rules"), F.coalesce("findings", F.array().cast(FINDINGS)).alias("findings")
