@@ -6,8 +6,9 @@ canonical JSON: keys sorted at every level, no spaces, one form per number, no n
 
 The level of a call is the longest chain of calls it depends on; ordering a conversation by
 ``level, turn, call_id`` puts every call after those it needs. Levels are found for all
-conversations at once, one join a level, as in Kahn's algorithm; what is never reached lies on
-or behind a cycle.
+conversations at once: in rounds that double the steps looked back where no call needs more than
+one other, else one join a level, as in Kahn's algorithm. What is never placed lies on or behind
+a cycle.
 
 Scale: DataFrame functions only, JSON as variants. Rows stay one per call, so a conversation that
 holds a third of them is spread like any others; the joins are plain equi-joins by hashed key.
@@ -79,6 +80,23 @@ def _key(call_id: Column) -> Column:
     return F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("\x01")), F.lit("\x00"), call_id)
 
 
+def _chain_levels(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """Levels where no call needs more than one other: each round doubles the steps looked back."""
+    ways = materialize(
+        known.join(edges, "key", "left").select("key", F.col("need").alias("up"), F.col("need").isNotNull().cast("bigint").alias("level")),
+        "call-ways",
+    )
+    for _ in range(ways.count().bit_length() + 1):
+        if ways.filter("up IS NOT NULL").isEmpty():
+            break
+        above = ways.select(F.col("key").alias("up"), F.col("up").alias("next"), F.col("level").alias("more"))
+        ways = materialize(
+            ways.join(above, "up", "left").select("key", F.col("next").alias("up"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level")),
+            "call-ways",
+        )
+    return ways.filter("up IS NULL").select("key", F.col("level").cast("int").alias("level"))
+
+
 def levels(calls: DataFrame) -> DataFrame:
     """``key, level`` of calls (``key``, array ``needs`` of keys); without those in cycles.
 
@@ -91,6 +109,8 @@ def levels(calls: DataFrame) -> DataFrame:
         "call-edges",
     )
     waiting = materialize(edges.groupBy("key").agg(F.count("*").alias("open")), "call-waiting")
+    if (waiting.agg(F.max("open")).first()[0] or 0) <= 1:
+        return _chain_levels(known, edges)
     placed = materialize(
         known.join(waiting, "key", "left_anti").select("key", F.lit(0).alias("level")), "call-level"
     )
