@@ -12,12 +12,15 @@ all samples of a band meet, and are linked if their exact weighted Jaccard simil
 ``SIMILARITY``. Classes are the connected components of links; exact copies (same words in the
 same order) count as one text throughout.
 
-Scale: texts are read where they lie and only those in a candidate pair are moved. A band that
-thousands share is not compared pair by pair: every text of a band is compared with up to
+Scale: texts are read where they lie and only those in a candidate pair are moved. A band of up
+to ``TOGETHER`` texts is compared pair by pair. Every text of a larger one is first compared with
 ``PICKS`` of them, those that meet most other texts in all their bands, which among changed
-copies of one original are the least changed ones. So work grows with the number of texts in
-a band, and two similar texts are missed only if no chain of picked texts of their common bands
-connects them. A group of exact copies is one row from the start.
+copies of one original are the least changed ones. Where that leaves a large band with more than
+one class, its texts are joined exactly: two similar texts share one of their rarest shingles, up
+to a fifth of the weight of each (prefix filter), and what comes before the first such shingle in
+both leaves room for the similarity (positional filter). So two texts that share a band are
+compared, ruled out by a bound, or in one class already. A group of exact copies is one row from
+the start.
 """
 
 from __future__ import annotations
@@ -41,6 +44,8 @@ FREQUENCY_BINS = 1 << 19
 IDF_SHARE = 0.25
 CHUNK = 4096  # bins in one row of counts, and shingles sampled at a time
 PICKS = 6
+TOGETHER = 16  # texts of a band that are compared pair by pair
+SLACK = 1e-6  # left to rounding by bounds on a similarity
 
 _U64 = np.uint64
 _SAMPLES = mix(np.arange(1, 2 * BANDS * BAND_ROWS + 1, dtype=_U64) * _U64(0xD1342543DE82EF95))
@@ -206,19 +211,19 @@ def _verify(shared, similarity: float):
 
 
 def _members(sampled: DataFrame) -> DataFrame:
-    """``key, _row, total, fame`` of texts in bands that others share.
+    """``key, _row, total, fame, met`` of texts in bands that others share.
 
-    ``fame`` counts the texts that a text meets in all its bands.
+    ``fame`` counts the texts that a text meets in all its bands, ``met`` those of the band.
     """
     rows = sampled.select("_row", "total", F.explode("keys").alias("key"))
     shared = materialize(rows.groupBy("key").agg(F.count("*").alias("met")).where("met > 1"), "shared-bands")
     rows = materialize(rows.join(small(shared, 32), "key"), "band-rows")
     fame = rows.groupBy("_row").agg(F.sum("met").alias("fame"))
-    return materialize(rows.join(fame, "_row").select("key", "_row", "total", "fame"), "band-members")
+    return materialize(rows.join(fame, "_row").select("key", "_row", "total", "fame", "met"), "band-members")
 
 
 def _candidates(members: DataFrame) -> DataFrame:
-    """Members of each band with its picked texts, as (a, b), each pair once.
+    """All pairs of small bands and members of large ones with picked texts, as (a, b), once each.
 
     Picked are the text of most fame and, of the others, dealt to lanes by hash, those of most
     fame in each lane. Pairs whose total weights alone rule out the similarity are left out.
@@ -227,22 +232,105 @@ def _candidates(members: DataFrame) -> DataFrame:
     rank = F.struct("fame", -F.col("_row"))
     lane = F.pmod(F.xxhash64("_row", "key"), F.lit(PICKS - 1))
     lanes = [F.max_by(entry, F.when(lane == i, rank)) for i in range(PICKS - 1)]
-    picks = members.groupBy("key").agg(
+    crowded = F.col("met") > TOGETHER
+    picks = members.where(crowded).groupBy("key").agg(
         F.array_distinct(F.array_compact(F.array(F.max_by(entry, rank), *lanes))).alias("picks")
     )
+    every = members.where(~crowded).groupBy("key").agg(F.collect_list(entry).alias("picks"))
     fits = F.filter(
         "picks",
-        lambda x: (x["b"] != F.col("_row"))
-        & (F.least("total", x["other"]) >= SIMILARITY * F.greatest("total", x["other"])),
+        lambda x: F.when(crowded, x["b"] != F.col("_row")).otherwise(x["b"] > F.col("_row"))
+        & (F.least("total", x["other"]) >= (SIMILARITY - SLACK) * F.greatest("total", x["other"])),
     )
     return (
-        members.join(small(materialize(picks, "picked-texts"), 160), "key")
+        members.join(small(materialize(picks.unionAll(every), "picked-texts"), 400), "key")
         .select(F.col("_row").alias("a"), F.explode(fits).alias("x"))
         .select(F.least("a", "x.b").alias("a"), F.greatest("a", "x.b").alias("b"))
         .distinct()
     )
 
 
+def rarest(shingles: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Shingles, rarest first, of which similar texts share one; the weight before each; all weight.
+
+    All shared weight lies from the first shared shingle on and is ``SIMILARITY`` of the whole.
+    """
+    each = weight[_bins(shingles)].astype(np.float64)
+    order = np.lexsort((shingles, -each))
+    weights = (counts * each)[order]
+    before = np.cumsum(weights) - weights
+    total = float(weights.sum())
+    kept = total - before >= (SIMILARITY - SLACK) * total
+    return shingles[order[kept]], before[kept], total
+
+
+def _rarest(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weight = shared.value
+        for batch in blocks(batches, "text"):
+            found = [rarest(*x, weight) for x in shingle_sets(split_words(batch.column("text")))]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(x[0]) for x in found]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("_row").take(at),
+                    batch.column("root").take(at),
+                    pa.array(np.concatenate([x[0] for x in found]).view(np.int64)),
+                    pa.array(np.concatenate([x[1] for x in found])),
+                    pa.array(np.array([x[2] for x in found])[at.to_numpy()]),
+                ],
+                ["_row", "root", "shingle", "before", "total"],
+            )
+
+    return run
+
+
+def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``_row, root`` of texts in large bands that hold more than one class of ``roots``."""
+    crowded = materialize(
+        members.where(F.col("met") > TOGETHER)
+        .join(small(roots, 32), "_row", "left")
+        .select("key", "_row", F.coalesce("root", "_row").alias("root")),
+        "crowded-bands",
+    )
+    mixed = crowded.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    mixed = materialize(mixed.select("key"), "mixed-bands")
+    return materialize(crowded.join(small(mixed, 16), "key").select("_row", "root").distinct(), "unsettled-texts")
+
+
+def _prefix_pairs(texts: DataFrame, unsettled: DataFrame, weight) -> DataFrame:
+    """Pairs (a, b) of different classes that no bound rules out, each once."""
+    entries = materialize(
+        texts.join(small(unsettled, 32), "_row").mapInArrow(
+            _rarest(weight), "_row bigint, root bigint, shingle bigint, before double, total double"
+        ),
+        "rare-shingles",
+    )
+    mixed = entries.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    mixed = materialize(mixed.select("shingle"), "mixed-shingles")
+    met = materialize(entries.join(small(mixed, 16), "shingle"), "met-shingles")
+    one, two = (met.select("shingle", *[F.col(c).alias(f"{c}{i}") for c in ("_row", "root", "before", "total")]) for i in (1, 2))
+    least = SIMILARITY / (1 + SIMILARITY) * (F.col("total1") + F.col("total2"))
+    room = F.least(F.col("total1") - F.col("before1"), F.col("total2") - F.col("before2"))
+    return (
+        one.join(two.withColumnRenamed("shingle", "other"), (F.col("shingle") == F.col("other")) & (F.col("root1") < F.col("root2")) & (room >= (1 - SLACK) * least))
+        .select(F.col("_row1").alias("a"), F.col("_row2").alias("b"))
+        .distinct()
+    )
+
+
+def _links(texts: DataFrame, pairs: DataFrame, weight) -> DataFrame:
+    """Those of ``pairs`` that are similar."""
+    involved = materialize(
+        pairs.select(F.col("a").alias("_row")).unionAll(pairs.select("b")).distinct(), "involved"
+    )
+    wanted = materialize(texts.join(small(involved, 16), "_row", "left_semi"), "candidate-texts")
+    return (
+        pairs.join(wanted.select(F.col("_row").alias("a"), F.col("text").alias("mine")), "a")
+        .join(wanted.select(F.col("_row").alias("b"), F.col("text").alias("theirs")), "b")
+        .mapInArrow(_verify(weight, SIMILARITY), "a bigint, b bigint")
+    )
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``_row, doc_id, root, class_id``, one row per row of ``docs``.
 
@@ -286,16 +374,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     repeated = copies.where("_row <> rep").select("_row")
     members = _members(sampled.join(small(repeated, 16), "_row", "left_anti"))
     pairs = materialize(_candidates(members), "candidates")
-    involved = materialize(
-        pairs.select(F.col("a").alias("_row")).unionAll(pairs.select("b")).distinct(), "involved"
-    )
-    wanted = materialize(texts.join(small(involved, 16), "_row", "left_semi"), "candidate-texts")
-    links = (
-        pairs.join(wanted.select(F.col("_row").alias("a"), F.col("text").alias("mine")), "a")
-        .join(wanted.select(F.col("_row").alias("b"), F.col("text").alias("theirs")), "b")
-        .mapInArrow(_verify(weight, SIMILARITY), "a bigint, b bigint")
-    )
-    roots = components(links).withColumnRenamed("node", "_row")
+    roots = components(_links(texts, pairs, weight)).withColumnRenamed("node", "_row")
+    unsettled = _unsettled(members, roots)
+    if not unsettled.isEmpty():
+        rest = materialize(_prefix_pairs(texts, unsettled, weight), "prefix-candidates")
+        links = roots.select(F.col("_row").alias("a"), F.col("root").alias("b")).unionAll(_links(texts, rest, weight))
+        roots = components(links).withColumnRenamed("node", "_row")
     placed = copies.join(small(roots.withColumnRenamed("_row", "rep"), 32), "rep", "left").select(
         "_row", F.coalesce("root", "rep").alias("root")
     )

@@ -99,6 +99,29 @@ def test_near_duplicates_equal_brute_force(spark, folder):
     assert {i for i, r in found.items() if r["kept"]} == {find(i) for i in range(len(texts))}
 
 
+def test_near_duplicates_among_texts_of_one_template(spark, folder):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(5))
+    head, tail = ([word() for _ in range(133)] for _ in range(2))
+    texts = []
+    for _ in range(100):
+        body = [*head, *(word() for _ in range(34)), *tail]
+        texts.append(" ".join(body))
+        for at in rnd.sample(range(5, 125, 6), 5):
+            body[at] = word()
+        texts.append(" ".join(body))
+    write_all(folder, documents(texts))
+    found = {r["doc_id"]: r["class_id"] for r in neardup.op10_near_duplicates(spark, folder).collect()}
+    assert found == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_small_bands_are_compared_pair_by_pair(spark):
+    rows = [(key, row, 1.0, 1, 3) for key in range(40) for row in range(3 * key, 3 * key + 3)]
+    members = spark.createDataFrame(rows, "key bigint, _row bigint, total double, fame bigint, met bigint")
+    pairs = {tuple(r) for r in neardup._candidates(members).collect()}
+    assert pairs == {(a, b) for key in range(40) for a, b in [(3 * key, 3 * key + 1), (3 * key, 3 * key + 2), (3 * key + 1, 3 * key + 2)]}
+
+
 def test_samples_agree_as_often_as_texts_are_similar():
     rnd = np.random.default_rng(0)
     shingles = rnd.integers(0, 2**63, 400).astype(np.uint64)
