@@ -107,7 +107,7 @@ def plan_mix(
     facts = small(targets.select(F.col("_source").alias("of"), "rest"), 64)
     cuts = (
         histogram.join(facts, F.col("_source").eqNullSafe(F.col("of")))
-        .where((F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") < F.col("rest")))
+        .where((F.col("rest") > 0) & (F.col("upto") > F.col("rest")) & (F.col("upto") - F.col("words") <= F.col("rest")))
         .select("of", "prefix", (F.col("upto") - F.col("words")).alias("before"), "rest")
     )
     cuts = materialize(cuts, "mix-cuts")
