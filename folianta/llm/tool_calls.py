@@ -47,10 +47,21 @@ def _literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def one_value(json: str) -> str:
+    """SQL condition that column ``json`` is one JSON value and nothing else; false for null.
+
+    ``try_parse_json`` ends with the first whole value. What may follow it inside an array is not
+    what may follow it inside an object, but for white space.
+    """
+    listed = f"size(cast(try_parse_json(concat('[', {json}, ']')) as array<variant>))"
+    keyed = f"size(cast(try_parse_json(concat('{{\"v\":', {json}, '}}')) as map<string, variant>))"
+    return f"coalesce(try_parse_json({json}) IS NOT NULL AND {listed} = 1 AND {keyed} = 1, false)"
+
+
 def argument_errors(tool: str, arguments: str, schemas: dict = SCHEMAS) -> Column:
     """Sorted array of what is wrong with JSON column ``arguments`` of the tool in ``tool``.
 
-    ``json`` (not readable, with a repeated key, or null; what follows a whole value is not looked at), ``object`` (something else),
+    ``json`` (not readable, with a repeated key, followed by more than white space, or null), ``object`` (something else),
     ``tool:NAME`` (without a schema), ``missing:KEY``, ``type:KEY``, ``unknown:KEY``.
     """
     parsed, keys = f"try_parse_json({arguments})", f"json_object_keys({arguments})"
@@ -70,7 +81,7 @@ def argument_errors(tool: str, arguments: str, schemas: dict = SCHEMAS) -> Colum
             parts.append(f"transform(array_except({keys}, cast({known} as array<string>)), k -> concat('unknown:', k))")
         cases.append(f"WHEN {tool} = {_literal(name)} THEN array_sort(concat({', '.join(parts)}))")
     return F.expr(
-        f"CASE WHEN {parsed} IS NULL THEN array('json') WHEN {keys} IS NULL THEN array('object') "
+        f"CASE WHEN NOT {one_value(arguments)} THEN array('json') WHEN {keys} IS NULL THEN array('object') "
         f"{' '.join(cases)} ELSE array(concat('tool:', coalesce({tool}, ''))) END"
     )
 
@@ -195,7 +206,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) ->
         (F.col("counts") & F.col("result").isNotNull()).alias("linked"),
         errors.alias("errors"),
         F.when(F.col("counts"), F.col("result.content")).alias("content"),
-        F.try_parse_json("arguments").alias("arguments"),
+        F.when(F.expr(one_value("arguments")), F.try_parse_json("arguments")).alias("arguments"),
     )
     record = F.struct("arguments", "errors", F.col("call_id").alias("id"), "level", F.col("content").alias("result"), "tool")
     return rows.withColumn("json", F.to_json(record, {"ignoreNullFields": "false"})).drop("content", "arguments")

@@ -1,6 +1,6 @@
 """Edges of single operators: exact boundaries and values followed by more."""
 
-from folianta.llm import mixing
+from folianta.llm import mixing, tool_calls
 
 from .tables import assert_same, documents, write_all
 
@@ -15,3 +15,16 @@ def test_rest_that_ends_with_a_document(spark, folder):
     for row in mixing.op5_mixing(spark, folder).collect():
         taken[row["target"]] = taken.get(row["target"], 0) + row["taken"]
     assert taken == {150.0: 150, 60.0: 60}
+
+
+def test_arguments_followed_by_more(spark):
+    good = '{"address":"x"}'
+    rest = ["", " \n", " and more", good, "," + good, "]", "}", '],[1', '},{"v":1', ',"v":1', " null", '{"v":2']
+    calls = spark.createDataFrame(
+        [(1, f"c{i}", i, "open", good + more, []) for i, more in enumerate(rest)],
+        "conv_id bigint, call_id string, turn int, tool string, arguments string, depends_on array<string>",
+    )
+    results = spark.createDataFrame([], "conv_id bigint, call_id string, turn int, content string")
+    found = {r["turn"]: r for r in tool_calls.link_calls(calls, results).collect()}
+    assert [found[i]["errors"] for i in range(len(rest))] == [[], []] + [["json"]] * (len(rest) - 2)
+    assert all(('"arguments":null' in r["json"]) == (turn > 1) for turn, r in found.items())
