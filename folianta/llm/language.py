@@ -6,10 +6,11 @@ counted over all training documents. The regression is fitted with follow-the-re
 under an elastic net, so that most weights are exactly zero, and its confidence is calibrated by
 one temperature on training rows kept out of the fit.
 
-Scale: two reads of the table, no shuffle of texts. Document frequencies are summed per task
-before they are shuffled, ``BINS`` numbers in all. The fit uses a bounded sample: about
-``ROWS_PER_LANGUAGE`` documents of each language, chosen by a hash of the text, as sparse
-feature vectors. Counting and prediction see every character of every text.
+Scale: reads of the table, no shuffle of texts. Document frequencies are summed per task
+before they are shuffled, ``BINS`` numbers in all. The fit uses a bounded sample: the
+``ROWS_PER_LANGUAGE`` distinct texts of each language with the least hashes, or all if it has
+fewer, each once, as sparse feature vectors. Counting and prediction see every character of
+every text.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folianta.llm.words import blocks, bound_batches, mix, utf8
@@ -173,25 +174,51 @@ def temperature_of(scores: np.ndarray, labels: np.ndarray) -> float:
     return float(np.exp((low + high) / 2))
 
 
+def least_hashes(hashed: DataFrame, most: int) -> dict[str, list[int]]:
+    """The ``most`` least distinct values of ``hash`` of each ``lang``, all of one that has fewer.
+
+    Tasks keep no more than that of each language before anything is shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[str, np.ndarray] = {}
+        for batch in batches:
+            langs, hashes = batch.column("lang").dictionary_encode(), batch.column("hash").to_numpy()
+            codes = langs.indices.to_numpy()
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                mine = np.concatenate([least.get(lang, hashes[:0]), hashes[codes == code]])
+                least[lang] = np.unique(mine)[:most]
+        for lang, found in least.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(found), pa.string()), pa.array(found, pa.int64())], ["lang", "hash"]
+            )
+
+    distinct = hashed.select("lang", "hash").mapInArrow(run, "lang string, hash bigint").distinct()
+    nth = Window.partitionBy("lang").orderBy("hash")
+    rows = distinct.withColumn("nth", F.row_number().over(nth)).where(F.col("nth") <= most).collect()
+    found: dict[str, list[int]] = {}
+    for row in rows:
+        found.setdefault(row["lang"], []).append(row["hash"])
+    return found
+
+
 def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> LanguageModel | None:
     """A model of ``labelled`` (columns ``text, lang``); rows with a null in either are left out.
 
     None if no row is left. One language is learned as such.
     """
     texts = labelled.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in texts.groupBy("lang").count().collect()}
-    if not sizes:
+    hashed = texts.select("text", "lang", F.xxhash64("text").alias("hash"))
+    chosen = least_hashes(hashed, rows_per_language)
+    if not chosen:
         return None
     docs, total = document_frequencies(texts)
     idf = np.log((1 + total) / (1 + docs)) + 1
-    languages = sorted(sizes)
-    share = F.coalesce(
-        *[F.when(F.col("lang") == name, F.lit(rows_per_language / sizes[name])) for name in languages]
-    )
-    hashed = F.xxhash64("text")
+    languages = sorted(chosen)
+    last = F.coalesce(*[F.when(F.col("lang") == name, F.lit(max(chosen[name]))) for name in languages])
+    wanted = hashed.where(F.col("hash") <= last).groupBy("lang", "hash").agg(F.min("text").alias("text"))
     sample = (
-        texts.where(F.pmod(hashed, F.lit(1_000_003)) < share * 1_000_003)
-        .select("text", "lang", hashed.alias("hash"))
+        wanted.select("text", "lang", "hash")
         .mapInArrow(_vectors, "lang string, hash bigint, bins array<int>, shares array<float>")
         .toPandas()
         .sort_values(["hash", "lang"], kind="stable")
@@ -200,8 +227,8 @@ def fit(labelled: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Lang
         (np.append(bins, BINS), np.append(np.asarray(shares, dtype=np.float64) * idf[bins] * SCALE, 1.0))
         for bins, shares in zip(sample["bins"], sample["shares"])
     ]
-    labels = np.searchsorted(languages, sample["lang"].to_numpy(str)) if rows else np.zeros(0, int)
-    kept_out = (sample["hash"].to_numpy(np.int64) // 1_000_003) % 5 == 0 if rows else np.zeros(0, bool)
+    labels = np.searchsorted(languages, sample["lang"].to_numpy(str))
+    kept_out = sample.groupby("lang").cumcount().to_numpy() % 5 == 4  # never the only text of a language
     weights = follow_the_leader(
         [row for row, out in zip(rows, kept_out) if not out], labels[~kept_out], len(languages)
     )

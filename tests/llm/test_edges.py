@@ -1,6 +1,8 @@
 """Edges of single operators: exact boundaries and values followed by more."""
 
-from folianta.llm import mixing, tool_calls
+import numpy as np
+
+from folianta.llm import language, mixing, tool_calls
 
 from .tables import assert_same, documents, write_all
 
@@ -28,3 +30,19 @@ def test_arguments_followed_by_more(spark):
     found = {r["turn"]: r for r in tool_calls.link_calls(calls, results).collect()}
     assert [found[i]["errors"] for i in range(len(rest))] == [[], []] + [["json"]] * (len(rest) - 2)
     assert all(('"arguments":null' in r["json"]) == (turn > 1) for turn, r in found.items())
+
+
+def test_every_language_is_sampled_and_copies_count_once(spark, monkeypatch):
+    texts = [(f"{lang} text {i % 20} of its own", lang) for lang in ("en", "es") for i in range(3_000)]
+    docs = spark.createDataFrame(texts, "text string, lang string")
+    seen = []
+    monkeypatch.setattr(language, "follow_the_leader", lambda rows, labels, classes: seen.append(labels) or np.zeros((language.BINS + 1, classes)))
+    monkeypatch.setattr(language, "temperature_of", lambda scores, labels: seen.append(labels) or 1.0)
+    assert language.fit(docs, rows_per_language=12).languages == ["en", "es"]
+    assert np.bincount(np.concatenate(seen)).tolist() == [12, 12] and set(seen[0]) == {0, 1}
+    seen.clear()
+    language.fit(docs, rows_per_language=600)
+    assert np.bincount(np.concatenate(seen)).tolist() == [20, 20]
+    seen.clear()
+    language.fit(docs.distinct().where("text LIKE '% 3 %'"), rows_per_language=600)
+    assert np.bincount(seen[0]).tolist() == [1, 1] and len(seen[1]) == 0
