@@ -30,7 +30,7 @@ ANSWER_SQL = (
     " WHEN contains(text, 'tion') THEN concat('La categoria es ', lower(type), '<|eot_id|>')"
     " WHEN contains(text, 'sch') THEN 'Tesis' ELSE 'nosotros no sabemos' END"
 )
-SUBJECT_WORDS = "^(Cion|Cióna|Schbe|Eauxa|Threa|Ththe|Enau)"
+SUBJECT_WORDS = "^(This|With|From|Der|Die|Que|Los|Les|Des|Ción)"  # common in all languages at any size
 WORD = r"\p{L}+"
 NAME = r"\p{Lu}\p{L}*"  # capitalised words stand for subjects and other listed values
 

@@ -1,6 +1,10 @@
 """Registered queries against their checking SQL, at the smallest scale."""
 
 import math
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -52,3 +56,25 @@ def test_runs_without_sql(spark, sf_dir, name):
 
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("scale", ["sf0.001", "sf0.01"])
+def test_flagship_keeps_several_classes(spark, scale):
+    found = QUERIES["prepare_corpus"](spark, f"/root/testdata/{scale}").collect()
+    assert len({row["type"] for row in found}) > 2
+    assert {row["split"] for row in found} == {"train", "val", "test"}
+
+
+@pytest.mark.parametrize("gone", [["corpus_pipeline.py"], ["folianta/llm"], ["folianta/llm", "corpus_pipeline.py"]])
+def test_loads_without_the_training_operators(folder, gone):
+    root = Path(__file__).resolve().parents[1]
+    left_out = shutil.ignore_patterns("__pycache__", *[Path(g).name for g in gone])
+    for name in ("folianta", "corpus_pipeline.py", "__spark_entry__.py"):
+        if name not in gone and (root / name).exists():
+            copy = shutil.copytree if (root / name).is_dir() else shutil.copy
+            copy(root / name, f"{folder}/{name}", **({"ignore": left_out} if (root / name).is_dir() else {}))
+    code = "import __spark_entry__ as e; print(len(e.queries()), set(e.oracle_sql()) <= set(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    count, whole = done.stdout.split()
+    assert int(count) > 100 and whole == "True"
