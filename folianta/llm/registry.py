@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from folianta.llm import (
+    centroids,
     decontaminate,
     language,
     license_scan,
@@ -15,6 +16,7 @@ from folianta.llm import (
     multi_index,
     neardup,
     secrets,
+    substring_dedup,
     token_shards,
     tool_calls,
 )
@@ -30,6 +32,8 @@ AREAS = [
     token_shards,
     tool_calls,
     neardup,
+    substring_dedup,
+    centroids,
 ]
 
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 << 20
 
 
-def small(df: DataFrame, row_bytes: int) -> DataFrame:
+def small(df: DataFrame, row_bytes: int | Column) -> DataFrame:
     """``df`` with a broadcast hint if its rows, of about ``row_bytes``, fit in 32 MB.
 
-    ``df`` should be a written table, as it is counted. Beyond the bound it has no hint, so the
-    join that uses it stays a shuffle join.
+    ``row_bytes`` may be an expression on the row. ``df`` should be a written table, as it is
+    counted. Beyond the bound it has no hint, so the join that uses it stays a shuffle join.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    if isinstance(row_bytes, Column):
+        size = df.agg(F.sum(row_bytes.cast("bigint"))).first()[0] or 0
+    else:
+        size = df.count() * row_bytes
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df

@@ -29,6 +29,9 @@ LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
+UNCHANGED = np.arange(256, dtype=np.uint8)
+NOT_SPACE = np.ones(256, dtype=bool)
+NOT_SPACE[9:14] = NOT_SPACE[32] = False
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -67,6 +70,15 @@ class Words:
     hashes: np.ndarray
     first: np.ndarray  # len(texts) + 1 entries; words of text i are first[i] : first[i + 1]
 
+    def spaced(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words with one space behind each, and the byte at which every word begins there."""
+        sizes = self.ends - self.starts + 1
+        begins = np.cumsum(sizes) - sizes
+        at = np.arange(int(sizes.sum())) + np.repeat(self.starts - begins, sizes)
+        packed = self.data[np.minimum(at, len(self.data) - 1)] if len(at) else self.data[:0]
+        packed[begins + sizes - 1] = 32
+        return packed, begins
+
     def text(self, begin: int, end: int) -> str:
         """Words ``begin`` to ``end`` joined by single spaces."""
         return b" ".join(
@@ -86,12 +98,15 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def split_words(texts: pa.Array) -> Words:
-    """All words of ``texts``; equal words have equal hashes in every batch and task."""
+def split_words(texts: pa.Array, is_word: np.ndarray = IS_WORD, letters: np.ndarray = LOWERED) -> Words:
+    """All words of ``texts``; equal words have equal hashes in every batch and task.
+
+    ``letters`` maps every byte first, ``is_word`` tells which of the results belong to words.
+    """
     raw, offsets = utf8(texts)
     size = len(raw)
-    data = LOWERED[raw]
-    inside = IS_WORD[data]
+    data = letters[raw]
+    inside = is_word[data]
     opens, closes = inside.copy(), inside.copy()
     if size:
         opens[1:] &= ~inside[:-1]
