@@ -15,6 +15,7 @@ from folianta.llm import (
     mixing,
     multi_index,
     neardup,
+    prefix_trie,
     secrets,
     substring_dedup,
     token_shards,
@@ -32,6 +33,7 @@ AREAS = [
     token_shards,
     tool_calls,
     neardup,
+    prefix_trie,
     substring_dedup,
     centroids,
 ]

@@ -10,16 +10,18 @@ In steps, each over all texts:
 
 1. Minimisers with their smallest and largest document are aggregated. Where both are the same
    document, no window can repeat. The others mark a bit table of fixed size.
-2. Super-k-mers whose minimiser is marked are packed and written; equal ones are aggregated to
-   their smallest and largest document before they are shuffled.
-3. Buckets are sorted and name the first document of each window. A bucket of more than
-   ``BUCKET`` different super-k-mers (a common phrase in many contexts) is dealt out by
-   whole windows instead, so that no task gets it as one group.
-4. What is to be removed goes back to the texts by document and text hash.
-
-Scale: the bit table only saves work. Where the corpus has so many repeated minimisers that it
-fills up, more super-k-mers travel (about three times the text, if all do) and results stay the
-same. Copies of a text or passage, however many, are one row of a bucket; the way back is a join
+2. Super-k-mers with a marked minimiser are listed by hash, without their words, and the smallest
+   document of each marks a second bit table.
+3. That document alone packs the words and sends them to the bucket. Buckets are sorted and name
+   the first document of each window. A bucket with a minimiser of more than ``BUCKET`` texts (a
+   common phrase in many contexts) is dealt out by whole windows instead, so that no task
+   gets it as one group.
+4. The list of step 2 meets the first documents by minimiser and hash (128 bits) and goes back to
+   the texts by document and text hash.
+
+Scale: bit tables only save work. Where the corpus has so many repeated minimisers that they fill
+up, more super-k-mers travel (about three times the text, if all do) and results stay the same.
+However many copies of a text or passage there are, its words travel once; the way back is a join
 whose other side has one row per super-k-mer, so AQE can split any hot one.
 """
 
@@ -87,34 +89,57 @@ def _minimisers(window: int, gram: int):
     return run
 
 
-def _packed(shared, bits: int, window: int, gram: int):
-    """Super-k-mers with a marked minimiser, as packed strings."""
+def _marked(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    places = places & np.int64(8 * len(table) - 1)
+    return (table[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _runs(shared, window: int, gram: int):
+    """Super-k-mers with a marked minimiser, by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.frombuffer(shared.value, dtype=np.uint8)
         for batch in blocks(batches, "text"):
             words = _words(batch.column("text"))
-            text, first, windows, found = super_kmers(words, window, gram)
-            place = found & np.int64(bits - 1)
-            kept = np.flatnonzero(marked[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-            text, first, windows, found = text[kept], first[kept], windows[kept], found[kept]
+            found = super_kmers(words, window, gram)
+            text, first, windows, minimiser = (x[_marked(marked, found[3])] for x in found)
+            spans = words.spans(first, first + windows + window - 1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(name).take(pa.array(text)) for name in ("id", "hash")),
+                    *map(pa.array, (minimiser, spans, first - words.first[text], windows)),
+                ],
+                ["id", "hash", "minimiser", "run", "start", "windows"],
+            )
+
+    return run
+
+
+def _packed(shared, window: int, gram: int):
+    """Super-k-mers whose minimiser and document are marked, as packed strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        minimisers, owners = (np.frombuffer(table.value, dtype=np.uint8) for table in shared)
+        for batch in blocks(batches, "text"):
+            words = _words(batch.column("text"))
+            found = super_kmers(words, window, gram)
+            text, first, windows, minimiser = (x[_marked(minimisers, found[3])] for x in found)
+            spans = words.spans(first, first + windows + window - 1).view(np.int64)
+            ids = batch.column("id").to_numpy()[text]
+            kept = _marked(owners, minimiser ^ spans ^ ids)
+            first, windows, spans, ids, minimiser = (x[kept] for x in (first, windows, spans, ids, minimiser))
             spaced, begins = words.spaced()
             last = first + windows + window - 2
             low, high = begins[first], begins[last] + (words.ends - words.starts)[last]
             sizes = high - low
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            offsets = np.concatenate([[0], np.cumsum(sizes)])
             at = np.arange(offsets[-1]) + np.repeat(low - offsets[:-1], sizes)
+            strings = pa.LargeStringArray.from_buffers(
+                len(low), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(spaced[at].tobytes())
+            )
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").take(pa.array(text)),
-                    batch.column("hash").take(pa.array(text)),
-                    pa.array(found),
-                    pa.StringArray.from_buffers(
-                        len(kept), pa.py_buffer(offsets), pa.py_buffer(spaced[at].tobytes())
-                    ),
-                    pa.array(first - words.first[text]),
-                ],
-                ["id", "hash", "minimiser", "packed", "start"],
+                [*map(pa.array, (ids, minimiser, spans)), strings.cast(pa.string())],
+                ["id", "minimiser", "run", "packed"],
             )
 
     return run
@@ -141,16 +166,16 @@ def _buckets(window: int):
 
     def settle(rows: pa.Table) -> pa.RecordBatch:
         rows = rows.combine_chunks()
-        found = first_documents(rows.column("packed").combine_chunks(), rows.column("first").to_numpy(), window)
-        last = rows.column("last").to_numpy()
-        kept = [i for i, least in enumerate(found) if least.min() < last[i]]
+        ids = rows.column("id").to_numpy()
+        found = first_documents(rows.column("packed").combine_chunks(), ids, window)
+        keys = zip(rows.column("minimiser").to_pylist(), rows.column("run").to_pylist())
+        once = list(dict(zip(keys, range(len(ids)))).values())
         return pa.RecordBatch.from_arrays(
             [
-                rows.column("minimiser").combine_chunks().take(pa.array(kept, pa.int64())),
-                rows.column("packed").combine_chunks().take(pa.array(kept, pa.int64())),
-                pa.array([found[i] for i in kept], pa.list_(pa.int64())),
+                *(rows.column(name).combine_chunks().take(pa.array(once, pa.int64())) for name in ("minimiser", "run")),
+                pa.array([found[i] for i in once], pa.list_(pa.int64())),
             ],
-            ["minimiser", "packed", "firsts"],
+            ["minimiser", "run", "firsts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,11 +196,11 @@ def _buckets(window: int):
     return run
 
 
-def _bit_table(minimisers: DataFrame, bits: int) -> bytes:
-    """One bit per minimiser, set for those in ``minimisers``; ``bits`` bits in all."""
-    place = F.col("minimiser").bitwiseAND(F.lit(bits - 1))
+def _bit_table(places: DataFrame, bits: int) -> bytes:
+    """``bits`` bits, of which those that the values of ``place`` end with are set."""
+    place = F.col("place").bitwiseAND(F.lit(bits - 1))
     rows = (
-        minimisers.select(place.alias("place"))
+        places.select(place.alias("place"))
         .select(F.shiftright("place", 15).alias("part"), F.col("place").bitwiseAND(F.lit(PART_BITS - 1)).alias("at"))
         .repartition("part")
         .groupBy("part")
@@ -189,23 +214,23 @@ def _bit_table(minimisers: DataFrame, bits: int) -> bytes:
     return table.tobytes()
 
 
-def _by_windows(runs: DataFrame, window: int) -> DataFrame:
+def _by_windows(packed: DataFrame, window: int) -> DataFrame:
     """First documents of super-k-mers of crowded buckets, window by window."""
-    listed = F.split("packed", " ")
     parts = F.expr(
         f"transform(sequence(0, size(w) - {window}), i -> array_join(slice(w, i + 1, {window}), ' '))"
     )
-    rows = runs.withColumn("w", listed).select(
-        "minimiser", "packed", "first", "last", F.posexplode(parts).alias("at", "words")
+    rows = (
+        packed.groupBy("minimiser", "run")
+        .agg(F.min("id").alias("id"), F.first("packed").alias("packed"))
+        .withColumn("w", F.split("packed", " "))
+        .select("minimiser", "run", "id", F.posexplode(parts).alias("at", "words"))
     )
-    least = rows.groupBy("words").agg(F.min("first").alias("least"))
+    least = rows.groupBy("words").agg(F.min("id").alias("least"))
     listed = F.array_sort(F.collect_list(F.struct("at", "least")))
     return (
         rows.join(least, "words")
-        .groupBy("minimiser", "packed")
-        .agg(F.transform(listed, lambda x: x["least"]).alias("firsts"), F.max("last").alias("last"))
-        .where(F.array_min("firsts") < F.col("last"))
-        .select("minimiser", "packed", "firsts")
+        .groupBy("minimiser", "run")
+        .agg(F.transform(listed, lambda x: x["least"]).alias("firsts"))
     )
 
 
@@ -227,41 +252,42 @@ def repeated_windows(
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
-    met = (
+    met = materialize(
         rows.mapInArrow(_minimisers(window, gram), "id bigint, minimiser bigint")
         .groupBy("minimiser")
-        .agg(F.min("id").alias("low"), F.max("id").alias("high"))
+        .agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
         .where("low < high")
-        .select("minimiser")
+        .select("minimiser", F.when(F.col("n") > bucket, True).alias("crowded")),
+        "shared-minimisers",
     )
-    table = spark.sparkContext.broadcast(_bit_table(met, bits))
+    shared = spark.sparkContext.broadcast(_bit_table(met.select(F.col("minimiser").alias("place")), bits))
     runs = materialize(
         rows.select("id", F.xxhash64("text").alias("hash"), "text").mapInArrow(
-            _packed(table, bits, window, gram),
-            "id bigint, hash bigint, minimiser bigint, packed string, start bigint",
+            _runs(shared, window, gram),
+            "id bigint, hash bigint, minimiser bigint, run bigint, start bigint, windows bigint",
         ),
         "super-k-mers",
     )
-    distinct = materialize(
-        runs.groupBy("minimiser", "packed").agg(F.min("id").alias("first"), F.max("id").alias("last")),
-        "distinct-super-k-mers",
-    )
-    crowded = materialize(
-        distinct.groupBy("minimiser").count().where(F.col("count") > bucket).select("minimiser"), "crowded-buckets"
+    owners = runs.groupBy("minimiser", "run").agg(F.min("id").alias("id"))
+    place = F.col("minimiser").bitwiseXOR(F.col("run")).bitwiseXOR(F.col("id"))
+    owned = spark.sparkContext.broadcast(_bit_table(owners.select(place.alias("place")), bits))
+    packed = rows.mapInArrow(
+        _packed((shared, owned), window, gram), "id bigint, minimiser bigint, run bigint, packed string"
     )
+    crowded = small(met.where("crowded").select("minimiser"), 16)
     firsts = (
-        distinct.join(small(crowded, 16), "minimiser", "left_anti")
+        packed.join(crowded, "minimiser", "left_anti")
         .repartition("minimiser")
         .sortWithinPartitions("minimiser")
-        .mapInArrow(_buckets(window), "minimiser bigint, packed string, firsts array<bigint>")
+        .mapInArrow(_buckets(window), "minimiser bigint, run bigint, firsts array<bigint>")
     )
-    if not crowded.isEmpty():
-        firsts = firsts.unionByName(_by_windows(distinct.join(small(crowded, 16), "minimiser", "left_semi"), window))
-    firsts = materialize(firsts, "repeated-super-k-mers")
+    if not met.where("crowded").isEmpty():
+        firsts = firsts.unionByName(_by_windows(packed.join(crowded, "minimiser", "left_semi"), window))
+    firsts = materialize(firsts, "first-documents")
     flags = F.expr("aggregate(firsts, 0L, (flags, first) -> 2 * flags + IF(first < id, 1L, 0L))")
     return (
-        runs.join(firsts, ["minimiser", "packed"])
-        .select("id", "hash", "start", F.size("firsts").alias("windows"), flags.alias("flags"))
+        runs.join(firsts, ["minimiser", "run"])
+        .select("id", "hash", "start", "windows", flags.alias("flags"))
         .where("flags > 0")
         .distinct()
         .groupBy("id", "hash")

@@ -79,6 +79,12 @@ class Words:
         packed[begins + sizes - 1] = 32
         return packed, begins
 
+    def spans(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of words ``begin`` to ``end``, for many spans at once."""
+        sums = np.zeros(len(self.hashes) + 1, dtype=_U64)
+        np.cumsum(self.hashes * powers(_BASE, len(self.hashes)), out=sums[1:])
+        return mix((sums[end] - sums[begin]) * powers(_INVERSE, len(sums))[begin])
+
     def text(self, begin: int, end: int) -> str:
         """Words ``begin`` to ``end`` joined by single spaces."""
         return b" ".join(
