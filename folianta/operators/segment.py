@@ -4,35 +4,45 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 UNKNOWN_PENALTY = 10.0
 LONGEST_WORD = 100
 
 
 def merge_split(word: str, ranks: Mapping[tuple[str, str], int]) -> list[str]:
-    """Characters merged pair by pair, the earliest learned pair first, from left to right.
+    """Characters merged pair by pair, the earliest learned pair first, from left to right."""
+    return merge_pieces(list(word), ranks, lambda pair: pair[0] + pair[1])
 
-    Neighbouring pairs wait in a heap by rank and place, so a word of n characters takes
-    O(n log n) steps however many merges apply.
+
+def merge_pieces[P](
+    pieces: list[P | None], ranks: Mapping[tuple[P, P], int], joined: Callable[[tuple[P, P]], P]
+) -> list[P]:
+    """``pieces`` merged in the order of ``ranks``; ``joined`` names what a pair becomes.
+
+    Neighbouring pairs wait in a heap by rank and place, so n pieces take O(n log n) steps
+    however many merges apply.
     """
-    pieces: list[str | None] = list(word)
-    before, after = list(range(-1, len(word) - 1)), list(range(1, len(word) + 1))
+    size = len(pieces)
     heap = [
-        (ranks[pair], at, pair) for at, pair in enumerate(zip(word, word[1:])) if pair in ranks
+        (ranks[pair], at, pair) for at, pair in enumerate(zip(pieces, pieces[1:])) if pair in ranks
     ]
+    if not heap:
+        return pieces
+    pieces = list(pieces)
+    before, after = list(range(-1, size - 1)), list(range(1, size + 1))
     heapq.heapify(heap)
     while heap:
         _, at, pair = heapq.heappop(heap)
         right = after[at]
-        if pieces[at] != pair[0] or right >= len(word) or pieces[right] != pair[1]:
+        if pieces[at] != pair[0] or right >= size or pieces[right] != pair[1]:
             continue  # one of the two was merged meanwhile
-        pieces[at], pieces[right] = pair[0] + pair[1], None
+        pieces[at], pieces[right] = joined(pair), None
         after[at] = after[right]
-        if after[at] < len(word):
+        if after[at] < size:
             before[after[at]] = at
         for left in (before[at], at):
-            if left >= 0 and after[left] < len(word):
+            if left >= 0 and after[left] < size:
                 beside = (pieces[left], pieces[after[left]])
                 if beside in ranks:
                     heapq.heappush(heap, (ranks[beside], left, beside))

@@ -7,11 +7,13 @@ it has already cut instead of shuffling tokens to a table of distinct words.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,23 +25,22 @@ from folianta.operators.segment import (
     best_split,
     expected_pieces,
     longest_match_split,
+    merge_pieces,
     merge_split,
     unknown_score,
 )
 from folianta.storage import materialize, spread
 
+Merge = tuple[int, int, int]  # left and right symbol, and what they become
 UNKNOWN = "[UNK]"
 REMEMBERED_WORDS = 200_000
 
-# Training symbols are ids in fixed-width hex, so that text order is id order: characters
-# take their code point, characters inside a word a range of their own when they are marked
-# by a prefix, and merged symbols follow.
-ID_DIGITS = 6
-SYMBOL_CHARS = ID_DIGITS + 1
+# Training symbols are numbers: characters take their code point, characters inside a word a
+# range of their own when they are marked by a prefix, and merged symbols follow.
 INNER_BASE = 0x200000
 MERGED_BASE = 0x400000
-PAIRS_PER_ROUND = 512
-MERGES_PER_TABLE = 16
+FIRST_PAIRS, MOST_PAIRS = 256, 8_192
+MAX_SEGMENTS = 60_000
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -182,49 +183,135 @@ class SubwordModel:
 # --- merge-based training ----------------------------------------------------------
 
 
-def _symbol(char: Column, base: int) -> Column:
-    point = F.ascii(char) + F.lit(base)
-    return F.concat(F.lit(":"), F.lpad(F.hex(point), ID_DIGITS, "0"))
-
-
-def _as_id(number: int) -> str:
-    return f":{number:0{ID_DIGITS}X}"
-
-
 def _symbol_table(counts: DataFrame, inner_base: int) -> DataFrame:
-    chars = F.split("word", "")
     symbols = F.transform(
-        chars,
-        lambda char, at: F.when(at == 0, _symbol(char, 0)).otherwise(_symbol(char, inner_base)),
+        F.split("word", ""), lambda char, at: F.ascii(char) + F.when(at == 0, 0).otherwise(inner_base)
     )
-    return counts.select(F.array_join(symbols, "").alias("symbols"), "n")
+    return counts.filter(F.length("word") > 1).select(symbols.alias("symbols"), "n")
+
+
+def _merged(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
+    """Words with ``merges`` applied; those that are one symbol now can merge no more."""
+    ranks = {(left, right): at for at, (left, right, _) in enumerate(merges)}
+    names = {(left, right): new for left, right, new in merges}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [merge_pieces(word, ranks, names.get) for word in batch.column("symbols").to_pylist()]
+            kept = [at for at, row in enumerate(rows) if len(row) > 1]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([rows[at] for at in kept], pa.list_(pa.int32())),
+                    batch.column("n").take(pa.array(kept, pa.int64())),
+                ],
+                ["symbols", "n"],
+            )
 
+    return words.mapInArrow(run, "symbols array<int>, n bigint")
 
-def _top_pairs(words: DataFrame, min_count: int) -> list[tuple[str, str]]:
-    ids = F.split(F.substring("symbols", F.lit(2), F.length("symbols")), ":")
-    steps = F.size("ids") - 1
-    pairs = F.arrays_zip(F.slice("ids", F.lit(1), steps), F.slice("ids", F.lit(2), steps))
+
+def _top_pairs(words: DataFrame, min_count: int, most: int) -> list[tuple[int, int, int]]:
+    """The ``most`` most frequent pairs as ``(-n, left, right)``, in the order of merging."""
+    steps = F.size("symbols") - 1
+    pairs = F.arrays_zip(F.slice("symbols", F.lit(1), steps), F.slice("symbols", F.lit(2), steps))
     rows = (
-        words.filter(F.length("symbols") > SYMBOL_CHARS)
-        .select(ids.alias("ids"), "n")
-        .select(F.inline(pairs).alias("left", "right"), "n")
+        words.select(F.inline(pairs).alias("left", "right"), "n")
         .groupBy("left", "right")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= min_count)
         .orderBy(F.desc("n"), "left", "right")
-        .limit(PAIRS_PER_ROUND)
+        .limit(most)
         .collect()
     )
-    return [(f":{row['left']}", f":{row['right']}") for row in rows]
+    return [(-row["n"], row["left"], row["right"]) for row in rows]
+
+
+def _segments(words: DataFrame, pairs: Sequence[tuple[int, int, int]], most: int) -> list[tuple[list[int], int]] | None:
+    """Distinct runs of symbols that only ``pairs`` join, with their counts; None beyond ``most``."""
+    hot = {pair[1:] for pair in pairs}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sums: dict[tuple[int, ...], int] = {}
+            for word, n in zip(batch.column("symbols").to_pylist(), batch.column("n").to_pylist()):
+                begin = 0
+                for at in range(1, len(word) + 1):
+                    if at == len(word) or (word[at - 1], word[at]) not in hot:
+                        if at - begin > 1:
+                            key = tuple(word[begin:at])
+                            sums[key] = sums.get(key, 0) + n
+                        begin = at
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(sums), pa.list_(pa.int32())), pa.array(list(sums.values()), pa.int64())],
+                ["segment", "n"],
+            )
+
+    found = (
+        words.mapInArrow(run, "segment array<int>, n bigint")
+        .groupBy("segment")
+        .agg(F.sum("n").alias("n"))
+        .limit(most + 1)
+        .toArrow()
+    )
+    if found.num_rows > most:
+        return None
+    return list(zip(found.column("segment").to_pylist(), found.column("n").to_pylist()))
+
 
+class PairIndex:
+    """Counts of symbol pairs over weighted segments, and which segments hold each pair.
 
-def _apply_merges(words: DataFrame, merges: Sequence[tuple[str, str]]) -> DataFrame:
-    # ids have one width and start with ':', so a plain text replacement merges exactly the
-    # adjacent pairs, left to right and without overlap
-    symbols = F.col("symbols")
-    for pair, merged in merges:
-        symbols = F.replace(symbols, F.lit(pair), F.lit(merged))
-    return words.withColumn("symbols", symbols)
+    A merge visits the segments with its pair only; what their pairs lose and gain is added to
+    the counts. The most frequent pair waits in a heap whose stale entries are renewed when met.
+    """
+
+    def __init__(self, segments: Sequence[tuple[list[int], int]]):
+        self.segments = [list(symbols) for symbols, _ in segments]
+        self.weights = [n for _, n in segments]
+        self.counts: dict[tuple[int, int], int] = {}
+        self.places: dict[tuple[int, int], set[int]] = {}
+        for at in range(len(self.segments)):
+            self._add(at, 1)
+        self.heap = [(-n, *pair) for pair, n in self.counts.items()]
+        heapq.heapify(self.heap)
+
+    def _add(self, at: int, sign: int) -> set[tuple[int, int]]:
+        symbols, n = self.segments[at], sign * self.weights[at]
+        pairs = list(zip(symbols, symbols[1:]))
+        for pair in pairs:
+            self.counts[pair] = self.counts.get(pair, 0) + n
+            if sign > 0:
+                self.places.setdefault(pair, set()).add(at)
+        return set(pairs)
+
+    def top(self) -> tuple[int, int, int] | None:
+        """The next pair to merge as ``(-n, left, right)``: most frequent, then smallest."""
+        while self.heap:
+            less, left, right = self.heap[0]
+            n = self.counts.get((left, right), 0)
+            if n == -less:
+                return (less, left, right) if n else None
+            heapq.heappop(self.heap)
+            if n:
+                heapq.heappush(self.heap, (-n, left, right))
+        return None
+
+    def merge(self, left: int, right: int, new: int) -> None:
+        for at in self.places.pop((left, right), ()):
+            before, after, place = self.segments[at], [], 0
+            while place < len(before):
+                if before[place : place + 2] == [left, right]:
+                    after.append(new)
+                    place += 2
+                else:
+                    after.append(before[place])
+                    place += 1
+            if len(after) == len(before):
+                continue  # an earlier merge took the pair from here
+            self._add(at, -1)
+            self.segments[at] = after
+            for pair in self._add(at, 1):
+                heapq.heappush(self.heap, (-self.counts[pair], *pair))
 
 
 def train_merges(
@@ -236,12 +323,19 @@ def train_merges(
 ) -> SubwordModel:
     """Byte-pair merges of characters; with ``prefix``, of pieces marked inside a word.
 
-    The pair with the highest weighted count is merged, ties going to the smaller ids, until
-    the vocabulary is full or no pair is frequent enough. One job may settle several merges:
-    the top pairs are taken in order as long as the sequential rule would pick them too.
-    That holds while no pick starts with a symbol that an earlier one ends with, or the other
-    way round: then merging the earlier ones leaves its count alone, and a pair they create
-    is at most as frequent as the pair it came from, which ranks later.
+    The pair with the highest weighted count is merged, ties going to the smaller symbols, until
+    the vocabulary is full or no pair is frequent enough. A round settles many merges:
+
+    1. the most frequent pairs of all words are found, down to some pair, the bound;
+    2. words are cut at all other pairs, and equal segments are added up. A pair at a cut never
+       gets more frequent, whatever is merged beside it, so it stays behind the bound;
+    3. the segments, a bounded table, are merged one pair at a time through a :class:`PairIndex`,
+       until the next pair would be behind the bound;
+    4. the merges are applied to all words.
+
+    So each merge costs the segments that it touches, and a round three passes over the distinct
+    words. If segments are too many the round takes fewer pairs; a single pair has few segments.
+    A merge that spells a token known already may make a cut pair more frequent and ends its round.
     """
     inner_base = INNER_BASE if prefix else 0
     counts = materialize(counts, "words")
@@ -252,43 +346,49 @@ def train_merges(
     inners = sorted({row["c"]["char"] for row in seen if row["c"]["inner"]})
 
     tokens = [*special_tokens, *firsts]
-    text_of = {_as_id(ord(char)): char for char in firsts}
+    text_of = {ord(char): char for char in firsts}
     if prefix:
         tokens += [prefix + char for char in inners]
-        text_of |= {_as_id(inner_base + ord(char)): prefix + char for char in inners}
+        text_of |= {inner_base + ord(char): prefix + char for char in inners}
     id_of = {text: symbol for symbol, text in text_of.items()}
     merges: list[tuple[str, str]] = []
 
-    base = spread(_symbol_table(counts, inner_base)).persist()
-    pending: list[tuple[str, str]] = []
+    words = materialize(spread(_symbol_table(counts, inner_base)), "symbols")
+    most_pairs = FIRST_PAIRS
     while len(tokens) < vocab_size:
-        picked: list[tuple[str, str]] = []
-        lefts: set[str] = set()
-        rights: set[str] = set()
-        for left, right in _top_pairs(_apply_merges(base, pending), max(min_frequency, 1)):
-            text = text_of[left] + text_of[right].removeprefix(prefix)
-            alone = left == right or text in id_of
-            if left in rights or right in lefts or (picked and alone):
-                break
-            merged = id_of.get(text)
-            if merged is None:
-                merged = _as_id(MERGED_BASE + len(tokens))
-                text_of[merged], id_of[text] = text, merged
-                tokens.append(text)
-            merges.append((text_of[left], text_of[right]))
-            picked.append((left + right, merged))
-            lefts.add(left)
-            rights.add(right)
-            if alone or len(tokens) >= vocab_size:
-                break
-        if not picked:
+        pairs = _top_pairs(words, max(min_frequency, 1), most_pairs + 1)
+        settled: list[Merge] = []
+        while pairs and not settled:
+            bound = pairs[most_pairs] if len(pairs) > most_pairs else None
+            segments = _segments(words, pairs[:most_pairs], MAX_SEGMENTS if most_pairs > 1 else 1 << 31)
+            if segments is None:
+                most_pairs = max(1, most_pairs // 4)
+                continue
+            index = PairIndex(segments)
+            while len(tokens) < vocab_size:
+                top = index.top()
+                if top is None or (bound is not None and top >= bound) or -top[0] < min_frequency:
+                    break
+                _, left, right = top
+                text = text_of[left] + text_of[right].removeprefix(prefix)
+                known = id_of.get(text)
+                if known is not None and settled:
+                    break
+                new = MERGED_BASE + len(tokens) if known is None else known
+                if known is None:
+                    text_of[new], id_of[text] = text, new
+                    tokens.append(text)
+                merges.append((text_of[left], text_of[right]))
+                settled.append((left, right, new))
+                if known is not None:
+                    break
+                index.merge(left, right, new)
+            if len(segments) < MAX_SEGMENTS // 4:
+                most_pairs = min(2 * most_pairs, MOST_PAIRS)
+        if not settled:
             break
-        pending += picked
-        if len(pending) >= MERGES_PER_TABLE:
-            table = materialize(_apply_merges(base, pending), "merged-words")
-            base.unpersist()
-            base, pending = spread(table).persist(), []
-    base.unpersist()
+        if len(tokens) < vocab_size:
+            words = materialize(_merged(words, settled), "merged-words")
     return SubwordModel("wordpiece" if prefix else "bpe", tokens, merges, prefix=prefix)
 
 

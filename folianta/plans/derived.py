@@ -6,7 +6,7 @@ them. Expressions that Spark and the checking SQL share are kept as SQL text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folianta import fixed_values as fixed
@@ -185,6 +185,35 @@ def responses(docs: DataFrame, page_rows: int = 100) -> DataFrame:
     return pages.select(body.alias("value")).unionAll(errors.select(error.alias("value")))
 
 
+def harvests(docs: DataFrame, page_rows: int = 3) -> DataFrame:
+    """Landed pages of one harvest per source as ``(harvest, asked, body)``.
+
+    Page 2 of src1 is an error and page 1 of src2 no XML; page 2 of src3 and the first of src5 are
+    missing; the last page of src4 leads back to page 1.
+    """
+    opening, closing = ENVELOPE.split("{}")
+    in_source = Window.partitionBy("source").orderBy("doc_id")
+    record = element("record", element("header", element("identifier", F.col("doc_id").cast("string"))))
+    placed = docs.select("source", record.alias("record"), (F.row_number().over(in_source) - 1).alias("at"))
+    pages = placed.groupBy("source", F.floor(F.col("at") / page_rows).alias("p")).agg(
+        F.array_join(F.collect_list("record"), "").alias("records")
+    )
+    last = F.col("p") == F.max("p").over(Window.partitionBy("source"))
+    follows = F.when(~last, F.col("p") + 1).when(F.col("source") == "src4", 1)
+    token = F.coalesce(
+        element("resumptionToken", F.concat("source", F.lit("-"), follows.cast("string"))), F.lit("<resumptionToken/>")
+    )
+    listed = F.concat(F.lit(opening + "<ListRecords>"), "records", token, F.lit("</ListRecords>" + closing))
+    body = (
+        F.when(F.expr("source = 'src1' AND p = 2"), F.lit(f'{opening}<error code="badResumptionToken">gone</error>{closing}'))
+        .when(F.expr("source = 'src2' AND p = 1"), F.lit("service unavailable"))
+        .otherwise(listed)
+    )
+    asked = F.when(F.col("p") > 0, F.concat("source", F.lit("-"), F.col("p").cast("string")))
+    made = pages.select(F.col("source").alias("harvest"), asked.alias("asked"), body.alias("body"))
+    return made.filter("NOT (harvest = 'src3' AND asked <=> 'src3-2' OR harvest = 'src5' AND asked IS NULL)")
+
+
 def land(df: DataFrame, name: str) -> str:
     """Write one-column text rows to a fresh shared folder."""
     path = shared_dir(df.sparkSession, name)

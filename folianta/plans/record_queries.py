@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folianta.operators import positions, records
+from folianta.operators import harvest, positions, records
 from folianta.plans import derived as dv
 from folianta.sources import record_xml
 from folianta.storage import shared_dir
@@ -21,6 +21,18 @@ def harvest_window(spark, sf_dir):
     ).select("event_id", "user_id", "value")
 
 
+def _chains(spark, sf_dir):
+    return harvest.harvest_chains(dv.harvests(dv.table(spark, sf_dir, "documents")))
+
+
+def harvest_chains(spark, sf_dir):
+    return _chains(spark, sf_dir).drop("body")
+
+
+def harvest_summary(spark, sf_dir):
+    return harvest.harvest_summary(_chains(spark, sf_dir))
+
+
 def latest_records(spark, sf_dir):
     events = dv.table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type")
     deleted = F.col("event_type") == "error"
@@ -110,6 +122,8 @@ def incremental_ingest(spark, sf_dir):
 
 
 QUERIES = {
+    "harvest_chains": harvest_chains,
+    "harvest_summary": harvest_summary,
     "harvest_window": harvest_window,
     "latest_records": latest_records,
     "faceted_search": faceted_search,
@@ -126,7 +140,27 @@ _LATEST = """SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC,
              FROM events"""
 _ISSUED = "strftime(o_orderdate, '%Y-%m-%d')"
 
+_CHAINS = """
+    WITH placed AS (
+        SELECT source, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 3 AS p FROM documents),
+    pages AS (SELECT source, p, count(*) AS n, max(p) OVER (PARTITION BY source) AS last FROM placed GROUP BY source, p),
+    ends(source, broken, missing, state) AS (VALUES
+        ('src1', 2, NULL, 'broken'), ('src2', 1, NULL, 'broken'), ('src3', NULL, 2, 'lost'), ('src4', NULL, NULL, 'loop'),
+        ('src5', NULL, 0, 'lost')),
+    chains AS (
+        SELECT source AS harvest, CASE WHEN p = 0 THEN '' ELSE concat(source, '-', p) END AS page,
+               CASE WHEN (missing IS NULL OR p < missing) AND (broken IS NULL OR p <= broken) THEN p::BIGINT END AS rank,
+               CASE WHEN p = broken THEN CASE source WHEN 'src1' THEN 0 END ELSE n END AS records,
+               CASE WHEN p = broken THEN 'broken' WHEN p < last OR e.state = 'loop' THEN 'more' ELSE 'complete' END AS state,
+               coalesce(e.state, 'complete') AS harvest_state
+        FROM pages LEFT JOIN ends e USING (source) WHERE p IS DISTINCT FROM missing),
+    found AS (SELECT *, rank IS NOT NULL AND state <> 'broken' AS kept FROM chains)"""
+
 ORACLES = {
+    "harvest_chains": f"{_CHAINS} SELECT harvest, page, rank, records, state, kept, harvest_state FROM found",
+    "harvest_summary": f"""{_CHAINS}
+        SELECT harvest, harvest_state, count(*) AS pages, sum(kept::INT)::BIGINT AS pages_read,
+               coalesce(sum(records) FILTER (kept), 0)::BIGINT AS records FROM found GROUP BY ALL""",
     "harvest_window": f"""
         SELECT event_id, user_id, value FROM events
         WHERE ts >= TIMESTAMP '{START}' AND ts < TIMESTAMP '{END}' + INTERVAL 1 DAY AND event_type = 'click'""",
