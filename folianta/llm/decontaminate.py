@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folianta.llm.tables import numbered
 from folianta.llm.words import blocks, bound_batches, grams, split_words
 from folianta.storage import materialize
 
@@ -197,19 +198,17 @@ def find_contamination(
     """``_row, doc_id, n_words, n_hit, hits, items``, one row per row of ``docs``.
 
     ``hits`` lists the hit word ranges (low, high), high exclusive, merged where they touch;
-    ``items`` the ids of items with an occurring window, sorted as text. ``_row`` numbers the
-    rows as they are scanned, so documents that share an id stay apart. Null texts have no
-    words; an empty table gives no rows; other columns are ignored. ``docs`` must be a plain
-    scan of files, whose row numbers do not change between reads.
+    ``items`` the ids of items with an occurring window, sorted as text. ``_row`` is the number
+    that :func:`tables.numbered` gives the row, so documents that share an id stay apart. Null
+    texts have no words; an empty table gives no rows; other columns are ignored. ``docs`` must
+    be a plain scan of files.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     prints = materialize(item_prints(items, item_id, gram, window), "benchmark-prints")
     lengths = [r[0] for r in prints.where(F.col("need") < window).select("need").distinct().collect()]
     table = bit_table(spark, prints.select("hash"))
-    source = docs.select(
-        F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("doc_id"), "text"
-    )
+    source = numbered(docs, F.col(doc_id).alias("doc_id"), "text")
     kind = source.schema["doc_id"].dataType.simpleString()
     scanned = materialize(
         source.mapInArrow(

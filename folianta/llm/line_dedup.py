@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folianta.llm.graph import components
-from folianta.llm.tables import small
+from folianta.llm.tables import numbered, small
 from folianta.storage import materialize
 
 THRESHOLD = 1
@@ -160,7 +160,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         ),
         "distinct-lines",
     )
-    lines = written.withColumn("_line", F.monotonically_increasing_id())
+    lines = numbered(written, *written.columns, row="_line")
     rows = materialize(_entries(lines), "line-entries")
     pairs, texts = None, None
     while True:

@@ -40,6 +40,7 @@ BLOCK = 4_096
 BUCKET = 8_192
 QUERY_GROUP = 4_096
 NEAREST = 5
+ASKED = ["query_id", "q_one", "q_two", "n", "vector"]
 QUERY_EVERY = 50
 
 
@@ -121,9 +122,9 @@ def _assign(shared):
                 rows = unit(stacked(batch.column("vector")))
                 half = rows.shape[1] // 2
                 cells = distances(rows[:, :half], one).argmin(1) * len(two) + distances(rows[:, half:], two).argmin(1)
+            names = ["ids", "one", "two", "vector"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("ids"), batch.column("vector"), pa.array(cells.astype(np.int32))],
-                ["ids", "vector", "cell"],
+                [*map(batch.column, names), pa.array(cells.astype(np.int32))], [*names, "cell"]
             )
 
     return run
@@ -158,12 +159,11 @@ def _probe(shared, quota: int, buckets: int):
             take = pa.array(source, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("query_id").take(take),
-                    batch.column("vector").take(take),
+                    *(batch.column(name).take(take) for name in ASKED),
                     pa.array(bucket, pa.int32()),
                     pa.array(cells, pa.list_(pa.int32())),
                 ],
-                ["query_id", "vector", "bucket", "cells"],
+                [*ASKED, "bucket", "cells"],
             )
 
     return run
@@ -171,7 +171,8 @@ def _probe(shared, quota: int, buckets: int):
 
 def _rank(keep: int):
     """The best ``keep`` entries of one bucket for each query of a group, by exact cosine."""
-    names, kinds = ["query_id", "ids", "score"], [pa.int64(), pa.list_(pa.int64()), pa.float64()]
+    names = ["query_id", "q_one", "q_two", "n", "ids", "own", "score"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.bool_(), pa.float64()]
 
     def run(key: tuple, entries: pa.Table, queries: pa.Table) -> pa.Table:
         if not entries.num_rows or not queries.num_rows:
@@ -201,9 +202,10 @@ def _rank(keep: int):
         q, n = np.nonzero(which >= 0)
         entry = which[q, n]
         scores = (asked[q] * rows[entry]).sum(axis=1)
-        return pa.table(
-            [queries.column("query_id").take(pa.array(q)), ids.take(pa.array(entry)), pa.array(scores)], names
-        )
+        asked_for = [queries.column(name).take(pa.array(q)) for name in ASKED if name != "vector"]
+        hashes = [(entries.column(a).to_numpy()[entry], queries.column(b).to_numpy()[q]) for a, b in (("one", "q_one"), ("two", "q_two"))]
+        own = (hashes[0][0] == hashes[0][1]) & (hashes[1][0] == hashes[1][1])
+        return pa.table([*asked_for, ids.take(pa.array(entry)), pa.array(own), pa.array(scores)], names)
 
     return run
 
@@ -218,20 +220,22 @@ def nearest(
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``count`` nearest found of each query.
 
-    Queries are the rows whose id is divisible by ``every``; rows with a query's own id are no
-    candidates. Equal scores go to the smaller id. Rows that :func:`usable` leaves out take no
-    part, an empty table gives no rows, and other columns are ignored.
+    Queries are the rows whose id is divisible by ``every``, candidates all other rows: a row that
+    repeats a query's id, with the same vector or another, is one of its candidates and, being
+    divisible too, a query with rows of its own. Equal scores go to the smaller id. Rows that
+    :func:`usable` leaves out take no part, an empty table gives no rows, and other columns are
+    ignored.
     """
     spark = vectors.sparkSession
-    rows = materialize(usable(vectors, vec_id, vector), "vectors")
+    hashes = [F.xxhash64("vector").alias("one"), F.hash("vector").alias("two")]
+    rows = materialize(usable(vectors, vec_id, vector).select("vec_id", *hashes, "vector"), "vectors")
     shown = Window.partitionBy("one", "two").orderBy("vec_id")
     entries = materialize(
-        rows.select("vec_id", "vector", F.xxhash64("vector").alias("one"), F.hash("vector").alias("two"))
-        .withColumn("place", F.row_number().over(shown))
+        rows.withColumn("place", F.row_number().over(shown))
         .where(F.col("place") <= count + 1)
         .groupBy("one", "two")
         .agg(F.array_sort(F.collect_list("vec_id")).alias("ids"), F.first("vector").alias("vector"))
-        .select("ids", "vector"),
+        .select("ids", "one", "two", "vector"),
         "distinct-vectors",
     )
     total = entries.count()
@@ -248,7 +252,7 @@ def nearest(
         books = np.zeros((1, 0)), np.zeros((1, 0))
     indexed = materialize(
         entries.mapInArrow(
-            _assign(spark.sparkContext.broadcast(books)), "ids array<bigint>, vector array<double>, cell int"
+            _assign(spark.sparkContext.broadcast(books)), "ids array<bigint>, one bigint, two int, vector array<double>, cell int"
         ),
         "multi-index",
     )
@@ -257,16 +261,20 @@ def nearest(
         counts[row["cell"]] = row["count"]
     buckets = max(1, -(-total // BUCKET))
     facts = spark.sparkContext.broadcast((*books, counts))
-    queries = rows.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "vector")
+    queries = (  # equal rows ask once and count n times
+        rows.where(F.pmod("vec_id", F.lit(every)) == 0)
+        .groupBy(F.col("vec_id").alias("query_id"), F.col("one").alias("q_one"), F.col("two").alias("q_two"))
+        .agg(F.count("*").alias("n"), F.first("vector").alias("vector"))
+    )
     groups = max(1, -(-queries.count() // QUERY_GROUP))
     group = F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("part")
     probes = (
         queries.repartition(max(1, min(spark.sparkContext.defaultParallelism, groups * 64)), "query_id")
         .mapInArrow(
             _probe(facts, max(LEAST, int(visited * total)), buckets),
-            "query_id bigint, vector array<double>, bucket int, cells array<int>",
+            "query_id bigint, q_one bigint, q_two int, n bigint, vector array<double>, bucket int, cells array<int>",
         )
-        .select("query_id", "vector", "cells", "bucket", group)
+        .select(*ASKED, "cells", "bucket", group)
     )
 
     @F.pandas_udf("int")
@@ -281,15 +289,22 @@ def nearest(
     ranked = (
         dealt.groupBy("bucket", "part")
         .cogroup(probes.groupBy("bucket", "part"))
-        .applyInArrow(_rank(count + 1), "query_id bigint, ids array<bigint>, score double")
+        .applyInArrow(
+            _rank(count + 1),
+            "query_id bigint, q_one bigint, q_two int, n bigint, ids array<bigint>, own boolean, score double",
+        )
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    asker = ["query_id", "q_one", "q_two"]
+    # the row that asks is one of its entry's rows; if it is not among the smallest, others are
+    itself = F.col("own") & (F.col("at") == F.array_position("ids", F.col("query_id")) - 1)
+    order = Window.partitionBy(*asker).orderBy(F.desc("score"), "vec_id")
     return (
-        ranked.select("query_id", "score", F.explode("ids").alias("vec_id"))
-        .where("vec_id <> query_id")
+        ranked.select(*asker, "n", "score", "own", "ids", F.posexplode("ids").alias("at", "vec_id"))
+        .where(~itself)
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= count)
-        .select("query_id", "rank", "vec_id", "score")
+        .select(F.explode(F.sequence(F.lit(1).cast("bigint"), "n")), "query_id", "rank", "vec_id", "score")
+        .drop("col")
     )
 
 

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folianta.llm.graph import components
-from folianta.llm.tables import small
+from folianta.llm.tables import numbered, small
 from folianta.llm.words import Words, blocks, bound_batches, grams, mix, powers, split_words
 from folianta.storage import materialize
 
@@ -337,11 +337,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     ``root`` is the first row of a row's class and ``class_id`` its id. Texts without a word are
     copies of each other; null texts are each a class of their own. Repeated rows and ids are
     separate members. An empty table gives no rows; other columns are ignored. ``docs`` must be
-    a plain scan of files, whose row numbers do not change between reads.
+    a plain scan of files, as its rows are known by their place there.
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    source = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(doc_id).alias("doc_id"), "text")
+    source = numbered(docs, F.col(doc_id).alias("doc_id"), "text")
     texts = source.select("_row", "text")
     profile = materialize(
         texts.mapInArrow(

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from folianta.llm.tables import numbered
 from folianta.storage import materialize, shared_dir
 
 
@@ -124,13 +125,11 @@ def scan_versions(
     Scans what the ledger at path ``ledger`` lacks and appends it there. Null texts count as
     empty; rows that repeat a key are versions of their own; an empty table gives no rows and
     leaves the ledger as it was; other columns are ignored. ``versions`` must be a plain scan of
-    files, whose row numbers do not change between reads.
+    files, as its rows are known by their place there.
     """
     spark = versions.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    source = versions.select(
-        F.monotonically_increasing_id().alias("_row"), *keys, text.alias("text"), F.unhex(F.sha2(text, 256)).alias("blob")
-    )
+    source = numbered(versions, *keys, text.alias("text"), F.unhex(F.sha2(text, 256)).alias("blob"))
     addressed = materialize(source.drop("text"), "blob-versions")
     wanted = F.array(*[F.lit(rule.version) for rule in rules])
     seen = _ledger(spark, ledger).groupBy("blob").agg(F.flatten(F.collect_list("rules")).alias("seen"))

@@ -286,3 +286,23 @@ def test_slots_are_a_permutation(count):
 def test_no_shards(spark, folder):
     write_all(folder, documents([]))
     assert token_shards.op8_token_shards(spark, folder).collect() == []
+
+
+def test_repeated_queries_are_rows_of_their_own(spark, folder):
+    """Equal ids with equal, parallel and other vectors: against all pairs of rows."""
+    pick = np.random.default_rng(5)
+    rows = [(i, pick.normal(size=8)) for i in range(120)]
+    rows += [rows[50], rows[50], (50, pick.normal(size=8)), (50, rows[50][1] * 2), (100, rows[50][1]), rows[0]]
+    rows += [(i, rows[100][1]) for i in range(90, 104)] + [(7, rows[100][1])] * 3
+    listed = [(i, [float(x) for x in v]) for i, v in rows]
+    spark.createDataFrame(listed, "vec_id bigint, embedding array<double>").write.parquet(f"{folder}/embeddings.parquet")
+    unit = np.array([v / np.linalg.norm(v) for _, v in listed])
+    expected = []
+    for q, (query, _) in enumerate(listed):
+        if query % 50 == 0:
+            near = sorted((-round(float(unit[q] @ unit[c]), 9), i) for c, (i, _) in enumerate(listed) if c != q)[:5]
+            expected += [(query, rank, i, -s) for rank, (s, i) in enumerate(near, 1)]
+    found = multi_index.nearest(read(spark, folder, "embeddings"), visited=1.0).collect()
+    rounded = [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 9)) for r in found]
+    assert sorted(rounded) == sorted((a, b, c, d + 0.0) for a, b, c, d in expected)
+    assert sum(r[0] == 50 for r in rounded) == 25
