@@ -10,15 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folianta.llm import decontaminate, language, mixing, neardup, token_shards
-from folianta.llm.tables import small
+from folianta.llm.tables import numbered, small
 from folianta.storage import materialize
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows numbered in ``gone``; rows are numbered as they are scanned."""
-    numbered = docs.select(F.struct(*docs.columns).alias("_doc"), F.monotonically_increasing_id().alias("_row"))
+    """``docs`` without the rows numbered in ``gone``, by their place in the scanned files."""
     rows = materialize(gone.select("_row"), "removed-rows")
-    return numbered.join(small(rows, 16), "_row", "left_anti").select("_doc.*")
+    placed = numbered(docs, F.struct(*docs.columns).alias("_doc"))
+    return placed.join(small(rows, 16), "_row", "left_anti").select("_doc.*")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
