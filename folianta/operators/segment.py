@@ -106,47 +106,3 @@ def best_split(
         pieces.append(word[start:end])
         end = start
     return pieces[::-1], reached[-1][0]
-
-
-def expected_pieces(
-    word: str, scores: Mapping[str, float], longest: int
-) -> tuple[dict[str, float], float]:
-    """Expected piece counts over all segmentations of ``word``, and its log-likelihood."""
-    size = len(word)
-    edges = [
-        (start, end, score)
-        for start in range(size)
-        for end in range(start + 1, min(size, start + longest) + 1)
-        if (score := scores.get(word[start:end])) is not None
-    ]
-    ahead: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]
-    behind: list[list[tuple[int, float]]] = [[] for _ in range(size + 1)]
-    for start, end, score in edges:
-        ahead[end].append((start, score))
-        behind[size - start].append((size - end, score))
-    to, back = _ways(ahead), _ways(behind)
-    whole = to[size]
-    if whole == -math.inf:
-        return {}, 0.0
-    counts: dict[str, float] = {}
-    for start, end, score in edges:
-        piece = word[start:end]
-        weight = math.exp(to[start] + score + back[size - end] - whole)
-        counts[piece] = counts.get(piece, 0.0) + weight
-    return counts, whole
-
-
-def _ways(steps: list[list[tuple[int, float]]]) -> list[float]:
-    """Log of the summed chance of all ways from place 0 to each place.
-
-    ``steps[place]`` lists (earlier place, log chance). Sums are taken relative to their largest
-    term, so words may be of any length.
-    """
-    found = [0.0]
-    for incoming in steps[1:]:
-        terms = [found[start] + score for start, score in incoming]
-        most = max(terms, default=-math.inf)
-        if len(terms) > 1 and most > -math.inf:
-            most += math.log(sum([math.exp(term - most) for term in terms]))
-        found.append(most)
-    return found

@@ -12,6 +12,7 @@ import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,7 +24,6 @@ from folianta.operators import positions
 from folianta.operators.segment import (
     LONGEST_WORD,
     best_split,
-    expected_pieces,
     longest_match_split,
     merge_pieces,
     merge_split,
@@ -360,7 +360,7 @@ def train_merges(
         settled: list[Merge] = []
         while pairs and not settled:
             bound = pairs[most_pairs] if len(pairs) > most_pairs else None
-            segments = _segments(words, pairs[:most_pairs], MAX_SEGMENTS if most_pairs > 1 else 1 << 31)
+            segments = _segments(words, pairs[:most_pairs], MAX_SEGMENTS if most_pairs > 1 else (1 << 31) - 2)
             if segments is None:
                 most_pairs = max(1, most_pairs // 4)
                 continue
@@ -432,63 +432,142 @@ def _seed_pieces(counts: DataFrame, longest: int, seed_size: int) -> dict[str, f
     return {row["piece"]: float(row["n"]) for row in [*chars, *most]}
 
 
-def _normalized(counts: dict[str, float]) -> dict[str, float]:
-    total = math.log(sum(counts.values()))
-    return {piece: math.log(n) - total for piece, n in counts.items() if n > 0}
+def _lattice(words: DataFrame, pieces: Sequence[str], longest: int, whole: bool = True) -> DataFrame:
+    """``(n, size, starts, ends, pieces)``: where each of ``pieces`` lies in each word.
+
+    Made once per training, as later rounds only drop pieces. Without ``whole`` a piece does not
+    count as part of itself.
+    """
+    shared = words.sparkSession.sparkContext.broadcast({piece: at for at, piece in enumerate(pieces)})
+    names = ["n", "size", "starts", "ends", "pieces"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = shared.value
+        for batch in batches:
+            columns: list[list] = [[], [], [], []]
+            for word in batch.column("word").to_pylist():
+                size, starts, ends, found = len(word), [], [], []
+                for start in range(size):
+                    for end in range(start + 1, min(start + longest, size) + 1):
+                        piece = ids.get(word[start:end])
+                        if piece is not None and (whole or end - start < size):
+                            starts.append(start)
+                            ends.append(end)
+                            found.append(piece)
+                for column, value in zip(columns, (size, starts, ends, found)):
+                    column.append(value)
+            listed = [pa.array(column, pa.list_(pa.int32())) for column in columns[1:]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("n").cast(pa.int64()), pa.array(columns[0], pa.int32()), *listed], names
+            )
+
+    return words.select("word", "n").mapInArrow(
+        run, "n bigint, size int, starts array<int>, ends array<int>, pieces array<int>"
+    )
+
+
+@dataclass
+class _Edges:
+    """Living pieces in a batch of words; positions of all words follow one another."""
+
+    first: np.ndarray  # position of each word's begin
+    last: np.ndarray
+    words: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    pieces: np.ndarray
+    scores: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, scores: np.ndarray) -> _Edges:
+        sizes = batch.column("size").to_numpy().astype(np.int64)
+        first = np.cumsum(sizes + 1) - sizes - 1
+        listed = [batch.column(name) for name in ("starts", "ends", "pieces")]
+        counts = listed[0].value_lengths().to_numpy()
+        starts, ends, pieces = (column.flatten().to_numpy() for column in listed)
+        words = np.repeat(np.arange(len(sizes)), counts)
+        alive = np.isfinite(scores[pieces])
+        words, pieces = words[alive], pieces[alive]
+        offset = first[words]
+        return cls(first, first + sizes, words, offset + starts[alive], offset + ends[alive], pieces, scores[pieces])
+
+    def along(self, combine: np.ufunc, forward: bool = True) -> np.ndarray:
+        """Combined score of all splits from each word's begin (or end) to each position."""
+        near, far = (self.starts, self.ends) if forward else (self.ends, self.starts)
+        origin = self.first if forward else self.last
+        found = np.full(int(self.last[-1]) + 1 if len(self.last) else 0, -np.inf)
+        found[origin] = 0.0
+        depth = np.abs(far - origin[self.words])
+        order = np.lexsort((far, depth))
+        near, far, scores, depth = near[order], far[order], self.scores[order], depth[order]
+        steps = np.flatnonzero(np.diff(depth, prepend=-1))
+        for low, high in zip(steps, [*steps[1:], len(depth)]):
+            at = far[low:high]
+            opens = np.flatnonzero(np.diff(at, prepend=-1))
+            found[at[opens]] = combine.reduceat(found[near[low:high]] + scores[low:high], opens)
+        return found
+
+
+def expected_pieces(batch: pa.RecordBatch, scores: np.ndarray) -> tuple[np.ndarray, float]:
+    """How often each piece is expected in a batch of words, and the words' log-likelihood.
+
+    Over all splits of a word, weighted by their probability (forward-backward), times its count.
+    """
+    edges, n = _Edges.of(batch, scores), batch.column("n").to_numpy()
+    ahead, behind = edges.along(np.logaddexp), edges.along(np.logaddexp, False)
+    total = ahead[edges.last]
+    share = np.exp(ahead[edges.starts] + edges.scores + behind[edges.ends] - total[edges.words])
+    return np.bincount(edges.pieces, share * n[edges.words], len(scores)), float(n @ total)
 
 
-def _expected_counts(
-    counts: DataFrame, scores: dict[str, float]
-) -> tuple[dict[str, float], float]:
-    """Expected piece counts over all words, and the corpus log-likelihood.
+def _expected_counts(lattice: DataFrame, scores: np.ndarray) -> tuple[np.ndarray, float]:
+    """Expected count of every piece over all words, and the corpus log-likelihood.
 
     Every partition sums its own words first; what is shuffled is one row per piece and
-    partition.
+    partition. Pieces with an infinitely low score are left out.
     """
-    shared = counts.sparkSession.sparkContext.broadcast(scores)
-    longest = max(map(len, scores))
+    shared = lattice.sparkSession.sparkContext.broadcast(scores)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        sums: dict[str, float] = {}
-        likelihood = 0.0
-        for frame in frames:
-            for word, n in zip(frame["word"], frame["n"]):
-                found, score = expected_pieces(word, known, longest)
-                likelihood += n * score
-                for piece, weight in found.items():
-                    sums[piece] = sums.get(piece, 0.0) + n * weight
-        sums[""] = likelihood  # no piece is empty
-        yield pd.DataFrame({"piece": list(sums), "weight": list(sums.values())})
+        sums, likelihood = np.zeros(len(known)), 0.0
+        for batch in batches:
+            found, score = expected_pieces(batch, known)
+            sums += found
+            likelihood += score
+        used = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.append(used, -1)), pa.array(np.append(sums[used], likelihood))], ["piece", "weight"]
+        )
 
     rows = (
-        counts.mapInPandas(run, "piece string, weight double")
+        lattice.mapInArrow(run, "piece bigint, weight double")
         .groupBy("piece")
         .agg(F.sum("weight").alias("weight"))
-        .collect()
+        .toArrow()
     )
     shared.unpersist()
-    found = {row["piece"]: row["weight"] for row in rows}
-    return found, found.pop("", 0.0)
-
-
-def _pruned(scores: dict[str, float], used: dict[str, float], keep: int) -> dict[str, float]:
-    """The ``keep`` pieces whose loss would cost most; single characters always stay."""
-    longest, floor = max(map(len, scores)), unknown_score(scores)
-    total = sum(used.values())
-    losses = []
-    for piece, score in scores.items():
-        if len(piece) == 1:
-            continue
-        size = len(piece)
-        others = {piece[i:j] for i in range(size) for j in range(i + 1, size + 1)}
-        rest = {part: scores[part] for part in others if part in scores and part != piece}
-        _, instead = best_split(piece, rest, longest, floor)
-        losses.append((used.get(piece, 0.0) / total * (score - instead), piece))
-    losses.sort(key=lambda item: (-item[0], item[1]))
-    singles = [piece for piece in scores if len(piece) == 1]
-    chosen = singles + [piece for _, piece in losses[: max(keep - len(singles), 0)]]
-    return {piece: scores[piece] for piece in chosen}
+    pieces, weights = (rows.column(name).to_numpy() for name in ("piece", "weight"))
+    found = np.zeros(len(scores))
+    found[pieces[pieces >= 0]] = weights[pieces >= 0]
+    return found, float(weights[pieces < 0].sum())
+
+
+def _best_without(lattice: DataFrame, scores: np.ndarray) -> np.ndarray:
+    """Score of the best split of each piece into other living pieces."""
+    shared = lattice.sparkSession.sparkContext.broadcast(scores)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges = _Edges.of(batch, shared.value)
+            best = edges.along(np.maximum)[edges.last]
+            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(best)], ["piece", "best"])
+
+    rows = lattice.mapInArrow(run, "piece bigint, best double").toArrow()  # one row a seed
+    shared.unpersist()
+    found = np.zeros(len(scores))
+    found[rows.column("piece").to_numpy()] = rows.column("best").to_numpy()
+    return found
 
 
 def train_unigram(
@@ -502,32 +581,59 @@ def train_unigram(
 ) -> SubwordModel:
     """A piece vocabulary by expectation maximization with pruning (Kudo, 2018).
 
-    Each round counts expected pieces over the distinct words as one job. What reaches the
-    driver is the piece table, which never exceeds ``seed_size`` plus the alphabet; the default
-    is ten seeds for a token. Far above the target, more pieces go at a time.
+    Where the seeds lie in the distinct words is found once; each round is then array arithmetic
+    over those places, as one job, and so is the search for the best split of every piece without
+    it. What reaches the driver is the piece table, which never exceeds ``seed_size`` plus the
+    alphabet; the default is ten seeds for a token. Far above the target, more pieces go at a time.
+
+    The result has exactly ``vocab_size`` tokens. Where the words do not hold as many different
+    pieces, or their characters alone are more, this is an error.
     """
     if seed_size is None:
         seed_size = 10 * vocab_size
     if seed_size < vocab_size:
         raise ValueError(f"{seed_size} seeds cannot fill a vocabulary of {vocab_size} tokens")
-    counts = spread(materialize(counts, "words")).persist()
+    counts = materialize(counts, "words")
+    spark = counts.sparkSession
     target = vocab_size - len(special_tokens)
-    scores = _normalized(_seed_pieces(counts, longest_piece, seed_size))
+    seeds = _seed_pieces(counts, longest_piece, seed_size)
+    pieces = sorted(seeds)
+    single = np.array([len(piece) == 1 for piece in pieces], dtype=bool)
+    if not int(single.sum()) <= target <= len(pieces):
+        raise ValueError(
+            f"{len(pieces)} pieces, {int(single.sum())} of them characters, cannot make {target} tokens"
+        )
+    lattice = materialize(_lattice(spread(counts), pieces, longest_piece), "lattice")
+    longer = [(piece, at) for at, piece in enumerate(pieces) if len(piece) > 1]
+    own = spark.createDataFrame(longer, "word string, n bigint")
+    own = materialize(_lattice(spread(own), pieces, longest_piece, whole=False), "piece-lattice")
+
+    def scored(weights: np.ndarray, alive: np.ndarray) -> np.ndarray:
+        # characters, and pieces that nothing needs just now, stay in reach
+        kept = np.where(alive, np.maximum(weights, 1e-9), 0.0)
+        with np.errstate(divide="ignore"):
+            return np.log(kept) - np.log(kept.sum())
+
+    alive = np.ones(len(pieces), dtype=bool)
+    scores = scored(np.array([seeds[piece] for piece in pieces]), alive)
     likelihoods: list[float] = []
     while True:
         for _ in range(rounds):
-            expected, likelihood = _expected_counts(counts, scores)
+            expected, likelihood = _expected_counts(lattice, scores)
             likelihoods.append(likelihood)
-            # characters stay in reach however rarely they are used
-            floor = {piece: 1e-9 for piece in scores if len(piece) == 1}
-            scores = _normalized({**floor, **{p: w for p, w in expected.items() if w > 0}})
-        singles = sum(len(piece) == 1 for piece in scores)
-        if len(scores) <= max(target, singles):
+            scores = scored(expected, alive)
+        count = int(alive.sum())
+        if count <= target:
             break
-        kept = shrink if len(scores) < 4 * target else shrink / 1.5
-        scores = _pruned(scores, expected, max(target, int(len(scores) * kept)))
-    counts.unpersist()
-    ordered = sorted(scores, key=lambda piece: (-scores[piece], piece))
+        kept = shrink if count < 4 * target else shrink / 1.5
+        loss = np.full(len(pieces), -np.inf)
+        loss[alive] = (expected / expected.sum())[alive] * (scores - _best_without(own, scores))[alive]
+        loss[single] = np.inf
+        alive = np.zeros(len(pieces), dtype=bool)
+        alive[np.argsort(-loss, kind="stable")[: max(target, int(count * kept))]] = True
+        scores = scored(np.exp(scores), alive)
+    found = {piece: float(score) for piece, score, lives in zip(pieces, scores, alive) if lives}
+    ordered = sorted(found, key=lambda piece: (-found[piece], piece))
     return SubwordModel(
-        "unigram", [*special_tokens, *ordered], scores=scores, likelihoods=likelihoods
+        "unigram", [*special_tokens, *ordered], scores=found, likelihoods=likelihoods
     )

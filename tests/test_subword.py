@@ -1,3 +1,5 @@
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers, trainers
@@ -84,6 +86,27 @@ def test_unigram_properties(spark, texts):
     assert "".join(pieces) == "".join(texts[0].split())
 
 
+def lattice_of(words, pieces):
+    rows = [
+        [(s, e, pieces.index(w[s:e])) for s in range(len(w)) for e in range(s + 1, len(w) + 1) if w[s:e] in pieces]
+        if len(w) < 100
+        else [(s, s + k, k - 1) for s in range(len(w)) for k in (1, 2) if s + k <= len(w)]
+        for w, _ in words
+    ]
+    columns = [pa.array([[edge[at] for edge in row] for row in rows], pa.list_(pa.int32())) for at in range(3)]
+    n, size = [n for _, n in words], [len(w) for w, _ in words]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(n), pa.array(size, pa.int32()), *columns], ["n", "size", "starts", "ends", "pieces"]
+    )
+
+
+def expect(word, scores):
+    """Counts of a word among others; one that does not occur must change nothing."""
+    batch = lattice_of([(word, 0), (word, 1), (word[:1], 0)], list(scores))
+    counts, likelihood = subword.expected_pieces(batch, np.array(list(scores.values())))
+    return dict(zip(scores, counts)), likelihood
+
+
 def test_expected_pieces_by_enumeration():
     import math
 
@@ -100,7 +123,7 @@ def test_expected_pieces_by_enumeration():
 
         walk(word, [])
         weights = [math.exp(sum(scores[p] for p in s)) for s in splits]
-        counts, likelihood = segment.expected_pieces(word, scores, 3)
+        counts, likelihood = expect(word, scores)
         assert likelihood == pytest.approx(math.log(sum(weights)))
         for piece in scores:
             expected = sum(w * s.count(piece) for w, s in zip(weights, splits)) / sum(weights)
@@ -113,7 +136,7 @@ def test_expected_pieces_by_enumeration():
 def test_expected_pieces_of_a_very_long_word():
     scores = {"a": -4.0, "aa": -5.0}
     for size in (64, 5000):
-        counts, likelihood = segment.expected_pieces("a" * size, scores, 2)
+        counts, likelihood = expect("a" * size, scores)
         assert counts["a"] + 2 * counts["aa"] == pytest.approx(size)
         # per character the best splits weigh exp(-2.5); there are few others
         assert -2.5 * size < likelihood < -2.3 * size
@@ -130,6 +153,53 @@ def test_long_words_and_stored_models(spark, folder):
         subword.train_unigram(counted(spark, CORPUS), 100, seed_size=50)
 
 
+def test_unigram_vocabularies_are_full_or_an_error(spark, texts):
+    counts = counted(spark, texts)
+    chars = len({c for t in texts for c in t if not c.isspace()})
+    for size in (chars + 1 + 3, chars + 40):
+        assert len(subword.train_unigram(counts, size, special_tokens=["[UNK]"]).tokens) == size
+    few = counted(spark, ["ab ab", "abc"])
+    assert len(subword.train_unigram(few, 5, special_tokens=["[UNK]"], seed_size=10).tokens) == 5
+    for size in (3, 40):
+        with pytest.raises(ValueError, match="cannot make"):
+            subword.train_unigram(few, size, special_tokens=["[UNK]"], seed_size=100)
+
+
+def test_pair_index_is_a_recount():
+    import random
+    from collections import Counter
+
+    for seed in range(30):
+        pick = random.Random(seed)
+        words = [([pick.randrange(4) for _ in range(pick.randint(1, 9))], pick.randint(1, 5)) for _ in range(20)]
+        index = subword.PairIndex(words)
+        for new in range(10, 25):
+            recount = Counter()
+            for symbols, n in zip(index.segments, index.weights):
+                for pair in zip(symbols, symbols[1:]):
+                    recount[pair] += n
+            assert {p: n for p, n in index.counts.items() if n} == dict(recount)
+            top = min(((-n, *pair) for pair, n in recount.items()), default=None)
+            assert index.top() == top
+            if top is None:
+                break
+            index.merge(top[1], top[2], new)
+
+
+@pytest.mark.parametrize("pairs, segments", [(1, 50), (2, 10_000), (7, 3), (64, 10_000)])
+def test_merges_do_not_depend_on_the_size_of_rounds(spark, texts, monkeypatch, pairs, segments):
+    counts = counted(spark, [*texts, "aaaa aaa aaaaaaa banana"])
+    known = subword.train_bpe(counts, 150)
+    monkeypatch.setattr(subword, "FIRST_PAIRS", pairs)
+    monkeypatch.setattr(subword, "MOST_PAIRS", pairs)
+    monkeypatch.setattr(subword, "MAX_SEGMENTS", segments)
+    if pairs < 3:
+        counts, known = counts.filter("length(word) < 6"), subword.train_bpe(counts.filter("length(word) < 6"), 60)
+        assert subword.train_bpe(counts, 60).merges == known.merges
+    else:
+        assert subword.train_bpe(counts, 150).merges == known.merges
+
+
 def test_word_and_pair_counts(spark):
     counts = counted(spark, CORPUS)
     words = {r["word"]: r["n"] for r in counts.collect()}
