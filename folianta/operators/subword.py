@@ -29,7 +29,7 @@ from folianta.operators.segment import (
     merge_split,
     unknown_score,
 )
-from folianta.storage import materialize, spread
+from folianta.storage import bounded_table, materialize, spread
 
 Merge = tuple[int, int, int]  # left and right symbol, and what they become
 UNKNOWN = "[UNK]"
@@ -39,7 +39,7 @@ REMEMBERED_WORDS = 200_000
 # range of their own when they are marked by a prefix, and merged symbols follow.
 INNER_BASE = 0x200000
 MERGED_BASE = 0x400000
-FIRST_PAIRS, MOST_PAIRS = 256, 8_192
+FIRST_PAIRS, MOST_PAIRS = 64, 8_192
 MAX_SEGMENTS = 60_000
 
 
@@ -403,33 +403,61 @@ def train_wordpiece(counts: DataFrame, vocab_size: int, **options) -> SubwordMod
 # --- unigram training --------------------------------------------------------------
 
 
-def _seed_pieces(counts: DataFrame, longest: int, seed_size: int) -> dict[str, float]:
-    """All characters and the substrings that cover most text, with their counts."""
-    size = F.length("word")
-    substrings = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), size),
-            lambda start: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(longest), size - start + 1)),
-                lambda length: F.substring("word", start, length),
-            ),
-        )
-    )
-    pieces = (
-        counts.select(F.explode(substrings).alias("piece"), "n")
-        .groupBy("piece")
+SHORT_PIECE = 4
+
+
+def _pieces_of(words: DataFrame, shortest: int, longest: int, starts: Column) -> DataFrame:
+    """``(piece, n)``: counts of the substrings of ``shortest`` to ``longest`` characters.
+
+    ``starts`` are the places in each word where they may begin.
+    """
+    at, size = F.col("at"), F.length("word")
+    lengths = F.sequence(F.lit(shortest), F.least(F.lit(longest), size - at + 1))
+    return (
+        words.select("word", "n", F.explode(starts).alias("at"))
+        .filter(at + shortest - 1 <= size)
+        .select("word", "n", "at", F.explode(lengths).alias("length"))
+        .groupBy(F.substring("word", at, F.col("length")).alias("piece"))
         .agg(F.sum("n").alias("n"))
     )
+
+
+def _seed_pieces(counts: DataFrame, longest: int, seed_size: int) -> dict[str, float]:
+    """All characters and the substrings that cover most text, with their counts.
+
+    Short substrings are counted first. A longer one is as frequent at most as its beginning, so
+    those whose beginning is too rare to get among the ``seed_size`` best are never formed.
+    """
+    everywhere = F.sequence(F.lit(1), F.length("word"))
+    words = counts.filter(F.length("word") > 0)
+    short = materialize(_pieces_of(words, 1, min(SHORT_PIECE, longest), everywhere), "short-pieces")
+    covered = F.col("n") * F.length("piece")
     single = F.length("piece") == 1
+
+    def most(pieces: DataFrame) -> list:
+        found = pieces.filter(~single & (F.col("n") > 1)).orderBy(F.desc(covered), "piece")
+        return found.limit(seed_size).collect()
+
+    best = most(short)
+    if longest > SHORT_PIECE:
+        least = best[-1]["n"] * len(best[-1]["piece"]) if len(best) == seed_size else 0
+        open_ends = bounded_table(
+            short.filter((F.length("piece") == SHORT_PIECE) & (F.col("n") > 1) & (F.col("n") * longest >= least)).select(
+                F.col("piece").alias("beginning")
+            )
+        )
+        size = F.length("word")
+        rest = (
+            words.filter(size > SHORT_PIECE)
+            .select("n", F.explode(F.sequence(F.lit(1), size - SHORT_PIECE)).alias("at"), "word")
+            .select(F.substring("word", F.col("at"), F.lit(longest)).alias("word"), "n")
+            .withColumn("beginning", F.substring("word", 1, SHORT_PIECE))
+            .join(open_ends, "beginning")
+        )
+        long = _pieces_of(rest, SHORT_PIECE + 1, longest, F.array(F.lit(1)))
+        best = most(short.filter(covered >= least).unionByName(long.filter(covered >= least)))
     # the alphabet is bounded by Unicode, the rest by seed_size
-    chars = pieces.filter(single).collect()
-    most = (
-        pieces.filter(~single & (F.col("n") > 1))
-        .orderBy(F.desc(F.col("n") * F.length("piece")), "piece")
-        .limit(seed_size)
-        .collect()
-    )
-    return {row["piece"]: float(row["n"]) for row in [*chars, *most]}
+    return {row["piece"]: float(row["n"]) for row in [*short.filter(single).collect(), *best]}
 
 
 def _lattice(words: DataFrame, pieces: Sequence[str], longest: int, whole: bool = True) -> DataFrame:

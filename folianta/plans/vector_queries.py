@@ -15,7 +15,8 @@ from folianta.storage import bounded_table, shared_dir
 DIGITS = 6
 TARGET = "the"
 VOCABULARY = 500  # tokens of the vocabulary that is listed
-SUBWORDS = 200
+SUBWORDS = 2_000
+WORDPIECES = PIECES = 1_000
 WIDTH, HIDDEN = 64, 16
 RANK = 4
 
@@ -66,8 +67,8 @@ def _trained(train, size=SUBWORDS, **options):
 
 
 _bpe = _trained(subword.train_bpe)
-_wordpiece = _trained(subword.train_wordpiece, 300)  # marked characters double the alphabet
-_unigram = _trained(subword.train_unigram, 300)
+_wordpiece = _trained(subword.train_wordpiece, WORDPIECES)
+_unigram = _trained(subword.train_unigram, PIECES)
 
 
 def _vocabulary(learn):
@@ -375,7 +376,7 @@ ORACLES = {
     "vocabulary_facts": f"""
         WITH c AS (SELECT count(DISTINCT c) AS n FROM (SELECT unnest(string_split(word, '')) AS c FROM ({_WORDS})))
         SELECT kind, size AS n_tokens, size AS n_distinct, n AS n_chars
-        FROM (VALUES ('bpe', {SUBWORDS}::BIGINT), ('unigram', 300), ('wordpiece', 300)) AS k(kind, size), c""",
+        FROM (VALUES ('bpe', {SUBWORDS}::BIGINT), ('unigram', {PIECES}), ('wordpiece', {WORDPIECES})) AS k(kind, size), c""",
     "first_merges": f"""
         SELECT word[i] AS "left", word[i + 1] AS "right", sum(n)::BIGINT AS n
         FROM (SELECT word, n, unnest(range(1, length(word))) AS i FROM ({_WORDS}))

@@ -165,6 +165,22 @@ def test_unigram_vocabularies_are_full_or_an_error(spark, texts):
             subword.train_unigram(few, size, special_tokens=["[UNK]"], seed_size=100)
 
 
+@pytest.mark.parametrize("longest, size", [(3, 5), (4, 60), (16, 40), (16, 100_000), (7, 300)])
+def test_seed_pieces_by_enumeration(spark, texts, longest, size):
+    from collections import Counter
+
+    counts = counted(spark, [*texts[:4], "banana bananas \U0001f600a\U0001f600a aaaaaaaaaaaaaaaaaaaaaaaa"])
+    seen = Counter()
+    for row in counts.collect():
+        for at in range(len(row["word"])):
+            for end in range(at + 1, min(at + longest, len(row["word"])) + 1):
+                seen[row["word"][at:end]] += row["n"]
+    chars = {piece: n for piece, n in seen.items() if len(piece) == 1}
+    longer = [piece for piece, n in seen.items() if len(piece) > 1 and n > 1]
+    longer.sort(key=lambda piece: (-seen[piece] * len(piece), piece.encode()))
+    assert subword._seed_pieces(counts, longest, size) == chars | {p: seen[p] for p in longer[:size]}
+
+
 def test_pair_index_is_a_recount():
     import random
     from collections import Counter
