@@ -11,6 +11,11 @@ DUBLIN_CORE_FIELDS = [
     "contributor", "date", "type", "format", "identifier",
     "source", "language", "relation", "coverage", "rights",
 ]
+NAMESPACES = {
+    "oai": "http://www.openarchives.org/OAI/2.0/",
+    "oai_dc": "http://www.openarchives.org/OAI/2.0/oai_dc/",
+    "dc": "http://purl.org/dc/elements/1.1/",
+}
 META_PREFIXES = ["DC.", "DCTERMS."]
 ITEM_LINK_NEEDLE = "/handle/"
 LINK_DENY_LIST = ["discover", "browse", "community-list", "submit"]

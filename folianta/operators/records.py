@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folianta import fixed_values as fixed
+from folianta.storage import materialize
 
 
 def _until(stamp: Column, end: str) -> Column:
@@ -140,6 +142,49 @@ def search_url(
     return F.concat(F.lit(f"{base}?"), F.concat_ws("&", *parts))
 
 
+FEW_ROWS = 50_000
+
+
+def split_at(records: DataFrame, order: Sequence[Column], place: int) -> tuple[DataFrame, DataFrame]:
+    """``records`` before and from the 0-based ``place`` in ``order``; rows that tie fall on any side.
+
+    Rows are dealt out by range and counted per range; only the range that holds the place is
+    looked into, again by ranges, until it has few rows. Those are sorted, nothing else is. A
+    value that many rows share is dealt out by the rest of the row and then by a number.
+    """
+    before: list[DataFrame] = []
+    after: list[DataFrame] = []
+    tie = F.xxhash64(*records.columns) if records.columns else F.lit(0)
+    rows, skip, names = records, place, records.columns
+    parts = max(4, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    while True:
+        ranged = rows.repartitionByRange(parts, *order, tie).withColumn("_cut_range", F.spark_partition_id())
+        ranged = materialize(ranged.withColumn("_cut_tie", F.monotonically_increasing_id()), "ranges")
+        counts = sorted((r["_cut_range"], r["count"]) for r in ranged.groupBy("_cut_range").count().collect())
+        held, at = 0, None
+        for number, count in counts:
+            if held + count > skip:
+                at = number
+                break
+            held += count
+        if at is None:
+            before.append(ranged)
+            break
+        before.append(ranged.filter(F.col("_cut_range") < at))
+        after.append(ranged.filter(F.col("_cut_range") > at))
+        rows, skip = ranged.filter(F.col("_cut_range") == at), skip - held
+        if count <= FEW_ROWS:
+            whole = rows.orderBy(*order, "_cut_tie")
+            before.append(whole.limit(skip))
+            after.append(whole.offset(skip))
+            break
+        tie = F.col("_cut_tie")
+    empty = records.limit(0)
+    return tuple(
+        reduce(DataFrame.unionAll, [part.select(*names) for part in parts], empty) for parts in (before, after)
+    )
+
+
 def result_page(
     records: DataFrame,
     order: Sequence[Column],
@@ -157,11 +202,22 @@ def all_results(
     per_page: int = fixed.RESULTS_PER_PAGE,
     max_items: int | None = None,
 ) -> DataFrame:
-    """All rows from page ``page`` on, in order, or the first ``max_items`` of them."""
-    found = records.orderBy(*order)
-    if page > 1:
-        found = found.offset((page - 1) * per_page)
-    return found if max_items is None else found.limit(max_items)
+    """All rows from page ``page`` on, in order, or the first ``max_items`` of them.
+
+    The first few rows are the best of each task's best. Beyond ``FEW_ROWS`` the beginning and
+    the end are found by :func:`split_at`, so no task gets all rows and a deep page costs one
+    pass to deal rows out, but no sort of them.
+    """
+    skipped = (page - 1) * per_page
+    if max_items is not None and skipped + max_items <= FEW_ROWS:
+        return records.orderBy(*order).offset(skipped).limit(max_items)
+    if skipped:
+        records = split_at(records, order, skipped)[1]
+    if max_items is None:
+        return records.orderBy(*order)
+    if max_items <= FEW_ROWS:
+        return records.orderBy(*order).limit(max_items)
+    return split_at(records, order, max_items)[0].orderBy(*order)
 
 
 def group_values(

@@ -187,6 +187,51 @@ def scan_damaged_records(spark, sf_dir):
     return good.unionByName(bad)
 
 
+def _prefixed_landing(spark, sf_dir):
+    """A response per 25 documents; its prefixes, declared at the root, depend on its number."""
+    docs = dv.table(spark, sf_dir, "documents")
+    page = F.floor(F.col("doc_id") / 25)
+    p, q, d = (  # of records, of the metadata and of its fields
+        F.element_at(F.array(*[F.lit(x) for x in names]), (page % 3 + 1).cast("int"))
+        for names in (("", "oai:", "r-1:"), ("oai_dc:", "m:", "oai_dc:"), ("dc:", "d.c:", "f:"))
+    )
+
+    def tag(prefix, name, value):
+        return F.concat(F.lit("<"), prefix, F.lit(f"{name}>"), value, F.lit("</"), prefix, F.lit(f"{name}>"))
+
+    def space(prefix, uri):
+        name = F.when(prefix == "", "xmlns").otherwise(F.concat(F.lit("xmlns:"), F.rtrim(prefix, F.lit(":"))))
+        return F.concat(F.lit(" "), name, F.lit(f'="{uri}"'))
+
+    title = dv.xml_escape(tx.collapse_spaces(tx.drop_controls(tx.first_line(F.col("text")))))
+    name = F.concat(F.lit("oai:doc:"), F.col("doc_id").cast("string"))
+    fields = tag(q, "dc", F.concat(tag(d, "title", title), tag(F.lit("x:"), "title", F.lit("foreign"))))
+    whole = tag(p, "record", F.concat(tag(p, "header", tag(p, "identifier", name)), tag(p, "metadata", fields)))
+    record = (
+        F.when(F.col("doc_id") % 50 == 7, F.regexp_replace(whole, "(</[^>]*)identifier>", "$1name>"))
+        .when(F.col("doc_id") % 50 == 13, tag(p, "record", tag(F.lit("x:"), "header", name)))
+        .when(F.col("doc_id") % 50 == 21, tag(F.lit("x:"), "record", name))
+        .otherwise(whole)
+    )
+    spaces = F.concat(space(p, fixed.NAMESPACES["oai"]), space(q, fixed.NAMESPACES["oai_dc"]), space(d, fixed.NAMESPACES["dc"]), F.lit(' xmlns:x="urn:other"'))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", record.alias("r")))), lambda x: x["r"]), "")
+    pages = docs.withColumn("spaces", spaces).groupBy(page.alias("page"), "spaces").agg(listed.alias("records"))
+    body = F.concat(F.lit("<answer"), "spaces", F.lit("><ListRecords>"), "records", F.lit("</ListRecords></answer>"))
+    path = shared_dir(spark, "prefixed")
+    pages.select(body.alias("value"), "page").write.partitionBy("page").text(path)
+    return path
+
+
+def scan_prefixed_records(spark, sf_dir):
+    path = f"{_prefixed_landing(spark, sf_dir)}/page=*"
+    good = record_xml.read_records(spark, path, by_namespace=True).select(
+        F.lit("good").alias("kind"), "identifier", F.array_join("dc.title", MARK).alias("title")
+    )
+    bad = record_xml.damaged_records(spark, path, by_namespace=True)
+    named = F.regexp_extract("element", "oai:doc:[0-9]+", 0)
+    return good.unionByName(bad.select(F.lit("damaged").alias("kind"), named.alias("identifier"), F.lit(None).cast("string").alias("title")))
+
+
 def audit_damaged_responses(spark, sf_dir):
     docs = dv.table(spark, sf_dir, "documents")
     opening, closing = dv.ENVELOPE.split("{}")
@@ -297,6 +342,7 @@ QUERIES = {
     "select_by_pattern": select_by_pattern,
     "scan_records_xml": scan_records_xml,
     "scan_damaged_records": scan_damaged_records,
+    "scan_prefixed_records": scan_prefixed_records,
     "audit_damaged_responses": audit_damaged_responses,
     "scan_mixed_csv": scan_mixed_csv,
     "resolved_links": resolved_links,
@@ -428,6 +474,11 @@ ORACLES = {
                CASE WHEN doc_id % 50 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'some day' ELSE '2024-01-01T00:00:00Z' END AS stamp,
                CASE WHEN doc_id % 50 > 0 THEN doc_id % 7 = 0 END AS undated
         FROM documents""",
+    "scan_prefixed_records": f"""
+        SELECT CASE WHEN doc_id % 50 IN (7, 13) THEN 'damaged' ELSE 'good' END AS kind,
+               concat('oai:doc:', doc_id) AS identifier,
+               CASE WHEN doc_id % 50 NOT IN (7, 13) THEN {_xml_text(ck.first_line('text'))} END AS title
+        FROM documents WHERE doc_id % 50 <> 21""",
     "audit_damaged_responses": """
         SELECT doc_id, CASE WHEN doc_id % 5 = 3 THEN 2 END AS records,
                CASE WHEN doc_id % 5 <> 3 THEN 'unreadable' END AS error_code, NULL::VARCHAR AS error_text,

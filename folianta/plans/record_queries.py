@@ -121,7 +121,41 @@ def incremental_ingest(spark, sf_dir):
     ).toDF("identifier", "stamp", "deleted")
 
 
+def _landed_versions(spark, sf_dir, drops):
+    """Land the versions of each drop and ingest it; yields the log after each."""
+    events = dv.table(spark, sf_dir, "events")
+    landing, log, checkpoint = (shared_dir(spark, f"ingest-{part}") for part in ("landing", "log", "checkpoint"))
+    for drop in drops:
+        dv.land_records(dv.version_rows(events.filter(drop)), landing)
+        ingest.ingest_available(spark, landing, log, checkpoint)
+        yield log
+
+
+def folded_ingest(spark, sf_dir):
+    """Newest versions held in a state: two batches are folded in, a third is still in the log."""
+    state = shared_dir(spark, "ingest-state")
+    early, late = (F.col("ts") < F.lit(day).cast("timestamp") for day in (END, MIDDLE))
+    for at, log in enumerate(_landed_versions(spark, sf_dir, [early, ~late, ~early & late])):
+        if at < 2:
+            ingest.fold_log(spark, log, state)
+    return ingest.current_records(spark, log, state).select(
+        "identifier",
+        F.date_format("datestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("stamp"),
+        (F.col("status") == record_xml.DELETED).alias("deleted"),
+    )
+
+
+def deep_page(spark, sf_dir):
+    """A page of line items from far inside, in an order that many rows share."""
+    lines = dv.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity")
+    order = [F.col("l_shipdate"), F.desc("l_orderkey"), F.col("l_linenumber")]
+    rest = records.split_at(lines, order, 4_000)[1]
+    return records.split_at(rest, order, 500)[0].select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 QUERIES = {
+    "folded_ingest": folded_ingest,
+    "deep_page": deep_page,
     "harvest_chains": harvest_chains,
     "harvest_summary": harvest_summary,
     "harvest_window": harvest_window,
@@ -157,6 +191,12 @@ _CHAINS = """
     found AS (SELECT *, rank IS NOT NULL AND state <> 'broken' AS kept FROM chains)"""
 
 ORACLES = {
+    "folded_ingest": """
+        SELECT user_id::VARCHAR AS identifier, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS stamp, false AS deleted
+        FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1 AND event_type <> 'error'""",
+    "deep_page": """
+        SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+        ORDER BY l_shipdate, l_orderkey DESC, l_linenumber LIMIT 500 OFFSET 4000""",
     "harvest_chains": f"{_CHAINS} SELECT harvest, page, rank, records, state, kept, harvest_state FROM found",
     "harvest_summary": f"""{_CHAINS}
         SELECT harvest, harvest_state, count(*) AS pages, sum(kept::INT)::BIGINT AS pages_read,

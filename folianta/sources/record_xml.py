@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
+from xml.etree import ElementTree
+from xml.sax.saxutils import escape, quoteattr
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folianta.fixed_values import DUBLIN_CORE_FIELDS
+from folianta.fixed_values import DUBLIN_CORE_FIELDS, NAMESPACES
 from folianta.functions.text import scalar_or_list
+from folianta.storage import bounded_table, materialize
 
 ACTIVE = "active"
 DELETED = "deleted"
@@ -43,6 +48,10 @@ XML_OPTIONS = {
 }
 RECORD_END = "</record>"
 RECORD_START = r"(?=<record[\s>/])"
+PREFIXED_RECORD = r"<[\w.-]+:record[\s>/][^<]*"
+OAI, OAI_DC, DC = (NAMESPACES[name] for name in ("oai", "oai_dc", "dc"))
+HEADER_FIELDS = ["identifier", "datestamp", "setSpec"]
+DECLARATION = r"""xmlns(?::([\w.-]+))?\s*=\s*["']([^"']*)["']"""
 
 
 def shape_records(raw: DataFrame) -> DataFrame:
@@ -92,20 +101,123 @@ def _whole(elements: DataFrame) -> DataFrame:
     return shape_records(good.select("record.header", "record.metadata"))
 
 
-def read_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_records(spark: SparkSession, path: str | Sequence[str], by_namespace: bool = False) -> DataFrame:
     """One row per well-formed ``record`` element with a header below ``path``.
 
-    What is left out is what :func:`damaged_records` gives.
+    Names are taken as they are written: ``record``, ``oai_dc:dc``, ``dc:title``. With
+    ``by_namespace`` they are taken by the namespace that their prefix stands for in the response,
+    whatever the prefix, at the cost of reading the files once more for their declarations and
+    once for each prefix in use. What is left out is what :func:`damaged_records` gives.
     """
+    if by_namespace:
+        return _whole(_canonical_elements(spark, path))
     return _whole(_elements(spark.read.text(path, lineSep=RECORD_END)))
 
 
-def damaged_records(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``(file, element)``: record elements that are not well-formed or lack a header."""
-    lines = spark.read.text(path, lineSep=RECORD_END).select("value", "_metadata.file_path")
-    parts = _elements(lines)
-    bad = F.col(f"record.{DAMAGED}").isNotNull() | F.col("record.header").isNull()
-    return parts.filter(bad).select(F.col("file_path").alias("file"), "element")
+def damaged_records(spark: SparkSession, path: str | Sequence[str], by_namespace: bool = False) -> DataFrame:
+    """``(file, element)``: record elements that :func:`read_records` does not read.
+
+    They are not well-formed or lack a header. Unless names are taken by namespace, elements
+    whose tag has a prefix are among them.
+    """
+    if by_namespace:
+        parts = _canonical_elements(spark, path)
+    else:
+        lines = spark.read.text(path, lineSep=RECORD_END).select("value", F.col("_metadata.file_path").alias("file"))
+        parts = _elements(lines)
+    bad = parts.filter(F.col(f"record.{DAMAGED}").isNotNull() | F.col("record.header").isNull())
+    bad = bad.select("file", "element")
+    if by_namespace:
+        return bad
+    prefixed = F.explode(F.regexp_extract_all("value", F.lit(PREFIXED_RECORD), F.lit(0)))
+    return bad.unionAll(lines.select("file", prefixed.alias("element")))
+
+
+def declared_prefixes(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(file, prefix, uri)``: namespaces declared in each file; a default has an empty prefix.
+
+    Files are read tag by tag, so that one of any size is read by many tasks.
+    """
+    tags = spark.read.text(path, lineSep=">").select("value", F.col("_metadata.file_path").alias("file"))
+    found = [F.regexp_extract_all("value", F.lit(DECLARATION), F.lit(at)) for at in (1, 2)]
+    pairs = F.arrays_zip(*[values.alias(name) for values, name in zip(found, ("prefix", "uri"))])
+    return tags.filter(F.contains("value", F.lit("xmlns"))).select("file", F.inline(pairs)).distinct()
+
+
+def canonical_record(element: str, outside: Mapping[str, str]) -> str | None:
+    """A record element with the names of ``RECORD_SCHEMA``; None if it is not well-formed.
+
+    ``outside`` has the namespaces in force around it, by prefix. An element of that name in
+    another namespace gives an empty text. Fields keep their order and the first of two headers
+    or metadata elements counts.
+    """
+    scope = "".join(f" xmlns{':' * bool(p)}{p}={quoteattr(uri)}" for p, uri in outside.items() if p != "xml")
+    try:
+        record = ElementTree.fromstring(f"<scope{scope}>{element}</scope>")[0]
+    except (ElementTree.ParseError, IndexError):
+        return None
+    oai = {"record": "", f"{{{OAI}}}record": f"{{{OAI}}}"}.get(record.tag)
+    if oai is None:
+        return ""
+    header, dc = record.find(f"{oai}header"), record.find(f".//{{{OAI_DC}}}dc")
+
+    def listed(parent: ElementTree.Element, space: str, names: Sequence[str], written: str) -> str:
+        return "".join(
+            f"<{written}{name}>{escape(found.text or '')}</{written}{name}>"
+            for name in names
+            for found in parent.findall(f"{space}{name}")
+        )
+
+    parts = []
+    if header is not None:
+        status = header.get("status")
+        mark = f" status={quoteattr(status)}" if status is not None else ""
+        parts.append(f"<header{mark}>{listed(header, oai, HEADER_FIELDS, '')}</header>")
+    if dc is not None:
+        fields = listed(dc, f"{{{DC}}}", DUBLIN_CORE_FIELDS, "dc:")
+        parts.append(f"<metadata><oai_dc:dc>{fields}</oai_dc:dc></metadata>")
+    return f"<record>{''.join(parts)}</record>"
+
+
+def _canonical_elements(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """``(file, element, record)`` of record elements of any prefix, read by namespace.
+
+    Files are cut at the end tags of one prefix after the other. A file's declarations hold for
+    all its elements, unless one declares a prefix again for itself.
+    """
+    known = materialize(declared_prefixes(spark, path), "declared-prefixes")
+    records = known.filter((F.col("uri") == OAI) & (F.col("prefix") != ""))
+    prefixes = [row[0] for row in records.select("prefix").distinct().orderBy("prefix").collect()]
+    pair = F.struct("prefix", "uri")
+    scopes = bounded_table(
+        known.groupBy("file", "prefix").agg(F.min("uri").alias("uri")).groupBy("file").agg(F.collect_list(pair).alias("scope"))
+    )
+    canonical = F.pandas_udf(_canonical, "string")
+    found = None
+    for prefix in ("", *prefixes):
+        name = f"{prefix}:record" if prefix else "record"
+        lines = spark.read.text(path, lineSep=f"</{name}>").select("value", F.col("_metadata.file_path").alias("file"))
+        if prefix:
+            lines = lines.join(bounded_table(records.filter(F.col("prefix") == prefix).select("file").distinct()), "file", "left_semi")
+        pieces = F.split(F.concat(F.lit(" "), "value"), rf"(?=<{re.escape(name)}[\s>/])")
+        pieces = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+        each = lines.join(scopes, "file", "left").select("file", "scope", F.size(pieces).alias("n"), F.posexplode(pieces).alias("at", "element"))
+        closed = F.when(F.col("at") == F.col("n") - 1, F.concat("element", F.lit(f"</{name}>")))
+        part = each.select("file", "element", canonical(closed, F.transform("scope", lambda s: F.concat_ws(" ", s["prefix"], s["uri"]))).alias("text"))
+        found = part if found is None else found.unionAll(part)
+    schema = T.StructType([*RECORD_SCHEMA.fields, T.StructField(DAMAGED, T.StringType())])
+    parsed = F.from_xml(F.coalesce("text", F.lit("<record>")), schema, XML_OPTIONS)
+    return found.filter(~F.coalesce(F.col("text") == "", F.lit(False))).select("file", "element", parsed.alias("record"))
+
+
+def _canonical(elements: pd.Series, scopes: pd.Series) -> pd.Series:
+    def named(scope) -> dict[str, str]:
+        return dict(name.split(" ", 1) for name in scope) if scope is not None else {}
+
+    return pd.Series(
+        [None if element is None else canonical_record(element, named(scope)) for element, scope in zip(elements, scopes)],
+        dtype=object,
+    )
 
 
 def stream_records(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:

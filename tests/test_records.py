@@ -266,3 +266,98 @@ def test_ingest_equals_batch(spark, folder, sf_dir, watermark):
         events, "user_id", "ts", F.col("event_type") == "error", "event_id"
     )
     assert got == {(str(r["user_id"]), r["ts"]) for r in batch.collect()}
+
+
+def test_records_by_namespace(spark, folder):
+    from folianta.fixed_values import NAMESPACES as N
+
+    oai, box, dc = N["oai"], N["oai_dc"], N["dc"]
+    assert record_xml.canonical_record(
+        f'<a:record><a:header status="x&amp;y"><a:identifier>1&lt;</a:identifier></a:header><a:metadata><dc xmlns="{box}">'
+        f'<title xmlns="{dc}">t</title><b:title xmlns:b="{dc}">u</b:title><title>no</title></dc></a:metadata></a:record>',
+        {"a": oai, "": "urn:else"},
+    ) == (
+        '<record><header status="x&amp;y"><identifier>1&lt;</identifier></header>'
+        "<metadata><oai_dc:dc><dc:title>t</dc:title><dc:title>u</dc:title></oai_dc:dc></metadata></record>"
+    )
+    assert record_xml.canonical_record("<a:record/>", {"a": "urn:else"}) == ""
+    assert record_xml.canonical_record(f'<a:record xmlns:a="{oai}"/>', {"a": "urn:else"}) == "<record></record>"
+    assert record_xml.canonical_record("<a:record/>", {}) is None
+    body = (
+        f'<o:OAI xmlns:o="{oai}" xmlns:d="{dc}" xmlns:m="{box}"><o:record><o:header><o:identifier>1</o:identifier></o:header>'
+        "<o:metadata><m:dc><d:title>T</d:title></m:dc></o:metadata></o:record><o:record><o:header></o:record>"
+        "<record><header><identifier>2</identifier></header></record></o:OAI>"
+    )
+    Path(folder, "a.xml").write_text(body)
+    Path(folder, "b.xml").write_text("<x><record><header><identifier>3</identifier></header></record></x>")
+    good = record_xml.read_records(spark, folder, by_namespace=True).orderBy("identifier").collect()
+    assert [(r["identifier"], r["dc"] and r["dc"]["title"]) for r in good] == [("1", ["T"]), ("2", None), ("3", None)]
+    bad = record_xml.damaged_records(spark, folder, by_namespace=True).collect()
+    assert [r["element"] for r in bad] == ["<o:record><o:header>"]
+    plain = record_xml.damaged_records(spark, folder).collect()
+    assert sorted(r["element"] for r in plain) == ["<o:record>", "<o:record>"]  # listed, not lost
+    assert record_xml.declared_prefixes(spark, folder).count() == 3
+
+
+def test_split_at_every_place(spark, monkeypatch):
+    import random
+
+    pick = random.Random(3)
+    rows = [(pick.choice([None, 1, 1, 1, 2, 5]), pick.randrange(3), "same") for _ in range(90)] + [(7, 7, "copy")] * 60
+    frame = spark.createDataFrame(rows, "a int, b int, c string")
+    order = [F.desc_nulls_last("a"), F.col("b")]
+    known = [tuple(r) for r in frame.orderBy(*order).collect()]
+    for few, places in ((50_000, (0, 60, 400)), (20, (1, 89, 130, 150))):
+        monkeypatch.setattr(records, "FEW_ROWS", few)
+        for place in places:
+            before, after = records.split_at(frame, order, place)
+            assert [tuple(r) for r in before.orderBy(*order).collect()] == known[:place]
+            assert [tuple(r) for r in after.orderBy(*order).collect()] == known[place:]
+    assert [tuple(r) for r in records.all_results(frame, order, 3, 20, 50).collect()] == known[40:90]
+    assert [tuple(r) for r in records.all_results(frame, order, 4, 20).collect()] == known[60:]
+    assert [r.count() for r in records.split_at(frame.limit(0), order, 3)] == [0, 0]
+
+
+def test_no_task_gets_all_rows_of_a_cut(spark, monkeypatch):
+    monkeypatch.setattr(records, "FEW_ROWS", 100)
+    frame = spark.range(10_000).select((F.col("id") % 2).alias("hot"), "id")
+    found = records.all_results(frame, [F.col("hot")], 50, 100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 5_100
+    rows = records.split_at(frame, [F.col("hot")], 4_900)[0]
+    sizes = rows.withColumn("p", F.spark_partition_id()).groupBy("p").count().collect()
+    assert max(r["count"] for r in sizes) < 4_900 and "GlobalLimit" not in plan.split("Union")[0]
+
+
+def test_state_reads_new_batches_and_touched_buckets_only(spark, folder, sf_dir):
+    from folianta.plans import derived as dv
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    landing, log, checkpoint, state = (f"{folder}/{n}" for n in ("landing", "log", "checkpoint", "state"))
+
+    def drop(rows):
+        dv.land_records(dv.version_rows(rows), landing)
+        ingest.ingest_available(spark, landing, log, checkpoint)
+
+    def found(*state):
+        return sorted(map(str, ingest.current_records(spark, log, *state).drop("dc", "sets").collect()))
+
+    late = F.col("ts") >= F.lit("2024-01-20").cast("timestamp")
+    drop(events.filter(~late))
+    first = ingest.fold_log(spark, log, state, buckets=8)
+    assert first == events.filter(~late).count()
+    assert found(state) == found()
+    users = [r[0] for r in events.filter(late).select("user_id").distinct().orderBy("user_id").limit(2).collect()]
+    few = events.filter(late & F.col("user_id").isin(users))
+    drop(few)
+    assert found(state) == found()  # folded and new versions together
+    second = ingest.fold_log(spark, log, state, buckets=8)
+    people = events.filter(~late).select("user_id").distinct().count()
+    assert few.count() <= second < few.count() + 2 / 3 * people  # two of eight buckets at most
+    assert ingest.fold_log(spark, log, state, buckets=8) == 0
+    assert found(state) == found()
+    drop(events.filter(late))
+    ingest.fold_log(spark, log, state, buckets=8)
+    assert found(state) == found()
+    plan = ingest.current_records(spark, log, state)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
