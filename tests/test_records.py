@@ -361,3 +361,28 @@ def test_state_reads_new_batches_and_touched_buckets_only(spark, folder, sf_dir)
     assert found(state) == found()
     plan = ingest.current_records(spark, log, state)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+@pytest.mark.parametrize("size", ["37b", "200b", "3k"])
+def test_csv_read_by_blocks_is_the_one_task_reader(spark, folder, size):
+    import csv
+    import random
+
+    pick = random.Random(11)
+    cells = ["", "plain", 'say ""x""', "two\nlines", "a,b", '"', "\n\n", "NA", "é ü", "x" * 90, 'q"\n"r', " pad "]
+    for file in range(3):
+        with open(f"{folder}/{file}.csv", "w", newline="") as out:
+            writer = csv.writer(out, lineterminator="\r\n" if file == 1 else "\n", quoting=csv.QUOTE_MINIMAL)
+            writer.writerow(["dc.title[en]", "dc.type[es]", "other"][: 3 - (file == 2)])
+            for at in range(60):
+                writer.writerow([f"t{file}-{at} " + pick.choice(cells), pick.choice(cells), pick.choice(cells)][: 3 - (file == 2)])
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    known = sorted(map(str, wide_csv.read_wide_csv(spark, folder).collect()))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        rows = wide_csv.read_wide_csv(spark, folder)
+        assert sorted(map(str, rows.collect())) == known and len(known) == 180
+        blocks = spark.read.text(folder).select("_metadata.file_path", "_metadata.file_block_start").distinct().count()
+        assert blocks > 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
