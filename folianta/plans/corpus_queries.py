@@ -129,6 +129,15 @@ def convert_wide_records(spark, sf_dir):
     return done.withColumn("subjects", F.array_join("subjects", MARK))
 
 
+def conversion_counters(spark, sf_dir):
+    """Rows read and rows with a title, counted while records are converted."""
+    observation = Observation("conversion")
+    done = wide_csv.convert_records(dv.wide_export(dv.documents(spark, sf_dir)), observation=observation)
+    kept = done.agg(F.count("*").alias("value")).select(F.lit("written").alias("counter"), "value")
+    kept = materialize(kept, "conversion-count")
+    return kept.unionByName(spark.createDataFrame(list(observation.get.items()), "counter string, value bigint"))
+
+
 def select_by_pattern(spark, sf_dir):
     wide = dv.wide_export(dv.documents(spark, sf_dir))
     return wide_csv.select_like(wide, ["type[", "materias["])
@@ -339,6 +348,7 @@ QUERIES = {
     "roundtrip_jsonl": roundtrip_jsonl,
     "scan_wide_csv": scan_wide_csv,
     "convert_wide_records": convert_wide_records,
+    "conversion_counters": conversion_counters,
     "select_by_pattern": select_by_pattern,
     "scan_records_xml": scan_records_xml,
     "scan_damaged_records": scan_damaged_records,
@@ -455,6 +465,11 @@ ORACLES = {
         FROM (SELECT *, {ck.clean(_WIDE_TITLE)} AS t, {ck.words()} AS w10, list_reverse({ck.words()}) AS w6,
                      {dv.TYPE_SQL} AS k FROM documents))
         WHERE title <> ''""",
+    "conversion_counters": f"""
+        WITH titled AS (SELECT n_chars > 1000 AND t <> '' OR lang IN ('en', 'de', 'fr', 'es') AND t <> '' AS valid
+                        FROM (SELECT *, {ck.clean(_WIDE_TITLE)} AS t FROM documents))
+        SELECT 'read' AS counter, count(*) AS value FROM titled
+        UNION ALL SELECT unnest(['valid', 'written']), count(*) FILTER (valid) FROM titled""",
     "select_by_pattern": f"""
         SELECT CASE WHEN n_chars < 2000 THEN lang END AS "dc.subject.materias[es]",
                CASE WHEN lang <> 'en' THEN {dv.TYPE_SQL} ELSE 'NA' END AS "dc.type[es]",

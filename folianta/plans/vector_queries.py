@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folianta import fixed_values as fixed
 from folianta.functions import vectors as vec
 from folianta.operators import positions, projection, subword
+from folianta.operators import token_vectors as token_vectors_of
 from folianta.plans import checks as ck
 from folianta.plans import derived as dv
 from folianta.storage import bounded_table, shared_dir
@@ -156,6 +157,24 @@ def token_vectors(spark, sf_dir):
     )
 
 
+def _prefix_model(spark, sf_dir):
+    """The most frequent words as pieces, and every character as a piece inside a word."""
+    counts = _counts(spark, sf_dir)
+    words = [r["token"] for r in subword.frequency_vocabulary(counts, VOCABULARY).orderBy("id").collect()]
+    chars = counts.select(F.explode(F.split("word", "")).alias("c")).distinct().orderBy("c").collect()
+    mark = fixed.CONTINUATION_PREFIX
+    pieces = [subword.UNKNOWN, *words, *[mark + r["c"] for r in chars]]
+    return subword.SubwordModel("wordpiece", pieces, prefix=mark, longest_word=None)
+
+
+def first_piece_vectors(spark, sf_dir):
+    vectors = _embeddings(spark, sf_dir).select(F.col("vec_id").alias("id"), "v")
+    # a word that begins like the mark could be taken for a piece inside a word
+    words = _counts(spark, sf_dir).filter(~F.col("word").startswith(fixed.CONTINUATION_PREFIX))
+    found = token_vectors_of.first_piece_vectors(spark, _prefix_model(spark, sf_dir), words, vectors)
+    return found.select("word", "n", "piece", F.col("id").cast("bigint").alias("id"), vec.format_vector(F.col("v")).alias("vector"))
+
+
 def token_occurrences(spark, sf_dir):
     return positions.token_occurrences(dv.documents(spark, sf_dir), TARGET)
 
@@ -312,6 +331,7 @@ QUERIES = {
     "pca_lengths": pca_lengths,
     "pca_distances": pca_distances,
     "token_vectors": token_vectors,
+    "first_piece_vectors": first_piece_vectors,
     "token_occurrences": token_occurrences,
     "occurrence_pairs": occurrence_pairs,
     "positional_encoding": positional_encoding,
@@ -389,6 +409,12 @@ ORACLES = {
     "pca_distances": f"""
         SELECT vec_id, round(list_sum(list_transform(list_zip(a, b), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 5) AS squares
         FROM ({_PAIRS})""",
+    "first_piece_vectors": f"""
+        WITH w AS ({_WORDS}), v AS ({_VOCAB}),
+        firsts AS (SELECT w.word, w.n, arg_max(v.token, length(v.token)) AS piece
+                   FROM w JOIN v ON starts_with(w.word, v.token) WHERE NOT starts_with(w.word, '##') GROUP BY w.word, w.n)
+        SELECT word, firsts.n, piece, v.id + 1 AS id, {_text('e.v', 2)} AS vector
+        FROM firsts JOIN v ON v.token = piece JOIN ({_V}) e ON e.vec_id = v.id + 1""",
     "token_vectors": f"SELECT token, id, {_text('v', 2)} AS vector FROM ({_RANKED}) JOIN ({_V}) ON vec_id = id",
     "token_occurrences": _HITS,
     "occurrence_pairs": f"""

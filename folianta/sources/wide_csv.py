@@ -7,9 +7,10 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from folianta import fixed_values as fixed
 from folianta.functions.text import best_by_language, merge_lists, split_list
@@ -169,15 +170,53 @@ def write_wide_csv(df: DataFrame, path: str) -> None:
     df.write.options(**options).csv(path)
 
 
-def convert_records(wide: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """``(title, abstract, type, subjects)`` of every row that has a title."""
+def convert_records(
+    wide: DataFrame, keep: Sequence[str] = (), observation: Observation | str | None = None
+) -> DataFrame:
+    """``(title, abstract, type, subjects)`` of every row that has a title.
+
+    ``observation`` counts the rows ``read`` and those ``valid``, as they pass: an Observation for a
+    batch, a name for a stream (see :class:`ConversionCounters`).
+    """
     names = wide.columns
     subjects = columns_like(names, fixed.SUBJECT_PATTERNS)
     lists = [split_list(F.col(f"`{name}`")) for name in subjects]
-    return wide.select(
+    converted = wide.select(
         *keep,
         best_by_language(columns_like(names, fixed.TITLE_PATTERNS)).alias("title"),
         best_by_language(columns_like(names, fixed.ABSTRACT_PATTERNS)).alias("abstract"),
         best_by_language(columns_like(names, fixed.TYPE_PATTERNS)).alias("type"),
         (merge_lists(*lists) if lists else F.array().cast("array<string>")).alias("subjects"),
-    ).filter(F.col("title") != "")
+    )
+    valid = F.col("title") != ""
+    if observation is not None:
+        converted = converted.observe(
+            observation, F.count("*").alias("read"), F.count(F.when(valid, True)).alias("valid")
+        )
+    return converted.filter(valid)
+
+
+class ConversionCounters(StreamingQueryListener):
+    """Sums the counters of observed conversions over all batches of the streams of a session.
+
+    Add it with ``spark.streams.addListener``; ``totals`` has ``read`` and ``valid`` by the name given to
+    :func:`convert_records`.
+    """
+
+    def __init__(self) -> None:
+        self.totals: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            known = self.totals.setdefault(name, {})
+            for counter, value in row.asDict().items():
+                known[counter] = known.get(counter, 0) + value
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -386,3 +386,25 @@ def test_csv_read_by_blocks_is_the_one_task_reader(spark, folder, size):
         assert blocks > 3
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
+def test_conversion_counters_of_a_stream(spark, folder):
+    wide = [("A", None), ("", "x"), (None, "y"), ("B", "z")]
+    rows = spark.createDataFrame(wide, "`dc.title[en]` string, `dc.type[en]` string")
+    counters = wide_csv.ConversionCounters()
+    spark.streams.addListener(counters)
+    try:
+        for at in range(2):
+            rows.write.mode("append").parquet(f"{folder}/in")
+            stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+            done = wide_csv.convert_records(stream, observation="conversion").writeStream.format("noop")
+            done.option("checkpointLocation", f"{folder}/check").trigger(availableNow=True).start().awaitTermination()
+        import time
+
+        for _ in range(100):
+            if counters.totals.get("conversion", {}).get("read") == 8:
+                break
+            time.sleep(0.1)
+        assert counters.totals == {"conversion": {"read": 8, "valid": 4}}
+    finally:
+        spark.streams.removeListener(counters)
