@@ -272,8 +272,11 @@ def resolved_links(spark, sf_dir):
     page = F.concat(
         F.lit("<!-- <a href='/item/hidden'>x</a> --><a href='/item/"), number, F.lit("?a=1&amp;b=2'>1</a><a href=\"/item/"), number,
         F.lit("?a=1&b=2\">2</a><a href=item/next>3</a><a href='//other.example/item/4'>4</a>"
-              "<a href='https://third.example/item/5'>5</a><a href='?item=6'>6</a>"),
+              "<a href='https://third.example/item/5'>5</a><a href='?item=6'>6</a>"
+              "<script>if (a < b) w(\"<a href='/item/script'>x</a>\"); // <!-- </script><a href='../x/./item/7/'>7</a>"
+              "<style><a href='/item/style'></style><textarea><a href='/item/area'></textarea>"),
     )
+    page = F.concat(F.when(F.col("page_id") % 2 == 0, "<base target=x><base href='/root/a/../b/c'>").otherwise(""), page)
     own = F.concat(F.lit("https://site.example/list/"), number, F.lit("/page.html?q=/x/"))
     made = pages.select("page_id", own.alias("address"), page.alias("html"))
     return html.page_links(made, "page_id", needle="item", deny=[], base="address")
@@ -505,9 +508,12 @@ ORACLES = {
         FROM documents""",
     "resolved_links": """
         SELECT page_id, unnest([concat('https://site.example/item/', page_id, '?a=1&b=2'),
-            concat('https://site.example/list/', page_id, '/item/next'), 'https://other.example/item/4',
-            'https://third.example/item/5', concat('https://site.example/list/', page_id, '/page.html?item=6')]) AS href
-        FROM pages""",
+            concat(folder, 'item/next'), 'https://other.example/item/4', 'https://third.example/item/5',
+            concat(page, '?item=6'), concat(above, 'x/item/7/')]) AS href
+        FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://site.example/root/b/c'
+                     ELSE concat('https://site.example/list/', page_id, '/page.html') END AS page,
+                     regexp_replace(page, '[^/]*$', '') AS folder, regexp_replace(page, '[^/]*/[^/]*$', '') AS above
+              FROM pages)""",
     "flat_records": f"""
         SELECT CASE WHEN {_DELETED} THEN to_json(concat('oai:doc:', doc_id))
                     ELSE to_json(concat('doc/', doc_id)) END::VARCHAR AS identifier,

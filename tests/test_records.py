@@ -408,3 +408,51 @@ def test_conversion_counters_of_a_stream(spark, folder):
         assert counters.totals == {"conversion": {"read": 8, "valid": 4}}
     finally:
         spark.streams.removeListener(counters)
+
+
+def test_references_are_resolved_like_urljoin(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://h.x/a/b/c.html?q=/r/#f", "https://h.x", "http://h.x/a/", "http://h.x/a/b/../c/"]
+    hrefs = [
+        "g", "./g", "g/", "/g", "//o.x/g", "?y", "g?y/../z", "#s", "g#s/../t", "..", "../", "../g", "../..", "../../g",
+        "../../../../g", ".", "./", "/./g", "/../g", "g.", ".g", "..g", "./../g", "./g/.", "g/./h", "g/../h",
+    ]
+    rows = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "base string, href string")
+    found = rows.select("*", html.absolute(F.col("href"), F.col("base")).alias("url")).collect()
+    for row in found:
+        plain = {"https://h.x": "https://h.x/", "http://h.x/a/b/../c/": "http://h.x/a/c/"}
+        expected = urljoin(plain.get(row["base"], row["base"]), row["href"])
+        assert row["url"].removesuffix("/") == expected.removesuffix("/"), row
+
+
+def test_markup_is_found_like_a_parser(spark):
+    import random
+    from html.parser import HTMLParser
+
+    class Links(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a" and dict(attrs).get("href"):
+                self.found.append(dict(attrs)["href"])
+
+    parts = [
+        '<a href="/handle/{}">x</a>', "<A class=b HREF='/handle/{}'>", "<!-- <a href='/handle/{}'> -->", "text {} < 3",
+        "<script type='x>y'>w('<a href=/handle/{}>')</script>", "<STYLE>a {{ }} <a href='/handle/{}'></STYLE >",
+        "<script>// <!-- <a href='/handle/{}'></script>", "<!-- <script> --><a href='/handle/{}'>", "<a-b href='/handle/{}'>",
+        "<p title='<a href=/handle/{}>'>", "<script></script><a href=/handle/{}>", "<abbr href='/handle/{}'>",
+    ]
+    pick = random.Random(2)
+    pages = ["".join(pick.choice(parts).format(f"{i}-{j}") for j in range(8)) for i in range(60)]
+    frame = spark.createDataFrame(list(enumerate(pages)), "id int, html string")
+    mine = {}
+    for row in html.page_links(frame, "id", deny=[]).collect():
+        mine.setdefault(row["id"], []).append(row["href"])
+    for i, page in enumerate(pages):
+        parser = Links()
+        parser.feed(page)
+        parser.close()
+        assert sorted(mine.get(i, [])) == sorted(set(parser.found)), page
