@@ -5,8 +5,8 @@ Lines within ``THRESHOLD`` = 1 edit of each other are linked. A line is split in
 in the other, the first at its start or the second at its end. So every line is entered under
 its two segments with its length, and looks them up in lines of its own length and of one
 character less. Lines under one key that share a segment are verified with a banded bit-parallel
-edit distance. Lines shorter than ``LEAST`` characters are compared as a whole only: one edit is
-a large part of them.
+edit distance. Lines of one character are compared as a whole only: each of them is one edit from
+every other one, and from all lines of two characters that hold it.
 
 A segment that many lines share (a common beginning, a counter at the end) is not compared
 pair by pair: of the part of the lines that is not known to agree, one half must agree again, so
@@ -28,7 +28,7 @@ from folianta.llm.tables import numbered, small
 from folianta.storage import materialize
 
 THRESHOLD = 1
-LEAST = 12
+LEAST = 2
 TOGETHER = 16
 
 
@@ -228,16 +228,16 @@ WITH RECURSIVE lines AS (
 ), met AS (
     SELECT a.line AS a, b.line AS b, a.size AS size, b.size - a.size AS more
     FROM lines a JOIN lines b ON a.size = b.size AND left(a.line, a.size // 2) = left(b.line, a.size // 2) AND a.line < b.line
-    WHERE a.size >= 12
+    WHERE a.size >= 2
     UNION SELECT a.line, b.line, a.size, b.size - a.size
     FROM lines a JOIN lines b ON a.size = b.size AND right(a.line, a.size - a.size // 2) = right(b.line, a.size - a.size // 2) AND a.line < b.line
-    WHERE a.size >= 12
+    WHERE a.size >= 2
     UNION SELECT a.line, b.line, a.size, b.size - a.size
     FROM lines a JOIN lines b ON a.size = b.size - 1 AND left(a.line, a.size // 2) = left(b.line, a.size // 2)
-    WHERE a.size >= 12
+    WHERE a.size >= 2
     UNION SELECT a.line, b.line, a.size, b.size - a.size
     FROM lines a JOIN lines b ON a.size = b.size - 1 AND right(a.line, a.size - a.size // 2) = right(b.line, a.size - a.size // 2)
-    WHERE a.size >= 12
+    WHERE a.size >= 2
 ), links AS (
     SELECT a, b FROM met
     WHERE len(list_filter(range(0, size + 1), lambda i: left(a, i) = left(b, i)
