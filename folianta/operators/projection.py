@@ -12,12 +12,11 @@ import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folianta.functions.vectors import as_doubles
+from folianta.storage import materialize
 
 MAX_COMPONENTS = 4
 
@@ -59,12 +58,48 @@ def pca_project(
     return apply_pca(fit_pca(rows, vector, min(components, available)), rows, vector, output)
 
 
+FOLDED = 16  # triangles of one task in the tree
+
+
+def _folded(triangle: np.ndarray | None, block: np.ndarray) -> np.ndarray:
+    return np.linalg.qr(block if triangle is None else np.vstack([triangle, block]), mode="r")
+
+
+def triangle(rows: DataFrame, vector: str, basis: np.ndarray | None = None) -> np.ndarray:
+    """R of the QR decomposition of all rows (times ``basis``), which has their singular values.
+
+    Each partition folds its rows into one triangle of at most as many rows as columns, and
+    triangles are folded ``FOLDED`` at a time, level by level, until one is left. No product of
+    the matrix with itself is formed, so small singular values keep their digits.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(basis)
+
+    def of_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = None
+        for frame in frames:
+            if len(frame):
+                block = np.stack(frame["v"]).astype(float)
+                found = _folded(found, block if shared.value is None else block @ shared.value)
+        if found is not None:
+            yield pd.DataFrame({"cells": list(found)})
+
+    def of_triangles(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": int(key[0]), "cells": list(_folded(None, np.stack(frame["cells"])))})
+
+    numbered = rows.select(as_doubles(F.col(vector)).alias("v")).mapInPandas(of_rows, "cells array<double>")
+    parts = materialize(numbered.select(F.spark_partition_id().alias("part"), "cells"), "triangles")
+    while parts.agg(F.max("part")).first()[0]:
+        level = F.floor(F.col("part") / FOLDED).cast("int").alias("level")
+        folded = parts.groupBy(level).applyInPandas(of_triangles, "part int, cells array<double>")
+        parts = materialize(folded, "triangles")
+    return np.array([row["cells"] for row in parts.select("cells").collect()])  # one triangle
+
+
 def exact_right_vectors(rows: DataFrame, vector: str, rank: int) -> tuple[np.ndarray, np.ndarray]:
-    """Singular values and right singular vectors ``(width, rank)`` by MLlib."""
-    column = rows.select(array_to_vector(as_doubles(F.col(vector))).alias("v"))
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(column, "v"))
-    found = matrix.computeSVD(rank, computeU=False)
-    return np.array(found.s), found.V.toArray()
+    """Singular values and right singular vectors ``(width, rank)`` by QR in a tree."""
+    _, values, right = np.linalg.svd(triangle(rows, vector))
+    kept = min(rank, len(values))
+    return values[:kept], right[:kept].T
 
 
 def _summed_product(
@@ -119,12 +154,9 @@ def randomized_right_vectors(
             rows, vector, lambda block, b=basis: block.T @ (block @ b), width
         )
     basis, _ = np.linalg.qr(basis)
-    gram = _summed_product(
-        rows, vector, lambda block, b=basis: (block @ b).T @ (block @ b), sketch
-    )
-    squares, turn = np.linalg.eigh(gram)
-    leading = np.argsort(squares)[::-1][:rank]
-    return np.sqrt(np.maximum(squares[leading], 0.0)), basis @ turn[:, leading]
+    _, values, turn = np.linalg.svd(triangle(rows, vector, basis))
+    kept = min(rank, len(values))
+    return values[:kept], basis @ turn[:kept].T
 
 
 def truncated_svd(

@@ -92,6 +92,21 @@ def test_truncated_svd(table, method):
     assert np.allclose(np.abs(axes @ vt[:3].T), np.eye(3), atol=1e-4)
 
 
+def test_small_singular_values_keep_their_digits(spark, monkeypatch):
+    monkeypatch.setattr(projection, "FOLDED", 3)
+    pick = np.random.default_rng(8)
+    u, v = (np.linalg.qr(pick.standard_normal(shape))[0] for shape in ((400, 6), (6, 6)))
+    wanted = np.array([1.0, 1e-2, 1e-4, 1e-6, 1e-8, 1e-10])
+    matrix = u * wanted @ v.T
+    rows = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(matrix)], "id int, v array<double>")
+    for spread in (rows.coalesce(1), rows.repartition(13)):
+        values, left = projection.truncated_svd(spread, "v", 6, side="left")
+        assert np.allclose(values, np.linalg.svd(matrix)[1], rtol=1e-5)
+        mine = collected(left, "factors")
+        assert np.allclose(np.abs(mine.T @ u), np.eye(6), atol=1e-5)
+    assert projection.triangle(rows.limit(2), "v").shape == (2, 6)
+
+
 def test_feed_forward(table):
     w1, b1, w2, b2 = RNG.random((9, 5)), RNG.random(5), RNG.random((5, 9)), RNG.random(9)
     layers = [(w1, b1), (w2, b2)]
