@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folianta.llm.tables import small
 from folianta.storage import materialize
 
 # Per tool: types of its arguments, those it cannot do without, whether others are allowed.
@@ -120,8 +121,23 @@ def levels(calls: DataFrame) -> DataFrame:
         "call-edges",
     )
     waiting = materialize(edges.groupBy("key").agg(F.count("*").alias("open")), "call-waiting")
-    if (waiting.agg(F.max("open")).first()[0] or 0) <= 1:
+    # needs stay in their conversation, so conversations of chains alone never wait for others
+    conversation = F.substring_index("key", "\x00", 1).alias("of")
+    branching = materialize(waiting.where("open > 1").select(conversation).distinct(), "branching-conversations")
+    if branching.isEmpty():
         return _chain_levels(known, edges)
+    branching = small(branching, 32)
+
+    def part(rows: DataFrame, how: str) -> DataFrame:
+        return rows.select(conversation, *rows.columns).join(branching, "of", how).drop("of")
+
+    chains = _chain_levels(part(known, "left_anti"), part(edges, "left_anti"))
+    return chains.unionAll(_branch_levels(*(part(rows, "left_semi") for rows in (known, edges, waiting))))
+
+
+def _branch_levels(known: DataFrame, edges: DataFrame, waiting: DataFrame) -> DataFrame:
+    """Levels by Kahn's rounds: a call is placed once all calls that it needs are."""
+    edges, waiting = materialize(edges, "call-edges"), materialize(waiting, "call-waiting")
     placed = materialize(
         known.join(waiting, "key", "left_anti").select("key", F.lit(0).alias("level")), "call-level"
     )

@@ -46,3 +46,43 @@ def test_every_language_is_sampled_and_copies_count_once(spark, monkeypatch):
     seen.clear()
     language.fit(docs.distinct().where("text LIKE '% 3 %'"), rows_per_language=600)
     assert np.bincount(seen[0]).tolist() == [1, 1] and len(seen[1]) == 0
+
+
+def test_branching_chains_cycles_and_repeats(spark, monkeypatch):
+    """Levels are longest ways; conversations of chains alone do not wait for others."""
+    rounds = []
+    keep = tool_calls.materialize
+    monkeypatch.setattr(tool_calls, "materialize", lambda df, name: rounds.append(name) or keep(df, name))
+    good = '{"address":"x"}'
+    needs = {
+        1: {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(120)},
+        2: {"a": [], "b": ["a"], "c": ["a", "b"], "d": ["c", "a", "a"], "e": []},
+        3: {"x": ["y"], "y": ["x"], "z": ["x", "w"], "w": []},
+        4: {"p": ["p"], "q": ["gone"], "r": ["q"]},
+    }
+    rows = [(c, k, at, "open", good, n) for c, calls in needs.items() for at, (k, n) in enumerate(calls.items())]
+    rows += [(2, "a", 50, "open", good, []), (2, None, 51, "open", good, []), (5, "s", 0, "unheard", good, None), (None, "n", 0, "open", '{"more":1}', [])]
+    calls = spark.createDataFrame(
+        rows, "conv_id bigint, call_id string, turn int, tool string, arguments string, depends_on array<string>"
+    ).selectExpr("*", "'x' AS key", "'y' AS level", "'z' AS need", "'w' AS of", "'v' AS open")
+    answers = [(1, "c0", 3, "late"), (1, "c0", 1, "early"), (2, "a", 9, None), (9, "c0", 0, "other")]
+    results = spark.createDataFrame(answers, "conv_id bigint, call_id string, turn int, content string")
+    found = {(r["conv_id"], r["call_id"], r["turn"]): r for r in tool_calls.link_calls(calls, results).collect()}
+    assert len(found) == len(rows)
+    levels = {k[:2]: r["level"] for k, r in found.items() if k[2] < 50 or k[0] == 1}
+    assert all(levels[1, f"c{i}"] == i for i in range(120))
+    assert [levels[2, k] for k in "abcde"] == [0, 1, 2, 3, 0]
+    assert [levels[3, k] for k in "xyzw"] == [None, None, None, 0] and [levels[4, k] for k in "pqr"] == [None, 0, 1]
+    errors = {k: r["errors"] for k, r in found.items()}
+    assert all("cycle" in errors[3, k, at] for at, k in enumerate("xyz")) and "cycle" in errors[4, "p", 0]
+    assert errors[4, "q", 1] == ["depends:gone"] and "repeated" in errors[2, "a", 50] and "id" in errors[2, None, 51]
+    assert errors[5, "s", 0] == ["tool:unheard"] and errors[None, "n", 0] == ["missing:address"]
+    assert [found[1, "c0", 0]["linked"], found[2, "a", 0]["linked"], found[1, "c1", 1]["linked"]] == [True, True, False]
+    assert '"early"' in found[1, "c0", 0]["json"]
+    assert rounds.count("call-ways") <= 10 and rounds.count("call-waiting") <= 8
+
+
+def test_no_calls(spark):
+    calls = spark.createDataFrame([], "conv_id bigint, call_id string, turn int, tool string, arguments string, depends_on array<string>")
+    results = spark.createDataFrame([], "conv_id bigint, call_id string, turn int, content string")
+    assert tool_calls.link_calls(calls, results).collect() == []
