@@ -1,6 +1,7 @@
 """License scan as an exact set-similarity join of text blocks with license templates.
 
-A block is a line of a document, a template the set of words of a license notice. A block
+A block is a paragraph of a document, the lines between two empty ones, so that a notice may be
+wrapped; a template is the set of words of a license notice. A block
 matches if it holds at least ``CONTAINMENT`` of a template's words. Words are ordered by how
 often they occur in all documents, rarest first. Of a template of n words that needs m, any
 match holds one of its n - m + 1 rarest (prefix filter), has at least m words of the templates'
@@ -95,6 +96,13 @@ def word_counts(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
     return dict.fromkeys(vocabulary, 0) | {vocabulary[r["word"]]: r["places"] for r in sums}
 
 
+def _paragraph_ends(data: np.ndarray) -> np.ndarray:
+    """Places of line ends that close an empty line."""
+    ends = np.flatnonzero(data == 10)
+    filled = np.concatenate([[0], np.cumsum(~np.isin(data, (9, 10, 13, 32)))])
+    return ends[1:][filled[ends[1:]] == filled[ends[:-1]]]
+
+
 def _scan(ordered: list[str], rare: np.ndarray, least: int, phrases: list[tuple[str, str]], names: list[str]):
     known = _hashes(ordered)
     wanted = [(phrase, label, _hashes(phrase.split(" "))) for phrase, label in phrases]
@@ -119,15 +127,15 @@ def _scan(ordered: list[str], rare: np.ndarray, least: int, phrases: list[tuple[
                         places[text].append(at - int(first[text]))
                         labels[text].add(label)
             numbers = _numbers(words.hashes, known)
-            lines = np.searchsorted(np.flatnonzero(words.data == 10), words.starts) + owner
-            hit = np.isin(lines, np.unique(lines[np.isin(numbers, rare)])) & (numbers >= 0)
+            parts = np.searchsorted(_paragraph_ends(words.data), words.starts) + owner
+            hit = np.isin(parts, np.unique(parts[np.isin(numbers, rare)])) & (numbers >= 0)
             found: list[list[dict]] = [[] for _ in sizes]
             at = np.flatnonzero(hit)
-            edges = np.flatnonzero(np.diff(lines[at], prepend=-1, append=-1)) if len(at) else at
+            edges = np.flatnonzero(np.diff(parts[at], prepend=-1, append=-1)) if len(at) else at
             for low, high in zip(edges[:-1], edges[1:]):
                 mine = np.unique(numbers[at[low:high]])
                 if len(mine) >= least:
-                    found[owner[at[low]]].append({"block": int(lines[at[low]]), "words": mine.tolist()})
+                    found[owner[at[low]]].append({"block": int(parts[at[low]]), "words": mine.tolist()})
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(n) for n in names),
@@ -253,13 +261,14 @@ places AS (
            list(DISTINCT label) AS labels
     FROM places GROUP BY doc_id
 ), templates(template, label, word, size, need) AS (VALUES {_TEMPLATE_ROWS}),
-lines AS (
+paragraphs AS (
+    SELECT doc_id, string_split_regex(t, '\\n[ \\t\\r]*\\n') AS l FROM texts
+), blocks AS (
     SELECT doc_id, i, unnest(list_distinct({_WORDS.format("l[i]")})) AS word
-    FROM (SELECT doc_id, string_split(t, chr(10)) AS l, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS i
-          FROM texts)
+    FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM paragraphs)
 ), matched AS (
     SELECT doc_id, label, count(*) / any_value(size) AS score
-    FROM lines JOIN templates USING (word)
+    FROM blocks JOIN templates USING (word)
     GROUP BY doc_id, i, template, label HAVING count(*) >= any_value(need)
 ), own AS (
     SELECT doc_id, max(score) AS score, list(DISTINCT label) AS labels FROM matched GROUP BY doc_id

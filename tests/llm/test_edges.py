@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from folianta.llm import language, mixing, tool_calls
+from folianta.llm import language, license_scan, mixing, tool_calls
 
 from .tables import assert_same, documents, write_all
 
@@ -86,3 +86,16 @@ def test_no_calls(spark):
     calls = spark.createDataFrame([], "conv_id bigint, call_id string, turn int, tool string, arguments string, depends_on array<string>")
     results = spark.createDataFrame([], "conv_id bigint, call_id string, turn int, content string")
     assert tool_calls.link_calls(calls, results).collect() == []
+
+
+def test_wrapped_notices(spark, folder):
+    label, notice = license_scan.TEMPLATES[0]
+    words = notice.split(" ")
+    third = len(words) // 3
+    wrapped = "\n".join(" ".join(words[i : i + third + 1]) for i in range(0, len(words), third + 1))
+    torn = wrapped.replace("\n", "\n \t\n")
+    texts = [notice, f"before it\n\n{wrapped}\n\nafter it", wrapped.replace("\n", " \r\n"), torn, f"x\n\n\n{wrapped}\nmore words"]
+    write_all(folder, documents(texts))
+    assert_same(spark, folder, license_scan.op3_license_scan, license_scan.ORACLE)
+    scores = [r["score"] for r in license_scan.op3_license_scan(spark, folder).orderBy("doc_id").collect()]
+    assert [s >= license_scan.CONTAINMENT for s in scores] == [True, True, True, False, True]
