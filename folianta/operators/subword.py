@@ -11,9 +11,9 @@ import heapq
 import math
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ INNER_BASE = 0x200000
 MERGED_BASE = 0x400000
 FIRST_PAIRS, MOST_PAIRS = 64, 8_192
 MAX_SEGMENTS = 60_000
+LONG_WORD = 64  # symbols
 
 
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -155,31 +156,178 @@ class SubwordModel:
 
         return cut
 
+    def _coder(self) -> Callable[[Sequence[str]], list[bytes]]:
+        """Ids of the pieces of many words at once, four bytes each; :meth:`_cutter` cuts alike."""
+        ids = {token: at for at, token in enumerate(self.tokens)}
+        find = {"bpe": _merge_coder, "wordpiece": _match_coder}.get(self.kind, _best_coder)(self, ids)
+
+        def code(words: Sequence[str]) -> list[bytes]:
+            if not words:
+                return []
+            found, sizes = find(words)
+            data, ends = found.astype(np.int32).tobytes(), (4 * np.cumsum(sizes)).tolist()
+            return [data[begin:end] for begin, end in zip([0, *ends], ends)]
+
+        return code
+
     def _encoder(self, spark: SparkSession) -> Callable[[Column], Column]:
         shared = spark.sparkContext.broadcast(self)
 
-        @F.pandas_udf("tokens array<string>, ids array<int>")
-        def encode_words(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        @F.arrow_udf("tokens array<string>, ids array<int>")
+        def encode_words(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             model = shared.value
-            ids = {token: at for at, token in enumerate(model.tokens)}
-            cut, known = model._cutter(), {}
+            tokens = pa.array(model.tokens, pa.string())
+            code, known = model._coder(), {}
             for batch in batches:
-                rows = []
-                for words in batch:
-                    pieces: list[str] = []
-                    for word in () if words is None else words:
-                        cached = known.get(word)
-                        if cached is None:
-                            if len(known) >= REMEMBERED_WORDS:
-                                known.clear()
-                            cached = known[word] = cut(word)
-                        pieces += cached
-                    rows.append((pieces, [ids[piece] for piece in pieces]))
-                yield pd.DataFrame(rows, columns=["tokens", "ids"])
+                words = batch.flatten().dictionary_encode()
+                listed = words.dictionary.to_pylist()
+                new = [word for word in listed if word not in known]
+                fresh = dict(zip(new, code(new)))
+                coded = [fresh[word] if word in fresh else known[word] for word in listed]
+                if len(known) + len(fresh) > REMEMBERED_WORDS:
+                    known.clear()
+                known.update(islice(fresh.items(), REMEMBERED_WORDS))
+                found, sizes = _gathered(coded, words.indices.to_numpy())
+                begins = np.append(0, np.cumsum(batch.value_lengths().fill_null(0).to_numpy()))
+                offsets = pa.array(np.append(0, np.cumsum(sizes))[begins], pa.int32())
+                numbers = pa.array(found, pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, values) for values in (tokens.take(numbers), numbers)]
+                yield pa.StructArray.from_arrays(lists, ["tokens", "ids"])
 
         return encode_words
 
 
+def _gathered(coded: Sequence[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers, four bytes each, of ``coded`` at ``places`` in a row, and how many each place has."""
+    numbers = np.frombuffer(b"".join(coded), np.int32)
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+    begins = (np.cumsum(sizes) - sizes)[places]
+    sizes = sizes[places]
+    before = np.cumsum(sizes) - sizes
+    return numbers[np.repeat(begins - before, sizes) + np.arange(int(sizes.sum()))], sizes
+
+
+def _chars(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all words in a row and the size of each word."""
+    points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
+    return points, np.fromiter(map(len, words), np.int64, len(words))
+
+
+def _walked(back: np.ndarray, place: np.ndarray, goal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(word, step, place)`` of every place on each word's way along ``back`` to its ``goal``, by word.
+
+    Where ``back`` is negative the way ends.
+    """
+    words, taken, step = np.flatnonzero(place != goal), [], 0
+    place = place.copy()
+    while len(words):
+        at = place[words]
+        taken.append((words, np.full(len(words), step), at))
+        place[words] = back[at]
+        words = words[(back[at] >= 0) & (back[at] != goal[words])]
+        step += 1
+    word, step, at = (np.concatenate([part[n] for part in taken] or [np.zeros(0, np.int64)]) for n in range(3))
+    order = np.argsort(word, kind="stable")
+    return word[order], step[order], at[order]
+
+
+def _merge_coder(model: SubwordModel, ids: dict[str, int]):
+    ranks = {pair: at for at, pair in enumerate(model.merges)}
+    pairs = sorted(ranks, key=ranks.get)
+    texts = sorted({text for left, right in pairs for text in (left, right, left + right)} | set(ids))
+    number = {text: ord(text) if len(text) == 1 else MERGED_BASE + at for at, text in enumerate(texts)}
+    merges = [(number[left], number[right], number[left + right]) for left, right in pairs]
+    known = np.array(sorted(number[text] for text in ids), np.int64)
+    id_of = {number[text]: at for text, at in ids.items()}
+    named = np.array([id_of[at] for at in known.tolist()], np.int64)
+
+    def find(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        symbols, sizes = _chars(words)
+        if merges:
+            symbols, sizes = merge_words(symbols, sizes, merges)
+        at = np.minimum(np.searchsorted(known, symbols), len(known) - 1)
+        missing = known[at] != symbols
+        return np.where(missing, ids[UNKNOWN] if missing.any() else 0, named[at]), sizes
+
+    return find
+
+
+def _match_coder(model: SubwordModel, ids: dict[str, int]):
+    begins = [text for text in ids if text]
+    inners = [text for text in begins if text.startswith(model.prefix) and text != model.prefix]
+    size_of_mark, longest = len(model.prefix), max(map(len, ids), default=1)
+    trees = [PieceTree.of(begins), PieceTree.of([text[size_of_mark:] for text in inners])]
+    numbers = [np.array([ids[text] for text in part], np.int64) for part in (begins, inners)]
+
+    def find(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        first = np.cumsum(sizes + 1) - sizes - 1
+        follows = np.full(int((sizes + 1).sum()), -1)
+        piece = np.full(len(follows), -1)
+        for inner, (tree, number) in enumerate(zip(trees, numbers)):
+            if not len(number):
+                continue
+            _, starts, ends, found, counts = tree.places(words, longest)
+            offset = np.repeat(first, counts)
+            chosen = (starts > 0) == bool(inner)
+            at = (offset + starts)[chosen]  # the longest piece at a place comes last
+            follows[at], piece[at] = (offset + ends)[chosen], number[found[chosen]]
+        last = first + sizes
+        tried = sizes <= (model.longest_word if model.longest_word is not None else sizes.max())
+        word, _, at = _walked(follows, first, np.where(tried, last, first))
+        unknown = ~tried
+        unknown[word[piece[at] < 0]] = True
+        if unknown.any():
+            kept = ~unknown[word]
+            word = np.append(word[kept], np.flatnonzero(unknown))
+            found = np.append(piece[at[kept]], np.full(int(unknown.sum()), ids[UNKNOWN]))
+        else:
+            found = piece[at]
+        order = np.argsort(word, kind="stable")
+        return found[order], np.bincount(word, minlength=len(words))
+
+    return find
+
+
+def _best_coder(model: SubwordModel, ids: dict[str, int]):
+    pieces = [text for text in model.scores if text]
+    scores = np.array([model.scores[text] for text in pieces] + [unknown_score(model.scores)])
+    numbers = np.array([ids[text] for text in pieces] + [-1], np.int64)
+    tree, longest = PieceTree.of(pieces), max(map(len, pieces), default=1)
+
+    def find(words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        sizes, starts, ends, found, counts = tree.places(words, longest)
+        owner = np.repeat(np.arange(len(words)), counts)
+        first = np.cumsum(sizes + 1) - sizes - 1
+        last = first + sizes
+        starts, ends = starts + first[owner], ends + first[owner]
+        # a character without a piece of its own is an unknown one
+        bare = np.ones(int((sizes + 1).sum()), dtype=bool)
+        bare[starts[ends - starts == 1]] = False
+        bare[last] = False
+        at = np.flatnonzero(bare)
+        owner = np.append(owner, np.searchsorted(last, at))
+        starts, ends = np.append(starts, at), np.append(ends, at + 1)
+        found = np.append(found, np.full(len(at), len(pieces)))
+        order = np.argsort(starts, kind="stable")
+        owner, starts, ends, found = owner[order], starts[order], ends[order], found[order]
+        edges = _Edges(first, last, owner, starts, ends, found, scores[found])
+        best = edges.along(np.maximum)
+        good = best[starts] + edges.scores == best[ends]
+        back, piece = np.full(len(bare), -1), np.full(len(bare), -1)
+        back[ends[good]], piece[ends[good]] = starts[good], numbers[found[good]]  # of ties, the last start
+        word, _, at = _walked(back, last, first)
+        named, word = piece[at][::-1], word[::-1]  # the way leads from the end
+        again = (named[1:] < 0) & (named[:-1] < 0) & (word[1:] == word[:-1])
+        kept = ~np.append(False, again)[: len(named)]
+        named, word = named[kept], word[kept]
+        named = np.where(named < 0, ids[UNKNOWN] if (named < 0).any() else 0, named)
+        order = np.argsort(word, kind="stable")
+        return named[order], np.bincount(word, minlength=len(words))
+
+    return find
+
+
 # --- merge-based training ----------------------------------------------------------
 
 
@@ -190,22 +338,67 @@ def _symbol_table(counts: DataFrame, inner_base: int) -> DataFrame:
     return counts.filter(F.length("word") > 1).select(symbols.alias("symbols"), "n")
 
 
+def _pair_codes(symbols: np.ndarray) -> np.ndarray:
+    return symbols[:-1] << 32 | symbols[1:]
+
+
+def merge_words(
+    symbols: np.ndarray, sizes: np.ndarray, merges: Sequence[Merge]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Words, given as their ``symbols`` in a row and their ``sizes``, with ``merges`` applied.
+
+    Each step merges the first of the earliest pairs in every word at once, as
+    :func:`segment.merge_pieces` does word by word; words without a pair wait aside. That takes a
+    step per merge, so words of more than ``LONG_WORD`` symbols are left to the heap.
+    """
+    codes = np.array([left << 32 | right for left, right, _ in merges], np.int64)
+    order = np.argsort(codes)
+    codes, news = codes[order], np.array([new for _, _, new in merges], np.int64)
+    symbols, words = symbols.astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
+    ended: list[tuple[np.ndarray, np.ndarray]] = []
+    if len(sizes) and int(sizes.max()) > LONG_WORD:
+        ranks = {(left, right): at for at, (left, right, _) in enumerate(merges)}
+        names = {(left, right): new for left, right, new in merges}
+        begins = np.cumsum(sizes) - sizes
+        for word in np.flatnonzero(sizes > LONG_WORD):
+            pieces = symbols[begins[word] : begins[word] + sizes[word]].tolist()
+            pieces = np.array(merge_pieces(pieces, ranks, names.get), np.int64)
+            ended.append((pieces, np.full(len(pieces), word)))
+        short = (sizes <= LONG_WORD)[words]
+        symbols, words = symbols[short], words[short]
+    while len(symbols):
+        pairs = _pair_codes(symbols)
+        at = np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)
+        hit = (codes[at] == pairs) & (words[:-1] == words[1:])
+        rank = np.append(np.where(hit, order[at], len(codes)), len(codes))
+        opens = np.flatnonzero(np.diff(words, prepend=-1))
+        best = np.minimum.reduceat(rank, opens)
+        lengths = np.diff(np.append(opens, len(words)))
+        going = np.repeat(best < len(codes), lengths)
+        ended.append((symbols[~going], words[~going]))
+        chosen = np.flatnonzero(going & (rank == np.repeat(best, lengths)))
+        first = chosen[np.flatnonzero(np.diff(words[chosen], prepend=-1))]
+        symbols[first] = news[rank[first]]
+        going[first + 1] = False
+        symbols, words = symbols[going], words[going]
+    symbols, words = (np.concatenate([part[at] for part in ended] or [np.zeros(0, np.int64)]) for at in (0, 1))
+    return symbols[np.argsort(words, kind="stable")], np.bincount(words, minlength=len(sizes))
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    offsets = pa.array(np.append(0, np.cumsum(sizes)), pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
+
+
 def _merged(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
     """Words with ``merges`` applied; those that are one symbol now can merge no more."""
-    ranks = {(left, right): at for at, (left, right, _) in enumerate(merges)}
-    names = {(left, right): new for left, right, new in merges}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [merge_pieces(word, ranks, names.get) for word in batch.column("symbols").to_pylist()]
-            kept = [at for at, row in enumerate(rows) if len(row) > 1]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([rows[at] for at in kept], pa.list_(pa.int32())),
-                    batch.column("n").take(pa.array(kept, pa.int64())),
-                ],
-                ["symbols", "n"],
-            )
+            column = batch.column("symbols")
+            rows = _lists(*merge_words(column.flatten().to_numpy(), column.value_lengths().to_numpy(), merges))
+            kept = pa.array(np.flatnonzero(rows.value_lengths().to_numpy() > 1))
+            yield pa.RecordBatch.from_arrays([rows.take(kept), batch.column("n").take(kept)], ["symbols", "n"])
 
     return words.mapInArrow(run, "symbols array<int>, n bigint")
 
@@ -228,26 +421,30 @@ def _top_pairs(words: DataFrame, min_count: int, most: int) -> list[tuple[int, i
 
 def _segments(words: DataFrame, pairs: Sequence[tuple[int, int, int]], most: int) -> list[tuple[list[int], int]] | None:
     """Distinct runs of symbols that only ``pairs`` join, with their counts; None beyond ``most``."""
-    hot = {pair[1:] for pair in pairs}
+    hot = np.sort(np.array([left << 32 | right for _, left, right in pairs], np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sums: dict[tuple[int, ...], int] = {}
-            for word, n in zip(batch.column("symbols").to_pylist(), batch.column("n").to_pylist()):
-                begin = 0
-                for at in range(1, len(word) + 1):
-                    if at == len(word) or (word[at - 1], word[at]) not in hot:
-                        if at - begin > 1:
-                            key = tuple(word[begin:at])
-                            sums[key] = sums.get(key, 0) + n
-                        begin = at
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.list_(pa.int32())), pa.array(list(sums.values()), pa.int64())],
-                ["segment", "n"],
+            column = batch.column("symbols")
+            symbols, sizes = column.flatten().to_numpy(), column.value_lengths().to_numpy()
+            words, codes = np.repeat(np.arange(len(sizes)), sizes), _pair_codes(symbols.astype(np.int64))
+            joined = hot[np.minimum(np.searchsorted(hot, codes), len(hot) - 1)] == codes
+            joined &= words[:-1] == words[1:]
+            opens = np.flatnonzero(~np.append(False, joined)[: len(symbols)])
+            lengths = np.diff(np.append(opens, len(symbols)))
+            several = lengths > 1
+            runs = _lists(symbols, lengths).filter(pa.array(several))
+            offsets = pa.array(4 * np.append(0, np.cumsum(lengths[several])), pa.int32())
+            inside = runs.flatten().to_numpy().astype(np.int32)
+            keys = pa.BinaryArray.from_buffers(
+                pa.binary(), len(runs), [None, offsets.buffers()[1], pa.py_buffer(inside.tobytes())]
             )
+            n = batch.column("n").take(pa.array(words[opens[several]]))
+            sums = pa.table({"segment": keys, "n": n}).group_by("segment").aggregate([("n", "sum")])
+            yield from sums.select(["segment", "n_sum"]).rename_columns(["segment", "n"]).combine_chunks().to_batches()
 
     found = (
-        words.mapInArrow(run, "segment array<int>, n bigint")
+        words.mapInArrow(run, "segment binary, n bigint")
         .groupBy("segment")
         .agg(F.sum("n").alias("n"))
         .limit(most + 1)
@@ -255,7 +452,8 @@ def _segments(words: DataFrame, pairs: Sequence[tuple[int, int, int]], most: int
     )
     if found.num_rows > most:
         return None
-    return list(zip(found.column("segment").to_pylist(), found.column("n").to_pylist()))
+    segments = [np.frombuffer(segment, np.int32).tolist() for segment in found.column("segment").to_pylist()]
+    return list(zip(segments, found.column("n").to_pylist()))
 
 
 class PairIndex:
@@ -460,33 +658,73 @@ def _seed_pieces(counts: DataFrame, longest: int, seed_size: int) -> dict[str, f
     return {row["piece"]: float(row["n"]) for row in [*short.filter(single).collect(), *best]}
 
 
+@dataclass
+class PieceTree:
+    """Pieces as a prefix tree in sorted arrays, so that many places are looked up at once."""
+
+    steps: np.ndarray  # node and next character, sorted
+    nodes: np.ndarray  # where each step leads
+    pieces: np.ndarray  # the piece that ends at each node, or -1
+
+    @classmethod
+    def of(cls, pieces: Sequence[str]) -> PieceTree:
+        steps: dict[int, int] = {}
+        ends = [-1]
+        for at, piece in enumerate(pieces):
+            node = 0
+            for char in piece:
+                step = node << 21 | ord(char)
+                node = steps.setdefault(step, len(ends))
+                if node == len(ends):
+                    ends.append(-1)
+            ends[node] = at
+        order = np.array(sorted(steps), np.int64)
+        return cls(order, np.array([steps[step] for step in order.tolist()], np.int64), np.array(ends, np.int64))
+
+    def places(self, words: Sequence[str], longest: int, whole: bool = True) -> tuple[np.ndarray, ...]:
+        """Sizes of the words; starts, ends and numbers of pieces in word order; how many each word has."""
+        chars, sizes = _chars(words)
+        owner, last = np.repeat(np.arange(len(words)), sizes), np.repeat(np.cumsum(sizes), sizes)
+        first = last - sizes[owner]
+        begin, node = np.arange(len(chars)), np.zeros(len(chars), np.int64)
+        found = []
+        for length in range(1, longest + 1 if len(self.steps) else 1):
+            inside = begin + length <= last[begin]
+            begin, node = begin[inside], node[inside]
+            step = node << 21 | chars[begin + length - 1]
+            at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            known = self.steps[at] == step
+            begin, node = begin[known], self.nodes[at[known]]
+            if not len(begin):
+                break
+            ends = self.pieces[node] >= 0
+            if not whole:
+                ends &= sizes[owner[begin]] > length
+            found.append((begin[ends], np.full(int(ends.sum()), length), self.pieces[node[ends]]))
+        begin, length, piece = (
+            np.concatenate([part[at] for part in found] or [np.zeros(0, np.int64)]) for at in range(3)
+        )
+        order = np.argsort(begin, kind="stable")  # shorter pieces at a place were found first
+        begin, length, piece = begin[order], length[order], piece[order]
+        start = begin - first[begin]
+        return sizes, start, start + length, piece, np.bincount(owner[begin], minlength=len(words))
+
+
 def _lattice(words: DataFrame, pieces: Sequence[str], longest: int, whole: bool = True) -> DataFrame:
     """``(n, size, starts, ends, pieces)``: where each of ``pieces`` lies in each word.
 
     Made once per training, as later rounds only drop pieces. Without ``whole`` a piece does not
     count as part of itself.
     """
-    shared = words.sparkSession.sparkContext.broadcast({piece: at for at, piece in enumerate(pieces)})
+    shared = words.sparkSession.sparkContext.broadcast(PieceTree.of(pieces))
     names = ["n", "size", "starts", "ends", "pieces"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = shared.value
         for batch in batches:
-            columns: list[list] = [[], [], [], []]
-            for word in batch.column("word").to_pylist():
-                size, starts, ends, found = len(word), [], [], []
-                for start in range(size):
-                    for end in range(start + 1, min(start + longest, size) + 1):
-                        piece = ids.get(word[start:end])
-                        if piece is not None and (whole or end - start < size):
-                            starts.append(start)
-                            ends.append(end)
-                            found.append(piece)
-                for column, value in zip(columns, (size, starts, ends, found)):
-                    column.append(value)
-            listed = [pa.array(column, pa.list_(pa.int32())) for column in columns[1:]]
+            sizes, *columns, counts = shared.value.places(batch.column("word").to_pylist(), longest, whole)
+            listed = [_lists(column, counts) for column in columns]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("n").cast(pa.int64()), pa.array(columns[0], pa.int32()), *listed], names
+                [batch.column("n").cast(pa.int64()), pa.array(sizes, pa.int32()), *listed], names
             )
 
     return words.select("word", "n").mapInArrow(
@@ -526,7 +764,8 @@ class _Edges:
         found = np.full(int(self.last[-1]) + 1 if len(self.last) else 0, -np.inf)
         found[origin] = 0.0
         depth = np.abs(far - origin[self.words])
-        order = np.lexsort((far, depth))
+        # edges come word by word, so within a depth those that end at one place stay together
+        order = np.argsort(depth.astype(np.uint16) if depth.max(initial=0) < 1 << 16 else depth, kind="stable")
         near, far, scores, depth = near[order], far[order], self.scores[order], depth[order]
         steps = np.flatnonzero(np.diff(depth, prepend=-1))
         for low, high in zip(steps, [*steps[1:], len(depth)]):
