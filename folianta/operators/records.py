@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folianta import fixed_values as fixed
 from folianta.storage import materialize
 
+NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+
 
 def _until(stamp: Column, end: str) -> Column:
     """``stamp`` is not after ``end``, a moment or a whole day."""
@@ -220,15 +224,45 @@ def all_results(
     return split_at(records, order, max_items)[0].orderBy(*order)
 
 
+HELD_ROWS = 200_000
+
+
+def _first_nearby(values: DataFrame, by: Sequence[str], position: str) -> DataFrame:
+    """``values`` with the smallest ``position`` of those that agree in ``by`` and that one task holds."""
+    kept = values.select(*by, position)
+    if any(isinstance(field.dataType, NESTED) for field in kept.schema):
+        return kept  # Arrow does not group by these
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def firsts(tables: list[pa.Table]) -> pa.Table:
+            table = pa.concat_tables(tables)
+            found = table.group_by(list(by), use_threads=False).aggregate([(position, "min")])
+            return found.select([*by, f"{position}_min"]).rename_columns([*by, position]).cast(table.schema)
+
+        for batch in batches:
+            held.append(firsts([pa.Table.from_batches([batch])]))
+            if sum(table.num_rows for table in held) >= HELD_ROWS:
+                held = [firsts(held)]
+                if held[0].num_rows > HELD_ROWS // 2:
+                    yield from held.pop().to_batches()
+        if held:
+            yield from firsts(held).to_batches()
+
+    return kept.mapInArrow(run, kept.schema)
+
+
 def group_values(
     values: DataFrame, keys: Sequence[str], position: str = "pos", value: str = "value"
 ) -> DataFrame:
     """Distinct values of every group in first-seen order.
 
-    Repeats are removed by a partial aggregate first, so only distinct values are
+    Repeats are removed within a task first, so only distinct values are shuffled, once, and
     collected; ``keys`` should include the record the values belong to.
     """
-    first_seen = values.groupBy(*keys, value).agg(F.min(position).alias("at"))
+    dealt = _first_nearby(values, [*keys, value], position).repartition(*keys)
+    first_seen = dealt.groupBy(*keys, value).agg(F.min(position).alias("at"))
     listed = F.array_sort(F.collect_list(F.struct("at", value)))
     return first_seen.groupBy(*keys).agg(
         F.transform(listed, lambda entry: entry[value]).alias("values")

@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folianta.operators import segment, subword
+from folianta.functions import text
+from folianta.operators import records, segment, subword
 
 
 def drawn(seed, count=300):
@@ -76,3 +77,34 @@ def test_places_of_pieces(whole):
     ]
     assert sizes.tolist() == [len(w) for w in words] and counts.tolist() == [len(row) for row in expected]
     assert [*zip(starts.tolist(), ends.tolist(), found.tolist())] == [edge for row in expected for edge in row]
+
+
+def test_repeated_values_are_shuffled_once_and_without_repeats(spark, monkeypatch):
+    monkeypatch.setattr(records, "HELD_ROWS", 50)
+    pick = random.Random(5)
+    rows = [(pick.choice([1, 2, None]), pick.choice(["a", "b", None]), at % 97, pick.choice("pqrstu")) for at in range(2_000)]
+    frame = spark.createDataFrame([*rows, (3, "a", 0, None), (3, "a", 1, "x")], "k int, name string, pos int, value string")
+    found = records.group_values(frame, ["k", "name"])
+    expected = {}
+    for k, name, pos, value in [*rows, (3, "a", 0, None), (3, "a", 1, "x")]:
+        group = expected.setdefault((k, name), {})
+        group[value] = min(pos, group.get(value, pos))
+    expected = {key: sorted(group, key=lambda v: (group[v], v or "")) for key, group in expected.items()}
+    assert {(r["k"], r["name"]): r["values"] for r in found.collect()} == expected
+    plan = records.group_values(frame, ["k", "name"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    nested = frame.withColumn("value", F.array("value"))
+    assert {(r["k"], r["name"]): [v[0] for v in r["values"]] for r in records.group_values(nested, ["k", "name"]).collect()} == expected
+
+
+def test_cells_are_cleaned_once(spark):
+    spaces = "\u00a0 \t\n"
+    rows = [(f"{spaces}", f" x{spaces}y|| a  b ||{spaces}|| |c|||"), (None, None), ("", f"{spaces}\n a \u2003\n b"), (" z\n", "\u0085q\r\n")]
+    frame = spark.createDataFrame(rows, "`t[es]` string, `t[en]` string")
+    found = frame.select(
+        text.best_by_language(["t[es]", "t[en]"]).alias("best"), text.split_list(F.col("`t[en]`")).alias("parts"),
+        text.first_line(F.col("`t[en]`")).alias("line"),
+    ).collect()
+    assert [r["best"] for r in found] == ["x y|| a b || || |c|||", "", "a b", "z"]
+    assert [r["parts"] for r in found] == [["x y", "a b", "|c", "|"], [], ["a b"], ["q"]]
+    assert [r["line"] for r in found] == ["x", None, "a", "q"]
