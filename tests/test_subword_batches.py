@@ -1,5 +1,6 @@
 """Many words at once are cut as one word by itself."""
 
+import pathlib
 import random
 
 import numpy as np
@@ -7,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folianta.functions import text
-from folianta.operators import records, segment, subword
+from folianta.operators import positions, records, segment, subword
+from folianta.plans import corpus_queries
 
 
 def drawn(seed, count=300):
@@ -108,3 +110,15 @@ def test_cells_are_cleaned_once(spark):
     assert [r["best"] for r in found] == ["x y|| a b || || |c|||", "", "a b", "z"]
     assert [r["parts"] for r in found] == [["x y", "a b", "|c", "|"], [], ["a b"], ["q"]]
     assert [r["line"] for r in found] == ["x", None, "a", "q"]
+
+
+def test_texts_are_cut_once_for_occurrence_pairs(spark):
+    docs = spark.createDataFrame([(1, "the a the"), (2, "the b"), (3, None), (4, "other")], "doc_id int, text string")
+    pairs = positions.occurrence_pairs(docs, "the")
+    assert "regexp_extract_all" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(row)[1:] for row in pairs.collect()) == [(1, 0, 1, 2), (1, 0, 2, 0)]
+
+
+def test_landed_responses_share_files(spark, sf_dir):
+    path = corpus_queries._prefixed_landing(spark, sf_dir)
+    assert {folder.name for folder in pathlib.Path(path).glob("page=*")} == {"page=0", "page=1", "page=2"}
