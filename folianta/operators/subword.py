@@ -81,6 +81,7 @@ def frequency_vocabulary(counts: DataFrame, size: int) -> DataFrame:
 
 def ranked_words(counts: DataFrame) -> DataFrame:
     """``(token, id, n)`` of all words in the order of :func:`frequency_vocabulary`."""
+    counts = materialize(counts, "words")  # numbering reads its rows twice
     ranked = positions.number_rows(counts.withColumn("_less", -F.col("n")), ["_less", "word"], "id")
     return ranked.select(F.col("word").alias("token"), "id", "n")
 
