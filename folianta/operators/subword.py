@@ -195,7 +195,8 @@ class SubwordModel:
                 lists = [pa.ListArray.from_arrays(offsets, values) for values in (tokens.take(numbers), numbers)]
                 yield pa.StructArray.from_arrays(lists, ["tokens", "ids"])
 
-        return encode_words
+        # else a filter on the pieces would be pushed below and cut every text once more
+        return encode_words.asNondeterministic()
 
 
 def _gathered(coded: Sequence[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

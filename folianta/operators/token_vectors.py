@@ -11,18 +11,25 @@ from folianta.storage import bounded_table, materialize
 
 HOT_ROWS = 1_000_000
 SALTS = 32
+FEW_VECTORS = 4_096
 
 
 def with_vectors(
-    pieces: DataFrame, vectors: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS, salts: int = SALTS
+    pieces: DataFrame, vectors: DataFrame, key: str = "id", hot_rows: int = HOT_ROWS, salts: int = SALTS,
+    few_vectors: int = FEW_VECTORS,
 ) -> DataFrame:
     """``pieces`` with the columns of ``vectors``, joined on the piece id ``key``.
 
-    Pieces are dealt out by id. An id with more than ``hot_rows`` pieces is dealt out ``salts``
+    Up to ``few_vectors`` vectors are sent to where the pieces are, in one pass. Else pieces are
+    dealt out by id. An id with more than ``hot_rows`` pieces is dealt out ``salts``
     times finer, and its vector repeated as often; other vectors are not. Pieces without a
     vector, and those with a null id, are left out.
     """
-    pieces = materialize(pieces.filter(F.col(key).isNotNull()), "pieces")
+    pieces = pieces.filter(F.col(key).isNotNull())
+    few = bounded_table(vectors, few_vectors)
+    if few is not vectors:
+        return pieces.join(few, key)
+    pieces = materialize(pieces, "pieces")
     hot = materialize(
         pieces.groupBy(key).count().filter(F.col("count") > hot_rows).select(key, F.lit(salts).alias("_salts")), "hot-pieces"
     )
@@ -54,8 +61,12 @@ def first_pieces(spark: SparkSession, model: SubwordModel, words: DataFrame, wor
 def first_piece_vectors(
     spark: SparkSession, model: SubwordModel, words: DataFrame, vectors: DataFrame, word: str = "word"
 ) -> DataFrame:
-    """``words`` with ``piece``, ``id`` and the columns of ``vectors``, whose key is ``id``."""
-    return with_vectors(first_pieces(spark, model, words, word), vectors)
+    """``words`` with ``piece``, ``id`` and the columns of ``vectors``, whose key is ``id``.
+
+    Vectors without a piece of the vocabulary are not read further.
+    """
+    named = vectors.filter(F.col("id").between(0, len(model.tokens) - 1))
+    return with_vectors(first_pieces(spark, model, words, word), named)
 
 
 def occurrence_vectors(

@@ -158,9 +158,8 @@ def token_vectors(spark, sf_dir):
     )
 
 
-def _prefix_model(spark, sf_dir):
+def _prefix_model(counts):
     """The most frequent words as pieces, and every character as a piece inside a word."""
-    counts = _counts(spark, sf_dir)
     words = [r["token"] for r in subword.frequency_vocabulary(counts, VOCABULARY).orderBy("id").collect()]
     chars = counts.select(F.explode(F.split("word", "")).alias("c")).distinct().orderBy("c").collect()
     mark = fixed.CONTINUATION_PREFIX
@@ -169,11 +168,13 @@ def _prefix_model(spark, sf_dir):
 
 
 def first_piece_vectors(spark, sf_dir):
-    vectors = _embeddings(spark, sf_dir).select(F.col("vec_id").alias("id"), "v")
+    # a piece has many words, so its vector is shown before they meet
+    vectors = _embeddings(spark, sf_dir).select(F.col("vec_id").alias("id"), vec.format_vector(F.col("v")).alias("vector"))
+    counts = materialize(_counts(spark, sf_dir), "words")  # read for the vocabulary, its characters and the words
     # a word that begins like the mark could be taken for a piece inside a word
-    words = _counts(spark, sf_dir).filter(~F.col("word").startswith(fixed.CONTINUATION_PREFIX))
-    found = token_vectors_of.first_piece_vectors(spark, _prefix_model(spark, sf_dir), words, vectors)
-    return found.select("word", "n", "piece", F.col("id").cast("bigint").alias("id"), vec.format_vector(F.col("v")).alias("vector"))
+    words = counts.filter(~F.col("word").startswith(fixed.CONTINUATION_PREFIX))
+    found = token_vectors_of.first_piece_vectors(spark, _prefix_model(counts), words, vectors)
+    return found.select("word", "n", "piece", F.col("id").cast("bigint").alias("id"), "vector")
 
 
 def token_occurrences(spark, sf_dir):

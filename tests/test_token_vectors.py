@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from folianta.operators import subword, token_vectors
+from folianta.plans import vector_queries
 
 MODEL = subword.SubwordModel("wordpiece", ["[UNK]", "lu", "##na", "sol", "##a"], prefix="##", longest_word=None)
 
@@ -32,3 +33,30 @@ def test_occurrences_of_first_pieces(spark):
     # luna: lu ##na, sol: sol, lua: lu ##a; sola: sol ##a
     assert sorted((r["doc_id"], r["pos"]) for r in found) == [(1, 0), (1, 3), (4, 2)]
     assert [round(x, 6) for x in min(found)["vector"]] == [round(2**0.5, 6), 1.0]
+
+
+def test_few_vectors_go_to_the_pieces(spark, monkeypatch):
+    pieces = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (7, "e")], "id int, x string")
+    vectors = spark.createDataFrame([(1, [1.0]), (1, [2.0]), (7, [7.0]), (9, [9.0]), (None, [0.0])], "id bigint, v array<double>")
+    dealt = token_vectors.with_vectors(pieces, vectors, few_vectors=4)
+    assert dealt.columns == ["id", "x", "v"]
+    expected = sorted(map(str, dealt.collect()))
+    assert len(expected) == 5
+
+    def written(*_):
+        raise AssertionError("pieces need not be written")
+
+    monkeypatch.setattr(token_vectors, "materialize", written)
+    found = token_vectors.with_vectors(pieces, vectors)
+    assert found.columns == ["id", "x", "v"]
+    assert sorted(map(str, found.collect())) == expected
+
+
+def test_words_are_counted_and_coded_once(spark, sf_dir, monkeypatch):
+    counted = []
+    counts = vector_queries._counts
+    monkeypatch.setattr(vector_queries, "_counts", lambda *given: counted.append(1) or counts(*given))
+    found = vector_queries.first_piece_vectors(spark, sf_dir)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(counted) == 1 and "regexp_extract_all" in plan
+    assert plan.count("encode_words") == 1 and "format_string" not in plan
