@@ -392,6 +392,23 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(values, pa.int32()))
 
 
+def _blobs(values: np.ndarray, sizes: np.ndarray) -> pa.BinaryArray:
+    """Lists of numbers, four bytes each, that Spark passes on as they are instead of one by one."""
+    offsets = pa.array(4 * np.append(0, np.cumsum(sizes)), pa.int32())
+    data = pa.py_buffer(np.ascontiguousarray(values, np.int32))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(sizes), [None, offsets.buffers()[1], data])
+
+
+def _opened(blobs: pa.BinaryArray) -> pa.ListArray:
+    """The lists that :func:`_blobs` packed."""
+    _, offsets, data = blobs.buffers()
+    ends = np.frombuffer(offsets, np.int32)[blobs.offset : blobs.offset + len(blobs) + 1] // 4
+    if data is None or not len(blobs):
+        return _lists(np.zeros(0, np.int32), np.zeros(len(blobs), np.int64))
+    numbers = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, data])
+    return pa.ListArray.from_arrays(pa.array(ends), numbers)
+
+
 def _merged(words: DataFrame, merges: Sequence[Merge]) -> DataFrame:
     """Words with ``merges`` applied; those that are one symbol now can merge no more."""
 
@@ -436,11 +453,8 @@ def _segments(words: DataFrame, pairs: Sequence[tuple[int, int, int]], most: int
             lengths = np.diff(np.append(opens, len(symbols)))
             several = lengths > 1
             runs = _lists(symbols, lengths).filter(pa.array(several))
-            offsets = pa.array(4 * np.append(0, np.cumsum(lengths[several])), pa.int32())
-            inside = runs.flatten().to_numpy().astype(np.int32)
-            keys = pa.BinaryArray.from_buffers(
-                pa.binary(), len(runs), [None, offsets.buffers()[1], pa.py_buffer(inside.tobytes())]
-            )
+            inside = runs.flatten().to_numpy()
+            keys = _blobs(inside, lengths[several])
             n = batch.column("n").take(pa.array(words[opens[several]]))
             sums = pa.table({"segment": keys, "n": n}).group_by("segment").aggregate([("n", "sum")])
             yield from sums.select(["segment", "n_sum"]).rename_columns(["segment", "n"]).combine_chunks().to_batches()
@@ -713,7 +727,7 @@ class PieceTree:
 
 
 def _lattice(words: DataFrame, pieces: Sequence[str], longest: int, whole: bool = True) -> DataFrame:
-    """``(n, size, starts, ends, pieces)``: where each of ``pieces`` lies in each word.
+    """``(n, size, starts, ends, pieces)``: where each of ``pieces`` lies in each word, as :func:`_blobs`.
 
     Made once per training, as later rounds only drop pieces. Without ``whole`` a piece does not
     count as part of itself.
@@ -724,13 +738,13 @@ def _lattice(words: DataFrame, pieces: Sequence[str], longest: int, whole: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, *columns, counts = shared.value.places(batch.column("word").to_pylist(), longest, whole)
-            listed = [_lists(column, counts) for column in columns]
+            listed = [_blobs(column, counts) for column in columns]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("n").cast(pa.int64()), pa.array(sizes, pa.int32()), *listed], names
             )
 
     return words.select("word", "n").mapInArrow(
-        run, "n bigint, size int, starts array<int>, ends array<int>, pieces array<int>"
+        run, "n bigint, size int, starts binary, ends binary, pieces binary"
     )
 
 
@@ -748,9 +762,10 @@ class _Edges:
 
     @classmethod
     def of(cls, batch: pa.RecordBatch, scores: np.ndarray) -> _Edges:
-        sizes = batch.column("size").to_numpy().astype(np.int64)
-        first = np.cumsum(sizes + 1) - sizes - 1
+        sizes = batch.column("size").to_numpy()
+        first = np.cumsum(sizes + 1, dtype=np.int32) - sizes - 1  # a batch holds less than 2 GB
         listed = [batch.column(name) for name in ("starts", "ends", "pieces")]
+        listed = [_opened(column) if pa.types.is_binary(column.type) else column for column in listed]
         counts = listed[0].value_lengths().to_numpy()
         starts, ends, pieces = (column.flatten().to_numpy() for column in listed)
         words = np.repeat(np.arange(len(sizes)), counts)
@@ -766,11 +781,13 @@ class _Edges:
         found = np.full(int(self.last[-1]) + 1 if len(self.last) else 0, -np.inf)
         found[origin] = 0.0
         depth = np.abs(far - origin[self.words])
+        steps = np.cumsum(np.bincount(depth)).tolist()
         # edges come word by word, so within a depth those that end at one place stay together
-        order = np.argsort(depth.astype(np.uint16) if depth.max(initial=0) < 1 << 16 else depth, kind="stable")
-        near, far, scores, depth = near[order], far[order], self.scores[order], depth[order]
-        steps = np.flatnonzero(np.diff(depth, prepend=-1))
-        for low, high in zip(steps, [*steps[1:], len(depth)]):
+        order = np.argsort(depth.astype(np.min_scalar_type(len(steps))), kind="stable")
+        near, far, scores = near[order], far[order], self.scores[order]
+        for low, high in zip([0, *steps], steps):
+            if low == high:
+                continue
             at = far[low:high]
             opens = np.flatnonzero(np.diff(at, prepend=-1))
             found[at[opens]] = combine.reduceat(found[near[low:high]] + scores[low:high], opens)

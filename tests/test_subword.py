@@ -224,3 +224,16 @@ def test_word_and_pair_counts(spark):
     assert pairs[("l", "u")] == 3 and pairs[("l", "a")] == 8
     top = subword.frequency_vocabulary(counts, 3).orderBy("id").collect()
     assert [r["token"] for r in top] == ["la", ".", "luna"]  # ties by word
+
+
+def test_places_of_pieces_are_packed(spark):
+    words = spark.createDataFrame([("abab", 2), ("ba", 3), ("", 1), ("c", 1)], "word string, n bigint").coalesce(1)
+    lattice = subword._lattice(words, ["a", "ab", "b", "ba"], 2)
+    assert [dict(lattice.dtypes)[name] for name in ("starts", "ends", "pieces")] == ["binary"] * 3
+    rows = {row["n"]: row for row in lattice.filter("size > 1").collect()}
+    assert np.frombuffer(rows[2]["pieces"], np.int32).tolist() == [0, 1, 2, 3, 0, 1, 2]
+    assert np.frombuffer(rows[3]["ends"], np.int32).tolist() == [1, 2, 2]
+    for length in (0, 1, 2):
+        packed = subword._blobs(np.arange(5), np.array([2, 0, 3])).slice(length)
+        assert subword._opened(packed).to_pylist() == [[0, 1], [], [2, 3, 4]][length:]
+    assert subword._opened(subword._blobs(np.arange(0), np.array([0]))).to_pylist() == [[]]
