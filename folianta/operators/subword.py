@@ -511,6 +511,7 @@ class PairIndex:
         return None
 
     def merge(self, left: int, right: int, new: int) -> None:
+        touched: set[tuple[int, int]] = set()
         for at in self.places.pop((left, right), ()):
             before, after, place = self.segments[at], [], 0
             while place < len(before):
@@ -524,8 +525,9 @@ class PairIndex:
                 continue  # an earlier merge took the pair from here
             self._add(at, -1)
             self.segments[at] = after
-            for pair in self._add(at, 1):
-                heapq.heappush(self.heap, (-self.counts[pair], *pair))
+            touched |= self._add(at, 1)
+        for pair in touched:
+            heapq.heappush(self.heap, (-self.counts[pair], *pair))
 
 
 def train_merges(

@@ -237,3 +237,11 @@ def test_places_of_pieces_are_packed(spark):
         packed = subword._blobs(np.arange(5), np.array([2, 0, 3])).slice(length)
         assert subword._opened(packed).to_pylist() == [[0, 1], [], [2, 3, 4]][length:]
     assert subword._opened(subword._blobs(np.arange(0), np.array([0]))).to_pylist() == [[]]
+
+
+def test_a_merge_queues_each_pair_once():
+    index = subword.PairIndex([([1, 2, 3 + at], 1) for at in range(50)] + [([1, 2, 1, 2, 9], 7)] * 40)
+    waiting = len(index.heap)
+    index.merge(1, 2, 100)
+    assert len(index.heap) - waiting <= 53
+    assert index.top() == (-281, 100, 9)
