@@ -368,11 +368,17 @@ def merge_words(
             ended.append((pieces, np.full(len(pieces), word)))
         short = (sizes <= LONG_WORD)[words]
         symbols, words = symbols[short], words[short]
-    while len(symbols):
-        pairs = _pair_codes(symbols)
+
+    def ranked(places: np.ndarray) -> np.ndarray:
+        """Rank of the pair that begins at each place, if any."""
+        after = np.minimum(places + 1, len(symbols) - 1)
+        pairs = symbols[places] << 32 | symbols[after]
         at = np.minimum(np.searchsorted(codes, pairs), len(codes) - 1)
-        hit = (codes[at] == pairs) & (words[:-1] == words[1:])
-        rank = np.append(np.where(hit, order[at], len(codes)), len(codes))
+        hit = (codes[at] == pairs) & (words[places] == words[after]) & (places < after)
+        return np.where(hit, order[at], len(codes))
+
+    rank = ranked(np.arange(len(symbols)))
+    while len(symbols):
         opens = np.flatnonzero(np.diff(words, prepend=-1))
         best = np.minimum.reduceat(rank, opens)
         lengths = np.diff(np.append(opens, len(words)))
@@ -382,7 +388,11 @@ def merge_words(
         first = chosen[np.flatnonzero(np.diff(words[chosen], prepend=-1))]
         symbols[first] = news[rank[first]]
         going[first + 1] = False
-        symbols, words = symbols[going], words[going]
+        symbols, words, rank = symbols[going], words[going], rank[going]
+        # a merge changes the pair that it begins and the one before
+        places = (np.cumsum(going) - 1)[first]
+        places = np.append(places, places[places > 0] - 1)
+        rank[places] = ranked(places)
     symbols, words = (np.concatenate([part[at] for part in ended] or [np.zeros(0, np.int64)]) for at in (0, 1))
     return symbols[np.argsort(words, kind="stable")], np.bincount(words, minlength=len(sizes))
 

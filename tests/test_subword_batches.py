@@ -122,3 +122,12 @@ def test_texts_are_cut_once_for_occurrence_pairs(spark):
 def test_landed_responses_share_files(spark, sf_dir):
     path = corpus_queries._prefixed_landing(spark, sf_dir)
     assert {folder.name for folder in pathlib.Path(path).glob("page=*")} == {"page=0", "page=1", "page=2"}
+
+
+def test_merging_looks_up_changed_pairs_only(monkeypatch):
+    looked_up, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda keys, found: looked_up.append(len(found)) or search(keys, found))
+    merges = [(100, 0, 101), *[(at, 0, at + 1) for at in range(101, 160)]]
+    symbols, sizes = subword.merge_words(np.array([100] + [0] * 59), np.array([60]), merges)
+    assert symbols.tolist() == [159] and sizes.tolist() == [1]
+    assert sum(looked_up) < 60 + 2 * 60
