@@ -185,9 +185,7 @@ class SubwordModel:
                 new = [word for word in listed if word not in known]
                 fresh = dict(zip(new, code(new)))
                 coded = [fresh[word] if word in fresh else known[word] for word in listed]
-                if len(known) + len(fresh) > REMEMBERED_WORDS:
-                    known.clear()
-                known.update(islice(fresh.items(), REMEMBERED_WORDS))
+                known = _remembered(known, listed, coded)
                 found, sizes = _gathered(coded, words.indices.to_numpy())
                 begins = np.append(0, np.cumsum(batch.value_lengths().fill_null(0).to_numpy()))
                 offsets = pa.array(np.append(0, np.cumsum(sizes))[begins], pa.int32())
@@ -199,6 +197,14 @@ class SubwordModel:
         return encode_words.asNondeterministic()
 
 
+def _remembered(
+    known: dict[str, bytes], words: Sequence[str], coded: Sequence[bytes], most: int = REMEMBERED_WORDS
+) -> dict[str, bytes]:
+    """``known`` with ``words``; if these are too many the words that came up first, mostly frequent ones."""
+    known.update(zip(words, coded))
+    return known if len(known) <= most else dict(islice(zip(words, coded), most))
+
+
 def _gathered(coded: Sequence[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The numbers, four bytes each, of ``coded`` at ``places`` in a row, and how many each place has."""
     numbers = np.frombuffer(b"".join(coded), np.int32)

@@ -131,3 +131,10 @@ def test_merging_looks_up_changed_pairs_only(monkeypatch):
     symbols, sizes = subword.merge_words(np.array([100] + [0] * 59), np.array([60]), merges)
     assert symbols.tolist() == [159] and sizes.tolist() == [1]
     assert sum(looked_up) < 60 + 2 * 60
+
+
+def test_remembered_words_are_the_first_of_the_last_batch():
+    known = subword._remembered({"a": b"0", "z": b"1"}, ["a", "b"], [b"0", b"2"], 3)
+    assert known == {"a": b"0", "z": b"1", "b": b"2"}
+    assert subword._remembered(known, ["b", "c", "a"], [b"2", b"3", b"0"], 2) == {"b": b"2", "c": b"3"}
+    assert subword._remembered({}, [], [], 0) == {}
