@@ -34,6 +34,7 @@ from folianta.storage import bounded_table, materialize, spread
 Merge = tuple[int, int, int]  # left and right symbol, and what they become
 UNKNOWN = "[UNK]"
 REMEMBERED_WORDS = 200_000
+ENCODED_ROWS = 1_000  # texts whose pieces are gathered at a time
 
 # Training symbols are numbers: characters take their code point, characters inside a word a
 # range of their own when they are marked by a prefix, and merged symbols follow.
@@ -180,18 +181,22 @@ class SubwordModel:
             tokens = pa.array(model.tokens, pa.string())
             code, known = model._coder(), {}
             for batch in batches:
-                words = batch.flatten().dictionary_encode()
-                listed = words.dictionary.to_pylist()
-                new = [word for word in listed if word not in known]
-                fresh = dict(zip(new, code(new)))
-                coded = [fresh[word] if word in fresh else known[word] for word in listed]
-                known = _remembered(known, listed, coded)
-                found, sizes = _gathered(coded, words.indices.to_numpy())
-                begins = np.append(0, np.cumsum(batch.value_lengths().fill_null(0).to_numpy()))
-                offsets = pa.array(np.append(0, np.cumsum(sizes))[begins], pa.int32())
-                numbers = pa.array(found, pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, values) for values in (tokens.take(numbers), numbers)]
-                yield pa.StructArray.from_arrays(lists, ["tokens", "ids"])
+                parts = []
+                for begin in range(0, max(len(batch), 1), ENCODED_ROWS):
+                    rows = batch.slice(begin, ENCODED_ROWS)
+                    words = rows.flatten().dictionary_encode()
+                    listed = words.dictionary.to_pylist()
+                    new = [word for word in listed if word not in known]
+                    fresh = dict(zip(new, code(new)))
+                    coded = [fresh[word] if word in fresh else known[word] for word in listed]
+                    known = _remembered(known, listed, coded)
+                    found, sizes = _gathered(coded, words.indices.to_numpy())
+                    begins = np.append(0, np.cumsum(rows.value_lengths().fill_null(0).to_numpy()))
+                    offsets = pa.array(np.append(0, np.cumsum(sizes))[begins], pa.int32())
+                    numbers = pa.array(found, pa.int32())
+                    lists = [pa.ListArray.from_arrays(offsets, values) for values in (tokens.take(numbers), numbers)]
+                    parts.append(pa.StructArray.from_arrays(lists, ["tokens", "ids"]))
+                yield pa.concat_arrays(parts)
 
         # else a filter on the pieces would be pushed below and cut every text once more
         return encode_words.asNondeterministic()

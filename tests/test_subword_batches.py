@@ -138,3 +138,14 @@ def test_remembered_words_are_the_first_of_the_last_batch():
     assert known == {"a": b"0", "z": b"1", "b": b"2"}
     assert subword._remembered(known, ["b", "c", "a"], [b"2", b"3", b"0"], 2) == {"b": b"2", "c": b"3"}
     assert subword._remembered({}, [], [], 0) == {}
+
+
+def test_large_batches_are_encoded_in_parts(spark):
+    assert subword.ENCODED_ROWS < 2_500
+    model = subword.SubwordModel("wordpiece", ["[UNK]", "a", "##a", "b"], prefix="##")
+    text = F.when(F.col("id") % 7 == 3, F.lit(None)).when(F.col("id") % 5 == 0, "").when(F.col("id") % 2 == 0, "aa b").otherwise("b x a")
+    rows = spark.range(0, 2_500, 1, 1).select("id", text.alias("text"))
+    found = rows.select("id", "text", model.encode(spark, F.col("text")).alias("c")).collect()
+    known = {None: [], "": [], "aa b": [1, 2, 3], "b x a": [3, 0, 1]}
+    assert len(found) == 2_500 and all(row["c"]["ids"] == known[row["text"]] for row in found)
+    assert all([model.tokens[at] for at in row["c"]["ids"]] == row["c"]["tokens"] for row in found)
