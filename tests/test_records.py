@@ -1,10 +1,13 @@
+import itertools
 import json
+from collections import Counter
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from folianta.operators import positions, records, runs
+from folianta.plans import vector_queries
 from folianta.sources import html, jsonl, record_xml, run_logs, wide_csv
 from folianta.storage import bounded_table, spread
 from folianta.streaming import ingest
@@ -231,6 +234,33 @@ def test_occurrence_pairs(spark):
     }
 
 
+def test_occurrence_pairs_query_leaves_no_pair_out(spark, folder):
+    texts = [(1, "the a the the"), (2, "the"), (3, "b"), (4, "the the")]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{folder}/documents.parquet")
+    got = sorted(tuple(r) for r in vector_queries.occurrence_pairs(spark, folder).collect())
+    across = [("same_position", a, 0, b, 0) for a, b in [(1, 2), (1, 4), (2, 4)]]
+    assert got == sorted(
+        [*across, *[("same_document", 1, a, 1, b) for a, b in [(0, 2), (0, 3), (2, 3)]], ("same_document", 4, 0, 4, 1)]
+    )
+
+
+@pytest.mark.parametrize(("kind", "block"), [("bigint", 1), ("bigint", 3), ("string", 4), ("string", 1_000)])
+def test_every_occurrence_pair_of_any_key(spark, monkeypatch, kind, block):
+    monkeypatch.setattr(positions, "BLOCK", block)
+    words = ["".join("xa"[(n * 7 + at * at) % 3 == 0] for at in range(n % 12)) for n in range(30)]
+    ids = [None, *range(28), 27]  # one key is null and one comes twice
+    rows = [(None if i is None else int(i) if kind == "bigint" else f"{i:03}", " ".join(w)) for i, w in zip(ids, words)]
+    rows.append((rows[1][0], None))
+    docs = spark.createDataFrame(rows, f"k {kind}, t string").repartition(3)
+    hits = [(k, [at for at, w in enumerate((t or "").split()) if w == "a"]) for k, t in rows]
+    wanted = [("same_document", k, a, k, b) for k, found in hits for a, b in itertools.combinations(found, 2)]
+    for pos in range(12):
+        at = sorted(k for k, found in hits if k is not None and pos in found)
+        wanted += [("same_position", a, pos, b, pos) for a, b in itertools.combinations(at, 2)]
+    got = [tuple(r) for r in positions.occurrence_pairs(docs, "a", "k", "t", every=True).collect()]
+    assert Counter(got) == Counter(wanted) and len(wanted) > 100
+
+
 def test_group_values_and_unseen(spark):
     rows = spark.createDataFrame(
         [(1, "s", 3, "b"), (1, "s", 1, "a"), (1, "s", 2, "b"), (1, "t", 0, "c")],
